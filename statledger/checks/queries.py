@@ -190,6 +190,7 @@ def unused_tables_as_written(t):
     return reports.unused_tables(r.table_rows(t), _usage_per_index(t), SALES_AT, as_written=True)
 
 
+@r.once
 def _usage_per_index(t):
     """Usage rows of the tables that were scanned by order-status F lines; the others count as unused."""
     usage = r.index_usage(t).filter(F.col("user_lookups") > 45)
@@ -259,6 +260,7 @@ def cpu_samples(t):
 
 # ---------------------------------------------------------------- job sources
 
+@r.once
 def _agent(t):
     return collect.agent_jobs(r.agent_job_names(t), r.agent_runs(t), SALES_AT, hours=24 * 365)
 
@@ -269,6 +271,7 @@ def agent_jobs(t):
 
 
 @query
+@r.once
 def report_jobs(t):
     return collect.report_jobs(r.report_log(t), EVENTS_AT, hours=24 * 7)
 
@@ -372,12 +375,14 @@ def register_databases(t):
 
 # ---------------------------------------------------------------- alerts
 
+@r.once
 def _runs(t):
     return alerts.recent_runs(
         r.user_procedures(t), r.user_runs(t), EVENTS_AT, exclusions=r.exclusions(t), days=30
     )
 
 
+@r.once
 def _run_bounds(t):
     return reports.routine_bounds(r.user_history(t))
 
@@ -405,20 +410,20 @@ def alert_detail(t):
 
 # ---------------------------------------------------------------- worklists
 
+@r.once
 def _spacious(t):
     return reports.indexes_with_free_space(r.free_space(t), r.table_usage(t), r.table_rows(t), SALES_AT)
 
 
+@r.once
 def _table_candidates(t):
-    used, rows = r.table_usage(t), r.table_rows(t)
     return worklists.table_candidates(
-        reports.tables_with_row_count(used, rows, SALES_AT),
-        reports.stale_statistics(used, rows, r.statistics(t), SALES_AT, threshold=5_000),
-        reports.fragmented_top_tables(r.fragmentation(t), used, SALES_AT),
+        tables_with_row_count(t), stale_statistics(t), fragmented_top_tables(t),
         _spacious(t).filter(F.col("Free_Space_MBs") > 96), SALES_AT,
     )
 
 
+@r.once
 def _index_candidates(t):
     return worklists.index_candidates(r.index_usage(t), _spacious(t).filter(F.col("Free_Space_MBs") > 92), SALES_AT)
 
@@ -438,6 +443,7 @@ def enrich_candidates(t):
     return worklists.enrich_candidates(_table_candidates(t), r.table_usage(t), r.table_rows(t), SALES_AT)
 
 
+@r.once
 def _commands(t):
     used, rows = r.table_usage(t), r.table_rows(t)
     tables = worklists.enrich_candidates(_table_candidates(t), used, rows, SALES_AT)
@@ -455,6 +461,7 @@ def rebuild_worklist(t):
     return rollup.joined_text(_commands(t), ["DBName", "TableName"], "Command", "Worklist")
 
 
+@r.once
 def _modified(t):
     return worklists.modified_percent(r.table_rows(t), r.statistics(t), r.table_usage(t), SALES_AT)
 
@@ -477,6 +484,7 @@ def stats_worklist(t):
 
 # ---------------------------------------------------------------- locks
 
+@r.once
 def _locks(t):
     return collect.lock_enrich(r.lock_rows(t), r.requests(t), r.request_texts(t), r.sessions(t), EVENTS_AT)
 

@@ -7,6 +7,8 @@ are the fixed "now" of the event and of the sales tables.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,19 @@ class Tables:
         return df
 
 
+def once(fn):
+    """Build a role once per set of tables."""
+    key = f"role {fn.__name__}"
+
+    @wraps(fn)
+    def build(t: Tables) -> DataFrame:
+        if key not in t.__dict__:
+            t.__dict__[key] = fn(t)
+        return t.__dict__[key]
+
+    return build
+
+
 def _id(prefix: str, key: str | Column) -> Column:
     return F.concat(F.lit(prefix), (F.col(key) if isinstance(key, str) else key).cast("string"))
 
@@ -55,6 +70,7 @@ def cents(name: str) -> Column:
 
 # ---------------------------------------------------------------- history tables
 
+@once
 def jobs(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("event_type").alias("JobName"),
@@ -67,6 +83,7 @@ def jobs(t: Tables) -> DataFrame:
     )
 
 
+@once
 def routine_exec(t: Tables) -> DataFrame:
     line = F.col("l_linenumber").cast("bigint")
     elapsed = cents("l_extendedprice") * line * line * line
@@ -90,6 +107,7 @@ def _tens(flag: str) -> Column:
     return used.cast("decimal(18,0)")
 
 
+@once
 def index_usage(t: Tables) -> DataFrame:
     line = F.col("l_linenumber")
     lookups = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.col("l_quantity")).otherwise(0)
@@ -103,6 +121,7 @@ def index_usage(t: Tables) -> DataFrame:
     )
 
 
+@once
 def table_rows(t: Tables) -> DataFrame:
     """Three weekly row counts per table; a quarter of the tables never change."""
     key, week = F.col("p_partkey"), F.col("week")
@@ -115,6 +134,7 @@ def table_rows(t: Tables) -> DataFrame:
     )
 
 
+@once
 def table_usage(t: Tables) -> DataFrame:
     usage = index_usage(t).filter(F.col("Date") <= ts_lit(SALES_AT)).withColumnsRenamed(
         {"DB_Name": "DatabaseName", "Table_Name": "TableName"}
@@ -127,6 +147,7 @@ def _sales_stamp() -> Column:
     return _days_ago(SALES_AT, F.col("l_orderkey") % 10)
 
 
+@once
 def statistics(t: Tables) -> DataFrame:
     prefix = F.when(F.col("l_linenumber") == 7, "_WA_").otherwise("ix_")
     return t.lineitem.select(
@@ -137,6 +158,7 @@ def statistics(t: Tables) -> DataFrame:
     )
 
 
+@once
 def fragmentation(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _part_database("l_partkey").alias("DB_Name"), _id("part_", "l_partkey").alias("Table_Name"),
@@ -147,6 +169,7 @@ def fragmentation(t: Tables) -> DataFrame:
     )
 
 
+@once
 def free_space(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _part_database("l_partkey").alias("DB_Name"), _id("part_", "l_partkey").alias("Table_Name"),
@@ -157,6 +180,7 @@ def free_space(t: Tables) -> DataFrame:
     )
 
 
+@once
 def databases(t: Tables) -> DataFrame:
     return t.supplier.select(
         F.col("s_suppkey").alias("dbID"), (F.col("s_suppkey") % 25).cast("int").alias("serID"),
@@ -164,6 +188,7 @@ def databases(t: Tables) -> DataFrame:
     )
 
 
+@once
 def io_intervals(t: Tables) -> DataFrame:
     """Order-to-shipment intervals as file I/O; some ship before the order, which gives negative intervals."""
     count = F.col("l_quantity").cast("bigint")
@@ -180,6 +205,7 @@ def io_intervals(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- counters
 
+@once
 def batch_samples(t: Tables) -> DataFrame:
     """A counter per user that grows and falls back every few samples."""
     return t.events.select(
@@ -189,6 +215,7 @@ def batch_samples(t: Tables) -> DataFrame:
     )
 
 
+@once
 def packet_samples(t: Tables) -> DataFrame:
     return t.events.select(
         _id("server_", F.col("user_id") % 20).alias("server_name"),
@@ -198,6 +225,7 @@ def packet_samples(t: Tables) -> DataFrame:
     )
 
 
+@once
 def io_samples(t: Tables) -> DataFrame:
     """Cumulative file counters, restarted each week."""
     n = F.col("event_id")
@@ -210,6 +238,7 @@ def io_samples(t: Tables) -> DataFrame:
     )
 
 
+@once
 def delivery_history(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("user_id").alias("agent_id"), _week("ts").alias("start_time"),
@@ -218,10 +247,12 @@ def delivery_history(t: Tables) -> DataFrame:
     )
 
 
+@once
 def agents(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
 
 
+@once
 def counter_rows(t: Tables) -> DataFrame:
     """Counter rows per server and day, with the blank padding of the source."""
     kind = F.col("event_type")
@@ -247,6 +278,7 @@ def counter_rows(t: Tables) -> DataFrame:
     )
 
 
+@once
 def ring_records(t: Tables) -> DataFrame:
     """Health records as XML; some lack the idle node."""
     n = F.col("event_id")
@@ -264,10 +296,12 @@ def ring_records(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- job sources
 
+@once
 def agent_job_names(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("job_id"), F.col("c_name").alias("name"))
 
 
+@once
 def agent_runs(t: Tables) -> DataFrame:
     n = F.col("o_orderkey")
     return t.orders.select(
@@ -280,6 +314,7 @@ def agent_runs(t: Tables) -> DataFrame:
     )
 
 
+@once
 def report_log(t: Tables) -> DataFrame:
     return t.events.select(
         F.concat(F.lit("/"), "event_type").alias("ReportPath"), F.col("props").alias("Parameters"),
@@ -290,6 +325,7 @@ def report_log(t: Tables) -> DataFrame:
     )
 
 
+@once
 def etl_stats(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _id("Package.", "l_linenumber").alias("execution_path"), F.col("l_shipdate").alias("start_time"),
@@ -304,6 +340,7 @@ def _catalog_database(key: str) -> Column:
     return _id("db_", F.col(key) % 5)
 
 
+@once
 def objects(t: Tables) -> DataFrame:
     """Neighbouring parts share a name, so names repeat across databases."""
     key = F.col("p_partkey")
@@ -317,6 +354,7 @@ def objects(t: Tables) -> DataFrame:
     )
 
 
+@once
 def indexes(t: Tables) -> DataFrame:
     """Up to five indexes per object."""
     key, n = F.col("p_partkey"), F.col("index_id")
@@ -329,6 +367,7 @@ def indexes(t: Tables) -> DataFrame:
     )
 
 
+@once
 def usage_extract(t: Tables) -> DataFrame:
     def used(flag):
         return F.when(F.col("l_returnflag") == flag, F.col("l_quantity")).otherwise(0).cast("bigint")
@@ -345,6 +384,7 @@ def usage_extract(t: Tables) -> DataFrame:
     )
 
 
+@once
 def physical_extract(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _catalog_database("l_partkey").alias("DB_Name"), (F.col("l_partkey") + 101).alias("object_id"),
@@ -353,6 +393,7 @@ def physical_extract(t: Tables) -> DataFrame:
     )
 
 
+@once
 def statistics_extract(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _catalog_database("l_partkey").alias("DB_Name"), (F.col("l_partkey") + 101).alias("object_id"),
@@ -361,6 +402,7 @@ def statistics_extract(t: Tables) -> DataFrame:
     )
 
 
+@once
 def partition_rows(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _catalog_database("l_partkey").alias("DB_Name"), (F.col("l_partkey") + 101).alias("object_id"),
@@ -368,6 +410,7 @@ def partition_rows(t: Tables) -> DataFrame:
     )
 
 
+@once
 def cached_plans(t: Tables) -> DataFrame:
     """One cached plan per sale of a part, named after the part's object."""
     return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
@@ -378,6 +421,7 @@ def cached_plans(t: Tables) -> DataFrame:
     )
 
 
+@once
 def procedures(t: Tables) -> DataFrame:
     return t.supplier.select(
         _catalog_database("s_suppkey").alias("DB_Name"), F.col("s_suppkey").alias("object_id"),
@@ -385,6 +429,7 @@ def procedures(t: Tables) -> DataFrame:
     )
 
 
+@once
 def procedure_stats(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _catalog_database("l_suppkey").alias("DB_Name"), F.col("l_suppkey").alias("object_id"),
@@ -396,6 +441,7 @@ def procedure_stats(t: Tables) -> DataFrame:
     )
 
 
+@once
 def query_stats(t: Tables) -> DataFrame:
     n, spent = F.col("o_orderkey"), cents("o_totalprice") * 10
     return t.orders.select(
@@ -410,6 +456,7 @@ def query_stats(t: Tables) -> DataFrame:
     )
 
 
+@once
 def query_texts(t: Tables) -> DataFrame:
     return t.customer.filter(F.col("c_mktsegment") != "MACHINERY").select(
         F.col("c_custkey").alias("sql_handle"), F.concat(F.lit("select * from "), "c_name").alias("text"),
@@ -417,12 +464,14 @@ def query_texts(t: Tables) -> DataFrame:
     )
 
 
+@once
 def query_plans(t: Tables) -> DataFrame:
     return t.orders.filter(F.col("o_orderstatus") != "P").select(
         F.col("o_orderkey").alias("plan_handle"), _id("<plan/>", "o_orderkey").alias("query_plan")
     )
 
 
+@once
 def buffers(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _catalog_database("l_suppkey").alias("DB_Name"),
@@ -432,10 +481,12 @@ def buffers(t: Tables) -> DataFrame:
     )
 
 
+@once
 def _units(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", "s_name", F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
 
 
+@once
 def allocation_units(t: Tables) -> DataFrame:
     unit = F.col("s_suppkey") * 2 + F.col("n")
     return _units(t).select(
@@ -444,6 +495,7 @@ def allocation_units(t: Tables) -> DataFrame:
     )
 
 
+@once
 def unit_partitions(t: Tables) -> DataFrame:
     return _units(t).select(
         _catalog_database("s_suppkey").alias("DB_Name"),
@@ -452,6 +504,7 @@ def unit_partitions(t: Tables) -> DataFrame:
     )
 
 
+@once
 def unit_indexes(t: Tables) -> DataFrame:
     return _units(t).select(
         _catalog_database("s_suppkey").alias("DB_Name"), (F.col("s_suppkey") + 99).alias("object_id"),
@@ -460,6 +513,7 @@ def unit_indexes(t: Tables) -> DataFrame:
     )
 
 
+@once
 def unit_objects(t: Tables) -> DataFrame:
     return t.supplier.select(
         _catalog_database("s_suppkey").alias("DB_Name"), (F.col("s_suppkey") + 99).alias("object_id"),
@@ -469,6 +523,7 @@ def unit_objects(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- alerts, locks, servers, text
 
+@once
 def user_procedures(t: Tables) -> DataFrame:
     return t.customer.select(
         _catalog_database("c_custkey").alias("DB_Name"), F.col("c_custkey").alias("object_id"),
@@ -476,6 +531,7 @@ def user_procedures(t: Tables) -> DataFrame:
     )
 
 
+@once
 def user_runs(t: Tables) -> DataFrame:
     return t.events.select(
         _catalog_database("user_id").alias("DB_Name"), (F.col("user_id") % 5 + 4).alias("database_id"),
@@ -484,6 +540,7 @@ def user_runs(t: Tables) -> DataFrame:
     )
 
 
+@once
 def user_history(t: Tables) -> DataFrame:
     """Execution history of the users' procedures."""
     return t.events.join(t.customer, F.col("user_id") == F.col("c_custkey")).select(
@@ -492,10 +549,12 @@ def user_history(t: Tables) -> DataFrame:
     )
 
 
+@once
 def exclusions(t: Tables) -> DataFrame:
     return t.customer.filter(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_name").alias("Item"))
 
 
+@once
 def lock_rows(t: Tables) -> DataFrame:
     n = F.col("event_id")
     return t.events.select(
@@ -506,6 +565,7 @@ def lock_rows(t: Tables) -> DataFrame:
     )
 
 
+@once
 def requests(t: Tables) -> DataFrame:
     return t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "FURNITURE")).select(
         F.col("c_custkey").cast("int").alias("session_id"), F.col("c_nationkey").alias("sql_handle"),
@@ -513,12 +573,14 @@ def requests(t: Tables) -> DataFrame:
     )
 
 
+@once
 def request_texts(t: Tables) -> DataFrame:
     return t.nation.filter(F.col("n_regionkey") < 4).select(
         F.col("n_nationkey").alias("sql_handle"), F.concat(F.lit("exec "), "n_name").alias("text")
     )
 
 
+@once
 def sessions(t: Tables) -> DataFrame:
     return t.customer.filter(F.col("c_acctbal") > 0).select(
         F.col("c_custkey").cast("int").alias("session_id"), F.col("c_mktsegment").alias("host_name"),
@@ -527,6 +589,7 @@ def sessions(t: Tables) -> DataFrame:
     )
 
 
+@once
 def lock_databases(t: Tables) -> DataFrame:
     return t.region.select(
         F.col("r_regionkey").alias("database_id"),
@@ -534,6 +597,7 @@ def lock_databases(t: Tables) -> DataFrame:
     )
 
 
+@once
 def lock_objects(t: Tables) -> DataFrame:
     kind = F.when(F.col("p_size") == 1, "change_tracking_").otherwise("part_")
     return t.part.join(lock_databases(t), (F.col("p_partkey") % 5) == F.col("database_id")).select(
@@ -542,6 +606,7 @@ def lock_objects(t: Tables) -> DataFrame:
     ).withColumnRenamed("ObjectLabel", "name")
 
 
+@once
 def servers(t: Tables) -> DataFrame:
     none = F.lit(None)
     return t.nation.select(
@@ -552,6 +617,7 @@ def servers(t: Tables) -> DataFrame:
     )
 
 
+@once
 def probes(t: Tables) -> DataFrame:
     """What the servers of the first regions reported, from the balances of their suppliers."""
     per_server = t.supplier.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"), F.max(cents("s_acctbal")).alias("kb"))
@@ -563,6 +629,7 @@ def probes(t: Tables) -> DataFrame:
     )
 
 
+@once
 def io_stats(t: Tables) -> DataFrame:
     count = F.col("l_quantity").cast("bigint")
     return t.lineitem.select(
@@ -573,6 +640,7 @@ def io_stats(t: Tables) -> DataFrame:
     )
 
 
+@once
 def io_files(t: Tables) -> DataFrame:
     spread = t.supplier.select("s_suppkey", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("file_id"))
     return spread.select(
@@ -583,14 +651,17 @@ def io_files(t: Tables) -> DataFrame:
     )
 
 
+@once
 def io_databases(t: Tables) -> DataFrame:
     return t.supplier.select(F.col("s_suppkey").alias("database_id"), F.col("s_name").alias("name"))
 
 
+@once
 def modules(t: Tables) -> DataFrame:
     return t.documents.select(F.col("doc_id").alias("object_id"), F.col("text").alias("definition"))
 
 
+@once
 def module_objects(t: Tables) -> DataFrame:
     prefix = F.when(F.col("lang") == "de", "sp_MSins_").otherwise("usp_")
     start = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")

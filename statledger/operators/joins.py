@@ -28,17 +28,22 @@ def lookup_join(
     it the facts are counted first.
     """
     keys = list(keys)
+    rest_columns = [c for c in lookup.columns if c not in keys]
     if weight is None:
         heavy = F.broadcast(hot_keys(facts, keys, hot_rows).select(*keys))
         hot = F.broadcast(lookup.join(heavy, keys, "left_semi"))
         # a hot key need not be in the lookup, so the heavy list alone decides who goes where
         hot_part = facts.join(heavy, keys, "left_semi").join(hot, keys, how)
+        cold_facts = facts.join(heavy, keys, "left_anti")
     else:
-        hot = F.broadcast(lookup.filter(F.col(weight) > hot_rows))
-        heavy = F.broadcast(lookup.filter(F.col(weight) > hot_rows).select(*keys))
-        hot_part = facts.join(hot, keys, "inner")
-    rest = facts.join(heavy, keys, "left_anti").join(lookup, keys, how)
-    return hot_part.unionByName(rest)
+        # One struct for both sides of the split keeps their plans equal, so the lookup is computed once.
+        packed = F.struct(*rest_columns).alias("__hot")
+        hot = F.broadcast(lookup.filter(F.col(weight) > hot_rows).select(*keys, packed))
+        marked = facts.join(hot, keys, "left")
+        hot_part = marked.filter(F.col("__hot").isNotNull()).select(*facts.columns, "__hot.*")
+        cold_facts = marked.filter(F.col("__hot").isNull()).select(*facts.columns)
+    cold_part = cold_facts.join(lookup, keys, how)
+    return hot_part.unionByName(cold_part).select(*facts.columns, *rest_columns)
 
 
 def update_from(

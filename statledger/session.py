@@ -11,7 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split skewed joins also where a following aggregate could have reused their partitioning
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # no call-site capture per column expression: plans are built several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
