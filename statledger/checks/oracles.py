@@ -430,6 +430,16 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         CASE WHEN nw = 0 THEN 0 ELSE sw // nw END AS "AvgStallPerWriteIO",
         CASE WHEN nr + nw = 0 THEN 0 ELSE (sr + sw) // (nr + nw) END AS "AvgStallPerIO" FROM io_delta
         WHERE nr + nw >= 0""", ["io_delta"]),
+    "file_io_continue": (
+        """SELECT CAST(user_id % 5 AS INTEGER) AS "serID", user_id AS "dbID", 'C' AS database_drive, 'file_' || user_id AS database_file_name,
+        nr AS "NumberReads", nw AS "NumberWrites", mr AS "MBsRead", mw AS "MBsWritten", s1 AS "IoStallReadMS", sw AS "IoStallWriteMS",
+        t0 AS report_date_time_start, ts AS report_date_time_end, wk AS "TimeStamp", nr + nw AS "TotalIO", mr + mw AS "TotalMBs",
+        s1 + sw AS "IoStallMS", CASE WHEN nr = 0 THEN 0 ELSE s1 // nr END AS "AvgStallPerReadIO",
+        CASE WHEN nw = 0 THEN 0 ELSE sw // nw END AS "AvgStallPerWriteIO",
+        CASE WHEN nr + nw = 0 THEN 0 ELSE (s1 + sw) // (nr + nw) END AS "AvgStallPerIO" FROM (
+        SELECT d.*, d.n * d.n % 1000003 - coalesce((SELECT CAST(sum(e.sr) AS BIGINT) FROM io_delta e WHERE e.user_id = d.user_id
+        AND e.wk = d.wk AND e.ts < d.ts), 0) AS s1 FROM io_delta d
+        QUALIFY row_number() OVER (PARTITION BY d.user_id ORDER BY d.ts DESC) = 1)""", ["io_delta"]),
     "batch_delta": (
         """SELECT 'SQLServer:SQL Statistics' AS object_name, 'Batch Requests/sec ' || user_id AS counter_name, c AS cntr_value,
         ts AS "Date", CAST(s AS INTEGER) AS seconds, r AS requests FROM batch""", ["batch"]),

@@ -218,6 +218,15 @@ def file_io(t):
     return collect.file_io(r.io_samples(t))
 
 
+@query
+def file_io_continue(t):
+    """The newest sample of each file, continued from the intervals before it."""
+    samples = r.io_samples(t)
+    newest = ordered.latest_per(samples, collect.IO_KEYS, "report_date_time_end")
+    before = samples.join(newest.select(*collect.IO_KEYS, "report_date_time_end"), [*collect.IO_KEYS, "report_date_time_end"], "left_anti")
+    return collect.file_io_continue(newest, collect.file_io(before))
+
+
 @query
 def batch_delta(t):
     return collect.batch_delta(r.batch_samples(t))

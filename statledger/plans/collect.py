@@ -20,8 +20,8 @@ from ..functions.text import message_tail, quotename, statement_slice
 from ..functions.timeparts import (
     add_seconds, boundary_diff, date_key, days_before, packed_datetime, packed_seconds, tick_time, ts_lit,
 )
-from ..operators.counters import counter_delta, counter_ratio, per_minute, pivot_counters
-from ..operators.joins import seed_missing, update_from
+from ..operators.counters import counter_delta, counter_ratio, counter_step, per_minute, pivot_counters
+from ..operators.joins import lookup_join, update_from
 from ..operators.ordered import HOT_ROWS, top_k, top_k_per, with_previous
 from ..operators.rollup import usage_share
 from ..operators.timewindow import drop_where, recent
@@ -367,6 +367,46 @@ def file_io(snapshots: DataFrame, *, keys: Sequence[str] = IO_KEYS, hot_rows: in
     deltas = counter_delta(
         snapshots, keys, "report_date_time_end", IO_COUNTERS, epoch="TimeStamp", hot_rows=hot_rows,
     )
+    return _io_rows(deltas, keys)
+
+
+def file_io_step(
+    snapshot: DataFrame, last: DataFrame | None, *, keys: Sequence[str] = IO_KEYS, hot_rows: int | None = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Interval I/O of one new snapshot, given the last cumulative sample of each file, and the next last samples."""
+    deltas, newest = counter_step(
+        snapshot, last, keys, "report_date_time_end", IO_COUNTERS, epoch="TimeStamp", hot_rows=hot_rows
+    )
+    return _io_rows(deltas.filter(~F.col("late")), keys), newest
+
+
+def file_io_continue(
+    snapshot: DataFrame, stored: DataFrame, *, keys: Sequence[str] = IO_KEYS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Interval I/O of one new snapshot, given stored intervals only.
+
+    What a file has counted since the restart is the sum of its intervals that
+    began after it; the new interval is the rest. A file without such intervals
+    counts from the restart. ``snapshot`` holds one row per file.
+    """
+    keys = list(keys)
+    spans = snapshot.select(*keys, F.col("TimeStamp").alias("__epoch"), F.col("report_date_time_end").alias("__end"))
+    history = stored.select(*keys, *IO_COUNTERS, "report_date_time_start", "report_date_time_end")
+    since = lookup_join(history, spans, keys, hot_rows=hot_rows).filter(
+        (F.col("report_date_time_start") >= F.col("__epoch")) & (F.col("report_date_time_end") < F.col("__end"))
+    )
+    counted = since.groupBy(*keys).agg(
+        *[F.sum(c).alias(f"__sum_{c}") for c in IO_COUNTERS], F.max("report_date_time_end").alias("__last_end")
+    )
+    joined = snapshot.join(counted, keys, "left")
+    return drop_bad_deltas(io_metrics(joined.select(
+        *keys,
+        *[(F.col(c) - F.coalesce(F.col(f"__sum_{c}"), F.lit(0))).alias(c) for c in IO_COUNTERS],
+        F.coalesce("__last_end", "TimeStamp").alias("report_date_time_start"), "report_date_time_end", "TimeStamp",
+    )))
+
+
+def _io_rows(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
     shaped = deltas.select(
         *keys, *[F.col(f"{c}_delta").alias(c) for c in IO_COUNTERS],
         F.col("interval_start").alias("report_date_time_start"), "report_date_time_end", "TimeStamp",

@@ -7,11 +7,12 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import ts_lit
-from ..operators.timewindow import apply_retention
-from ..sources.history import append_snapshot, drop_expired, read_history
-from ..sources.schemas import RETENTION_DAYS, STAMP, schema
-from . import alerts, reports
+from ..functions.timeparts import parse_as_of, ts_lit
+from ..operators import timewindow
+from ..operators.timewindow import PARTITION, apply_retention
+from ..sources.history import RUN, append_snapshot, drop_expired, read_history
+from ..sources.schemas import RETENTION_DAYS, STAMP
+from . import alerts, reports, worklists
 
 Task = Callable[[], DataFrame]
 
@@ -36,23 +37,24 @@ def run_isolated(spark: SparkSession, tasks: Mapping[str, Callable[[], None]], a
 
 
 def run_collect(
-    spark: SparkSession, root: str, collectors: Mapping[str, Task], as_of, *, extra=(), retention: bool = True
+    spark: SparkSession, root: str, collectors: Mapping[str, Task], as_of, *, extra=(),
+    retention_days: Mapping[str, int] = RETENTION_DAYS,
 ) -> DataFrame:
-    """Collect each table into its history, then drop expired days and record the failures.
+    """Collect each table into its history, then drop expired days. Failures are recorded and returned.
 
     ``collectors`` maps history table to a function that builds the rows to append.
+    Tables without an entry in ``retention_days`` keep everything.
     """
-    tasks = {
-        table: (lambda t=table, build=build: append_snapshot(build(), root, t, as_of, extra=extra))
-        for table, build in collectors.items()
-    }
-    errors = run_isolated(spark, tasks, as_of).cache()
+
+    def append(table: str, build: Task) -> Callable[[], None]:
+        return lambda: append_snapshot(build(), root, table, as_of, extra=extra)
+
+    errors = run_isolated(spark, {table: append(table, build) for table, build in collectors.items()}, as_of)
     if not errors.isEmpty():
         append_snapshot(errors, root, "errors", as_of)
-    if retention:
-        for table in collectors:
-            if table in RETENTION_DAYS:
-                drop_expired(spark, root, table, RETENTION_DAYS[table], as_of)
+    for table in collectors:
+        if table in retention_days:
+            drop_expired(spark, root, table, retention_days[table], as_of)
     return errors
 
 
@@ -64,16 +66,55 @@ def history(spark: SparkSession, root: str, table: str, as_of, *, extra=()) -> D
 
 
 def run_alerts(
-    spark: SparkSession, root: str, runs: DataFrame, as_of, *, min_runs: int = 2, n: int = 1000
-) -> tuple[DataFrame, DataFrame]:
-    """Flag repeatedly slow routines against their history.
+    spark: SparkSession, root: str, runs: DataFrame, as_of, *, min_runs: int = 2, n: int = 1000, extra=()
+) -> DataFrame:
+    """Flag repeatedly slow routines against their history and store the alert rows of this ``as_of``.
 
-    Returns the flagged names and the alert rows. With nothing flagged the alert
-    is empty; writing it to a table takes the place of sending it.
+    The recent runs and the flagged names are stored as well. With nothing
+    flagged, no alert rows are written. Returns the stored alert rows.
     """
-    bounds = reports.routine_bounds(history(spark, root, "routine_exec", as_of))
-    flagged = alerts.repeat_offenders(runs, bounds, min_runs=min_runs)
-    return flagged, alerts.alert_detail(runs, bounds, flagged, n=n)
-
-
-__all__ = ["error_rows", "history", "run_alerts", "run_collect", "run_isolated", "schema"]
+    bounds = reports.routine_bounds(history(spark, root, "routine_exec", as_of, extra=extra), scope=extra)
+    flagged = alerts.repeat_offenders(runs, bounds, min_runs=min_runs, scope=extra)
+    append_snapshot(runs, root, "recent_runs", as_of, extra=extra)
+    append_snapshot(flagged, root, "flagged_routines", as_of, extra=extra)
+    stored = _of_run(spark, root, "flagged_routines", as_of, extra)
+    if not stored.isEmpty():
+        append_snapshot(alerts.alert_detail(runs, bounds, stored, n=n, scope=extra), root, "alerts", as_of, extra=extra)
+    return _of_run(spark, root, "alerts", as_of, extra)
+
+
+def _of_run(spark: SparkSession, root: str, table: str, as_of, extra) -> DataFrame:
+    """The rows one run stored."""
+    at = parse_as_of(as_of)
+    day = F.lit(at.date().isoformat()).cast("date")
+    stored = read_history(spark, root, table, extra=extra)
+    return stored.filter((F.col(PARTITION) == day) & (F.col(RUN) == at.strftime("%H%M%S"))).drop(PARTITION, RUN)
+
+
+def run_recommend(
+    spark: SparkSession, root: str, as_of, *, max_rows: int = 1_700_000, max_index_rows: int = 3_000_000,
+    percent_modified: int = 2, stats_max_rows: int = 45_000_000, min_modified: int = 90_000, online: bool = True,
+    maxdop: int = 2, extra=(),
+) -> tuple[DataFrame, DataFrame]:
+    """Rebuild commands and statistics commands from the stored history. Nothing is executed."""
+
+    def stored(table: str) -> DataFrame:
+        return history(spark, root, table, as_of, extra=extra)
+
+    used, rows, stats = stored("table_usage"), stored("table_rows"), stored("statistics")
+    spacious = reports.indexes_with_free_space(stored("index_free_space"), used, rows, as_of, scope=extra)
+    tables = worklists.table_candidates(
+        reports.tables_with_row_count(used, rows, as_of, scope=extra),
+        reports.stale_statistics(used, rows, stats, as_of, scope=extra),
+        reports.fragmented_top_tables(stored("fragmentation"), used, as_of, scope=extra),
+        spacious, as_of, scope=extra,
+    )
+    indexes = worklists.index_candidates(stored("index_usage"), spacious, as_of, scope=extra)
+    tables = worklists.enrich_candidates(tables, used, rows, as_of, scope=extra)
+    indexes = worklists.enrich_candidates(indexes, used, rows, as_of, scope=extra)
+    rebuilds = worklists.rebuild_commands(
+        tables, indexes, max_rows, max_index_rows, online=online, maxdop=maxdop, scope=extra
+    )
+    current = timewindow.recent(stats, "Date", reports.WEEK, as_of)
+    modified = worklists.modified_percent(rows, current, used, as_of, scope=extra)
+    return rebuilds, worklists.stats_worklist(modified, percent_modified, stats_max_rows, min_modified, scope=extra)

@@ -67,6 +67,7 @@ _DDL = {
         autogrow_growth_tpye STRING, autogrow_max_size BIGINT, date_time_added TIMESTAMP_NTZ""",
     "recent_runs": "DB_Name STRING, SP_Name STRING, last_elapsed_time BIGINT, Date TIMESTAMP_NTZ",
     "flagged_routines": "SP_Name STRING",
+    "alerts": "SPName STRING, last_elapsed_time BIGINT, Mean BIGINT, UpprBnd BIGINT, Date TIMESTAMP_NTZ",
     "packets": """PacketsReceivedBase BIGINT, PacketsSentBase BIGINT, PacketErrorsBase BIGINT, Date TIMESTAMP_NTZ,
         seconds INT, PacketsReceived INT, PacketsSent INT, PacketErrors INT""",
     "cpu": "Date TIMESTAMP_NTZ, SQLProcessUtilization INT, SystemIdle INT, OtherProcessUtilization INT",

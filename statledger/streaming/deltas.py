@@ -12,57 +12,25 @@ import posixpath
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.counters import counter_delta
-from ..operators.ordered import HOT_ROWS, latest_per
-from .tables import newest_before, write_batch
-
-
-def delta_step(
-    batch: DataFrame, last: DataFrame | None, keys: Sequence[str], ts: str, columns: Sequence[str], *,
-    epoch: str | None = None, on_reset: str = "cumulative", first: str = "cumulative",
-    hot_rows: int | None = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Increments of one batch and the next last-sample table.
-
-    A sample that is not newer than the last one of its key came too late: it is
-    reported with ``late`` true and no increments, and leaves the state alone.
-    """
-    keys = list(keys)
-    kept = [*keys, ts, *columns, *([epoch] if epoch else [])]
-    samples = batch.select(*kept)
-    if last is None:
-        pool, tardy = samples.withColumn("__fresh", F.lit(True)), samples.limit(0)
-    else:
-        seen = last.select(*keys, F.col(ts).alias("__last"))
-        checked = samples.join(seen, keys, "left").withColumn(
-            "__late", F.coalesce(F.col(ts) <= F.col("__last"), F.lit(False))
-        )
-        tardy = checked.filter("__late").select(*kept)
-        fresh = checked.filter("NOT __late").select(*kept).withColumn("__fresh", F.lit(True))
-        pool = fresh.unionByName(last.select(*kept).withColumn("__fresh", F.lit(False)))
-    deltas = counter_delta(
-        pool, keys, ts, columns, epoch=epoch, on_reset=on_reset, first=first, tie=["__fresh"], hot_rows=hot_rows
-    )
-    done = deltas.filter("__fresh").drop("__fresh").withColumn("late", F.lit(False))
-    out = done.unionByName(tardy.withColumn("late", F.lit(True)), allowMissingColumns=True)
-    return out, latest_per(pool.drop("__fresh"), keys, ts)
+from ..operators.counters import counter_step
+from .tables import drop_versions, newest_before, write_batch
 
 
 def stream_deltas(
     stream: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], *, root: str, once: bool = True, **policy
 ) -> StreamingQuery:
-    """Run :func:`delta_step` on every micro-batch; increments go to ``<root>/deltas``, state to ``<root>/last``."""
+    """Run :func:`counter_step` on every micro-batch; increments go to ``<root>/deltas``, state to ``<root>/last``."""
     state, out = posixpath.join(root, "last"), posixpath.join(root, "deltas")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         last = newest_before(batch.sparkSession, state, batch_id)
-        deltas, newest = delta_step(rows, last, keys, ts, columns, **policy)
+        deltas, newest = counter_step(rows, last, keys, ts, columns, **policy)
         write_batch(deltas, out, batch_id)
         write_batch(newest, state, batch_id)
+        drop_versions(batch.sparkSession, state, batch_id)
         rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", posixpath.join(root, "checkpoint"))

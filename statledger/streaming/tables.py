@@ -19,19 +19,30 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Batch numbers stored under a path, newest first."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path_of(path)):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(path_of(path))]
+    return sorted((int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=")), reverse=True)
+
+
 def newest_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Output of the last complete micro-batch before ``batch_id``, if there is one."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for number in _numbers(spark, path):
+        folder = posixpath.join(path, f"{BATCH}={number}")
+        done = path_of(posixpath.join(folder, "_SUCCESS"))
+        if number < batch_id and done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            return spark.read.parquet(folder)
+    return None
+
+
+def drop_versions(spark: SparkSession, path: str, batch_id: int, keep: int = 3) -> None:
+    """Remove state versions that no replay can ask for any more; the last ``keep`` stay."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
     fs = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path_of(path)):
-        return None
-    found = -1
-    for status in fs.listStatus(path_of(path)):  # one entry per batch
-        name = status.getPath().getName()
-        if not name.startswith(f"{BATCH}="):
-            continue
-        number = int(name.split("=")[1])
-        complete = fs.exists(path_of(posixpath.join(path, name, "_SUCCESS")))
-        if complete and found < number < batch_id:
-            found = number
-    return spark.read.parquet(posixpath.join(path, f"{BATCH}={found}")) if found >= 0 else None
+    for number in [n for n in _numbers(spark, path) if n <= batch_id][keep:]:
+        fs.delete(path_of(posixpath.join(path, f"{BATCH}={number}")), True)
