@@ -32,13 +32,25 @@ def days_before(as_of, days) -> datetime:
 def week_of_year(ts) -> Column:
     """US week number: week 1 holds January 1 and weeks start on Sunday."""
     ts = _col(ts)
-    return (F.floor((F.dayofyear(ts) + F.dayofweek(F.trunc(ts, "year")) - 2) / 7) + 1).cast("int")
+    since_new_year = F.dayofyear(ts) - 1
+    first_weekday = F.pmod(F.dayofweek(ts) - 1 - since_new_year, F.lit(7))  # of January 1, Sunday = 0
+    return (int_div(since_new_year + first_weekday, 7) + 1).cast("int")
+
+
+def week_slot(ts) -> Column:
+    """Year and US week as one int, ``yyyyww``: the cheap grouping key behind :func:`year_week`."""
+    return F.year(_col(ts)) * 100 + week_of_year(ts)
+
+
+def week_label(slot) -> Column:
+    """``'yyyy.ww'`` of a :func:`week_slot`."""
+    text = _col(slot).cast("string")
+    return F.concat(F.substring(text, 1, 4), F.lit("."), F.substring(text, 5, 2))
 
 
 def year_week(ts) -> Column:
     """``'yyyy.ww'`` with the US week number, zero padded."""
-    ts = _col(ts)
-    return F.concat(F.year(ts).cast("string"), F.lit("."), F.lpad(week_of_year(ts).cast("string"), 2, "0"))
+    return week_label(week_slot(ts))
 
 
 def date_key(ts) -> Column:

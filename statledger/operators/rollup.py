@@ -26,16 +26,14 @@ def duration_bucket(micros: Column) -> tuple[Column, Column]:
 def usage_share(df: DataFrame, keys: Sequence[str], seeks: str, scans: str, updates: str) -> DataFrame:
     """Access totals and read/write, seek/scan percentages per key, for keys with any read.
 
-    A row with an unknown counter adds nothing to the combined totals.
+    A row with an unknown counter adds nothing to the combined totals. Totals are
+    stored with 18 digits, so they are summed as bigint, without decimal objects.
     """
-    s, c, u = F.col(seeks), F.col(scans), F.col(updates)
-    totals = df.groupBy(*keys).agg(
-        F.sum(s + c + u).alias("TotalAccesses"),
-        F.sum(u).alias("TotalWrites"),
-        F.sum(s + c).alias("TotalReads"),
-        F.sum(s).alias("ReadSeeks"),
-        F.sum(c).alias("ReadScans"),
-    )
+    s, c, u = (F.col(name).cast("bigint") for name in (seeks, scans, updates))
+    sums = {
+        "TotalAccesses": s + c + u, "TotalWrites": u, "TotalReads": s + c, "ReadSeeks": s, "ReadScans": c,
+    }
+    totals = df.groupBy(*keys).agg(*[F.sum(x).cast("decimal(18,0)").alias(out) for out, x in sums.items()])
     return totals.filter(F.col("TotalReads") > 0).select(
         *keys,
         "TotalAccesses",

@@ -109,8 +109,7 @@ def table_usage(
     per_object = _named(usage.join(repeats, keys), objects, scope, "TableName").select(
         *scope, F.col("DB_Name").alias("DatabaseName"), "TableName",
         *[
-            (F.col(c) * F.col("__indexes")).cast("decimal(18,0)").alias(c)
-            for c in ("user_seeks", "user_scans", "user_updates")
+            (F.col(c) * F.col("__indexes")).alias(c) for c in ("user_seeks", "user_scans", "user_updates")
         ],
     )
     shares = usage_share(per_object, [*scope, "DatabaseName", "TableName"], "user_seeks", "user_scans", "user_updates")

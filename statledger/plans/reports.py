@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import guarded_div, int_avg, int_div, micros_to_millis, ratio_of_sums, trunc_int
 from ..functions.text import clean_text, rebuild_index_command, update_statistics_command
-from ..functions.timeparts import boundary_diff, date_key, midnight, ts_lit, days_before, weekday_name, year_week
+from ..functions.timeparts import boundary_diff, date_key, midnight, days_before, ts_lit, week_label, week_slot, weekday_name, year_week
 from ..operators.bounds import outlier_summary, outliers, sigma_bounds
 from ..operators.ordered import HOT_ROWS, latest_per, top_k, top_k_per
 from ..operators.rollup import duration_bucket, single_valued
@@ -33,15 +33,20 @@ ROUTINE_KEYS = ["DB_Name", "SP Name"]
 
 def jobs_weekly(jobs: DataFrame, *, scope: Scope = ()) -> DataFrame:
     """Runs, total and mean seconds per job, status, owner and week (whole-job rows only)."""
-    return (
+    server = F.col(scope[0]) if scope else F.lit(None).cast("string")
+    grouped = (
         jobs.filter(F.col("JobFailStep") == STEP_OUTCOME)
-        .groupBy(*scope, "JobName", "RunStatus", year_week("RunDateTime").alias("YearWeek"), "owner")
+        .groupBy(*scope, "JobName", "RunStatus", week_slot("RunDateTime").alias("__week"), "owner")
         .agg(
             F.count("JobName").alias("TotalExecutionCount"),
             F.sum("JobDurationSeconds").alias("TotalElapsedTimeSeconds"),
-            int_div(F.sum("JobDurationSeconds"), F.count("JobName")).alias("AvgElapsedTimeSeconds"),
         )
-        .withColumn("ServerName", F.col(scope[0]) if scope else F.lit(None).cast("string"))
+    )
+    return grouped.select(
+        *scope, "JobName", "RunStatus", week_label("__week").alias("YearWeek"), "TotalExecutionCount",
+        "TotalElapsedTimeSeconds",
+        int_div("TotalElapsedTimeSeconds", "TotalExecutionCount").alias("AvgElapsedTimeSeconds"), "owner",
+        server.alias("ServerName"),
     )
 
 
@@ -89,7 +94,7 @@ def routine_weekly(runs: DataFrame, *, scope: Scope = ()) -> DataFrame:
     label, order = duration_bucket(F.col("__mean"))
     grouped = runs.groupBy(
         *scope, F.col("DB_Name").alias("DBName"), F.col("SP Name").alias("SPName"), "cached_time",
-        year_week("Date").alias("YearWeek"),
+        week_slot("Date").alias("__week"),
     ).agg(
         F.sum("execution_count").alias("TotalExecutionCount"),
         F.sum("total_elapsed_time").alias("TotalElapsedTime"),
@@ -100,7 +105,7 @@ def routine_weekly(runs: DataFrame, *, scope: Scope = ()) -> DataFrame:
     return grouped.select(
         *scope, "DBName", "SPName", "cached_time", "TotalExecutionCount", "TotalElapsedTime",
         micros_to_millis("__mean").alias("AvgExecutionDurationMilliSeconds"), label.alias("ExecTimeCat"),
-        "AvgLogicalReads", "AvgTotalLogicalWrites", "YearWeek", order.alias("SortOrder"),
+        "AvgLogicalReads", "AvgTotalLogicalWrites", week_label("__week").alias("YearWeek"), order.alias("SortOrder"),
     )
 
 
@@ -110,15 +115,20 @@ def routine_detail(runs: DataFrame, *, scope: Scope = ()) -> DataFrame:
     ``AvgExecutionDurationMilliSeconds`` keeps its historical name but holds
     microseconds; ``AvgExecutionMilliSeconds`` has the unit its name says.
     """
-    mean = int_div("total_elapsed_time", "execution_count")
+    mean = int_div("TotalElapsedTime", "TotalExecutionCount")
     label, order = duration_bucket(mean)
-    return runs.select(
+    # everything else is derived from these columns, so only they take part in the distinct
+    snapshots = runs.select(
         *scope, F.col("DB_Name").alias("DBName"), F.col("SP Name").alias("SPName"), "Date",
         F.col("execution_count").alias("TotalExecutionCount"), F.col("total_elapsed_time").alias("TotalElapsedTime"),
-        label.alias("ExecTimeCat"), "TotalLogicalReads", "TotalLogicalWrites", year_week("Date").alias("YearWeek"),
+        "TotalLogicalReads", "TotalLogicalWrites",
+    ).distinct()
+    return snapshots.select(
+        *scope, "DBName", "SPName", "Date", "TotalExecutionCount", "TotalElapsedTime", label.alias("ExecTimeCat"),
+        "TotalLogicalReads", "TotalLogicalWrites", year_week("Date").alias("YearWeek"),
         mean.alias("AvgExecutionDurationMilliSeconds"), micros_to_millis(mean).alias("AvgExecutionMilliSeconds"),
         order.alias("SortOrder"),
-    ).distinct()
+    )
 
 
 def routine_bounds(runs: DataFrame, *, scope: Scope = ()) -> DataFrame:
@@ -171,18 +181,19 @@ def batch_volumes(counters: DataFrame, *, scope: Scope = ()) -> DataFrame:
 
     The counter name is a grouping key but not an output column.
     """
-    parts = {
-        "DayOfWeekday": F.dayofweek("Date"), "Weekday": weekday_name("Date"), "Hour": F.hour("Date"),
-        "Month": F.month("Date"), "DateKey": date_key("Date"), "YearWeek": year_week("Date"),
-    }
-    return (
+    grouped = (
         counters.filter(F.col("seconds") > 0)
-        .groupBy(*scope, "counter_name", *[c.alias(n) for n, c in parts.items()])
+        .groupBy(*scope, "counter_name", F.to_date("Date").alias("__day"), F.hour("Date").alias("Hour"))
         .agg(
             ratio_of_sums("requests", "seconds").alias("RequestsPerSecond"),
             F.count("Date").alias("MeasureCount"),
         )
-        .drop("counter_name")
+    )
+    # weekday, month, day key and week all follow from the day
+    return grouped.select(
+        *scope, F.dayofweek("__day").alias("DayOfWeekday"), weekday_name("__day").alias("Weekday"), "Hour",
+        F.month("__day").alias("Month"), "RequestsPerSecond", "MeasureCount", date_key("__day").alias("DateKey"),
+        year_week("__day").alias("YearWeek"),
     )
 
 
@@ -367,6 +378,8 @@ def unneeded_indexes(index_usage: DataFrame, as_of, *, days=WEEK, scope: Scope =
     """
     counters = ["user_seeks", "user_scans", "user_lookups", "user_updates"]
     keys = [*scope, "DB_Name", "Table_Name", "Index_Name"]
+    # Stored counters have at most 18 digits: as bigint they are summed without decimal objects.
+    whole = {c: F.col(c).cast("bigint") for c in counters}
     snapshots = (
         until(index_usage, "Date", as_of).filter(
             F.col("Index_Name").isNotNull()
@@ -374,13 +387,14 @@ def unneeded_indexes(index_usage: DataFrame, as_of, *, days=WEEK, scope: Scope =
             & (F.col("type_desc") == "NONCLUSTERED")
             & (F.col("DB_Name") != "tempdb")
         )
+        .withColumns(whole)
         .groupBy(*keys, *counters)
         .agg(F.min("Date").alias("FirstDate"), F.max("Date").alias("LastDate"))
     )
     grouped = snapshots.groupBy(*keys).agg(
-        F.sum("user_seeks").alias("TotalSeeks"),
-        F.sum("user_scans").alias("TotalScans"),
-        F.sum("user_lookups").alias("TotalLookups"),
+        F.sum("user_seeks").cast("decimal(18,0)").alias("TotalSeeks"),
+        F.sum("user_scans").cast("decimal(18,0)").alias("TotalScans"),
+        F.sum("user_lookups").cast("decimal(18,0)").alias("TotalLookups"),
         trunc_int(int_avg("user_updates")).alias("AvgWeekUpdates"),
         F.min("FirstDate").alias("FirstDate"),
         F.max("LastDate").alias("LastDate"),
