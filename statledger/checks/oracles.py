@@ -1,4 +1,4 @@
-"""The registered queries in plain SQL over the same tables, written without looking at their plans."""
+"""The registered queries in plain SQL over the same tables."""
 
 from __future__ import annotations
 
@@ -610,10 +610,14 @@ _BODY: dict[str, tuple[str, list[str]]] = {
     "recent_events": (f"SELECT * FROM events WHERE {_window('ts', EV)}", []),
     "retained_events": (f"SELECT * FROM events WHERE ts >= {EV} - INTERVAL 14 DAY OR ts IS NULL", []),
     "kept_events": ("SELECT * FROM events WHERE (NOT (event_type = 'error' AND value < 10)) IS NOT FALSE", []),
-    "seeded_settings": ("SELECT n_name AS name, CASE WHEN n_regionkey > 2 THEN 'set' ELSE 'default' END AS item FROM nation", []),
+    "seeded_settings": (
+        """SELECT DISTINCT user_id AS key, 'set' AS item FROM events UNION ALL SELECT c_custkey, 'default' FROM customer
+        WHERE c_custkey NOT IN (SELECT user_id FROM events)""", []),
     "upserted_customers": (
-        f"""SELECT c_custkey, CASE WHEN c_nationkey >= 15 THEN 'NEW' ELSE c_mktsegment END AS segment,
-        CASE WHEN c_nationkey >= 15 THEN {EV} ELSE TIMESTAMP '2000-01-01' END AS stamp FROM customer""", []),
+        f"""SELECT coalesce(c_custkey, k) AS c_custkey, CASE WHEN k IS NULL THEN c_mktsegment ELSE v END AS segment,
+        CASE WHEN k IS NULL THEN TIMESTAMP '2000-01-01' ELSE {EV} END AS stamp FROM customer FULL JOIN (
+        SELECT user_id AS k, arg_max(event_type, event_id) AS v FROM events GROUP BY 1
+        UNION ALL SELECT -1 - s_suppkey, 'SUPPLIER' FROM supplier) ON k = c_custkey""", []),
     "updated_from_orders": (
         """SELECT c_custkey, c_mktsegment, round(coalesce(p, -1.0), 6) AS o_totalprice FROM customer LEFT JOIN (
         SELECT o_custkey, o_totalprice AS p FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey

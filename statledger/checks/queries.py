@@ -192,7 +192,7 @@ def unused_tables_as_written(t):
 
 @r.once
 def _usage_per_index(t):
-    """Usage rows of the tables that were scanned by order-status F lines; the others count as unused."""
+    """Usage rows with many lookups; tables without any count as unused."""
     usage = r.index_usage(t).filter(F.col("user_lookups") > 45)
     return usage.select(
         F.col("DB_Name").alias("DatabaseName"), F.col("Table_Name").alias("TableName"),
@@ -551,18 +551,22 @@ def kept_events(t):
 
 @query
 def seeded_settings(t):
-    current = t.nation.filter(F.col("n_regionkey") > 2).select(F.col("n_name").alias("name"), F.lit("set").alias("item"))
-    seeds = t.nation.select(F.col("n_name").alias("name"), F.lit("default").alias("item"))
-    return joins.seed_missing(current, seeds, ["name"])
+    """Users seen in the events are configured; all other customers get the default."""
+    current = t.events.select(F.col("user_id").alias("key")).distinct().withColumn("item", F.lit("set"))
+    seeds = t.customer.select(F.col("c_custkey").alias("key"), F.lit("default").alias("item"))
+    return joins.seed_missing(current, seeds, ["key"])
 
 
 @query
 def upserted_customers(t):
-    old = t.customer.filter("c_nationkey < 20").select(
+    """Customers changed by their latest event, with suppliers as new keys."""
+    old = t.customer.select(
         "c_custkey", F.col("c_mktsegment").alias("segment"), tp.ts_lit("2000-01-01 00:00:00").alias("stamp")
     )
-    changes = t.customer.filter("c_nationkey >= 15").select("c_custkey", F.lit("NEW").alias("segment"))
-    return joins.upsert(old, changes, ["c_custkey"], "stamp", tp.ts_lit(EVENTS_AT))
+    latest = ordered.latest_per(t.events.select("user_id", "event_id", "event_type"), ["user_id"], "event_id")
+    changed = latest.select(F.col("user_id").alias("c_custkey"), F.col("event_type").alias("segment"))
+    added = t.supplier.select((-1 - F.col("s_suppkey")).alias("c_custkey"), F.lit("SUPPLIER").alias("segment"))
+    return joins.upsert(old, changed.unionByName(added), ["c_custkey"], "stamp", tp.ts_lit(EVENTS_AT))
 
 
 @query

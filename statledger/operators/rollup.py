@@ -23,31 +23,45 @@ def duration_bucket(micros: Column) -> tuple[Column, Column]:
     return label, order
 
 
-def usage_share(df: DataFrame, keys: Sequence[str], seeks: str, scans: str, updates: str) -> DataFrame:
-    """Access totals and read/write, seek/scan percentages per key, for keys with any read.
+USAGE_TOTALS = ["TotalAccesses", "TotalWrites", "TotalReads", "ReadSeeks", "ReadScans"]
+
+
+def usage_totals(df: DataFrame, keys: Sequence[str], seeks: str, scans: str, updates: str) -> DataFrame:
+    """Accesses, writes, reads, seeks and scans per key, as bigint.
 
-    A row with an unknown counter adds nothing to the combined totals. Totals are
-    stored with 18 digits, so they are summed as bigint, without decimal objects.
+    A row with an unknown counter adds nothing to the combined totals. Stored
+    totals have at most 18 digits, so bigint holds them without decimal objects.
     """
     s, c, u = (F.col(name).cast("bigint") for name in (seeks, scans, updates))
-    sums = {
-        "TotalAccesses": s + c + u, "TotalWrites": u, "TotalReads": s + c, "ReadSeeks": s, "ReadScans": c,
-    }
-    totals = df.groupBy(*keys).agg(*[F.sum(x).cast("decimal(18,0)").alias(out) for out, x in sums.items()])
+    parts = dict(zip(USAGE_TOTALS, (s + c + u, u, s + c, s, c)))
+    return df.groupBy(*keys).agg(*[F.sum(x).alias(out) for out, x in parts.items()])
+
+
+def with_shares(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals with read/write and seek/scan percentages, for keys with any read."""
+
+    def total(name: str) -> Column:
+        return F.col(name).cast("decimal(18,0)").alias(name)
+
     return totals.filter(F.col("TotalReads") > 0).select(
         *keys,
-        "TotalAccesses",
-        "TotalWrites",
+        total("TotalAccesses"),
+        total("TotalWrites"),
         pct_trunc("TotalWrites", "TotalAccesses").alias("PercentAccessesAreWrites"),
-        "TotalReads",
+        total("TotalReads"),
         pct_trunc("TotalReads", "TotalAccesses").alias("PercentAccessesAreReads"),
-        "ReadSeeks",
+        total("ReadSeeks"),
         pct_trunc("ReadSeeks", "TotalReads").alias("PercentReadsAreIndexSeeks"),
-        "ReadScans",
+        total("ReadScans"),
         pct_trunc("ReadScans", "TotalReads").alias("PercentReadsAreIndexScans"),
     )
 
 
+def usage_share(df: DataFrame, keys: Sequence[str], seeks: str, scans: str, updates: str) -> DataFrame:
+    """Access totals and percentages per key."""
+    return with_shares(usage_totals(df, keys, seeks, scans, updates), keys)
+
+
 def single_valued(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Keys that only ever showed one value (NULLs aside): minimum equals maximum, so no distinct set is built."""
     bounds = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))

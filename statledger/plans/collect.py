@@ -23,7 +23,7 @@ from ..functions.timeparts import (
 from ..operators.counters import counter_delta, counter_ratio, counter_step, per_minute, pivot_counters
 from ..operators.joins import lookup_join, update_from
 from ..operators.ordered import HOT_ROWS, top_k, top_k_per, with_previous
-from ..operators.rollup import usage_share
+from ..operators.rollup import USAGE_TOTALS, usage_totals, with_shares
 from ..operators.timewindow import drop_where, recent
 
 Scope = Sequence[str]
@@ -104,16 +104,14 @@ def table_usage(
     user_indexes = indexes.filter(
         (F.col("object_id") >= FIRST_USER_OBJECT) & (F.col("database_id") >= FIRST_USER_DATABASE)
     )
-    # Repeating each usage row once per index of its object is a multiplication, not a join of the two.
+    # Repeating each usage row once per index of its object is a multiplication of the object's totals.
     repeats = user_indexes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__indexes"))
-    per_object = _named(usage.join(repeats, keys), objects, scope, "TableName").select(
-        *scope, F.col("DB_Name").alias("DatabaseName"), "TableName",
-        *[
-            (F.col(c) * F.col("__indexes")).alias(c) for c in ("user_seeks", "user_scans", "user_updates")
-        ],
-    )
-    shares = usage_share(per_object, [*scope, "DatabaseName", "TableName"], "user_seeks", "user_scans", "user_updates")
-    return stamped(shares, as_of)
+    per_object = usage_totals(usage, keys, "user_seeks", "user_scans", "user_updates").join(repeats, keys)
+    by_name = [*scope, F.col("DB_Name").alias("DatabaseName"), "TableName"]
+    per_table = _named(per_object, objects, scope, "TableName").groupBy(*by_name).agg(
+        *[F.sum(F.col(c) * F.col("__indexes")).alias(c) for c in USAGE_TOTALS]
+    )
+    return stamped(with_shares(per_table, [*scope, "DatabaseName", "TableName"]), as_of)
 
 
 def routine_catalog(

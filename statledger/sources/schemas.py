@@ -5,6 +5,8 @@ Fixed values: table and column names readers of the history already use.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _DDL = {
@@ -105,13 +107,11 @@ def schema(table: str) -> StructType:
     return StructType.fromDDL(_DDL[table])
 
 
-def conform(df, table: str, extra=()):
+def conform(df: DataFrame, table: str, extra=()) -> DataFrame:
     """Cast and order the columns of ``df`` as the history table has them; absent ones become NULL.
 
     ``extra`` names further columns to keep in front, such as ``server_name``.
     """
-    from pyspark.sql import functions as F
-
     have = set(df.columns)
     return df.select(
         *extra,
