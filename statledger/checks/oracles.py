@@ -211,7 +211,10 @@ CTE = {
         TIMESTAMP '2024-01-01 08:00:00' AS login_time FROM customer WHERE c_acctbal > 0) s ON s.c_custkey = user_id""",
 }
 
+CTE["fleet"] = "SELECT jobs.*, r_name AS server_name FROM jobs JOIN region ON owner = 'owner_' || r_regionkey"
+
 _NEEDS = {
+    "fleet": ["jobs"],
     "used": ["usage"], "sized": ["sizes", "used"], "stale": ["sized", "stats"], "fragtop": ["frag", "used"],
     "spacious": ["space", "sized"], "plans": ["objs"], "slow": ["recent", "limits"], "flagged": ["slow"],
     "tcand": ["spacious", "fragtop", "stale", "sized"], "icand": ["usage", "spacious"], "newest": ["sizes"],
@@ -304,6 +307,13 @@ def _d(*names: str) -> str:
 _BODY: dict[str, tuple[str, list[str]]] = {
     "job_bounds": (f"SELECT {_JK}, {_bound_columns(6)} FROM ({_bounds('jobs', _JK, '\"JobDurationSeconds\"')}) b", ["jobs"]),
     "job_outliers": (_JOB_OUT, ["jobs"]),
+    "fleet_job_outliers": (
+        f"""SELECT f.server_name, f."JobName", f."JobFailStep", f."RunStatus", f.source, f."JobDurationSeconds", f."RunDateTime",
+        {_bound_columns(6)}, strftime(f."RunDateTime", '%Y-%m-%d') AS "DateOnly", CAST(hour(f."RunDateTime") AS INTEGER) AS "Hour"
+        FROM (SELECT * FROM fleet WHERE "JobDurationSeconds" > 3 AND {_window('"RunDateTime"', EV, 'INTERVAL 35 DAY')}) f
+        JOIN ({_bounds(f'(SELECT * FROM fleet WHERE "RunDateTime" <= {EV})', 'server_name, ' + _JK, '"JobDurationSeconds"')}) b
+        ON {_ON_JOB} AND f.server_name = b.server_name
+        WHERE f."JobDurationSeconds" NOT BETWEEN b.m - 3 * b.sd AND b.m + 3 * b.sd""", ["fleet"]),
     "job_outlier_summary": (
         f"""SELECT {_JK}, count(*) AS "Counts", CAST(sum("JobDurationSeconds") // count(*) AS BIGINT) AS "AvgJobDurationSeconds",
         {_CARRIED}, max("DateOnly") AS "MostRecentDateOnly", "Hour" FROM ({_JOB_OUT}) GROUP BY {_JK}, "Hour" """, ["jobs"]),
@@ -664,5 +674,13 @@ _BODY: dict[str, tuple[str, list[str]]] = {
 }
 
 
+for _same, _as in {
+    "previous_event_hot_keys": "previous_event", "delivery_rate_hot_keys": "delivery_rate",
+    "orders_with_customer_hot_keys": "orders_with_customer", "job_outliers_hot_keys": "job_outliers",
+}.items():
+    _BODY[_same] = _BODY[_as]
+
+
 def oracle_sql() -> dict[str, str]:
+    """SQL by query name."""
     return {name: _with(body, *ctes) for name, (body, ctes) in _BODY.items()}

@@ -609,6 +609,41 @@ def previous_event(t):
     )
 
 
+# The same with limits so low that the ordinary keys count as hot.
+
+@query
+def previous_event_hot_keys(t):
+    facts = t.events.select("user_id", "ts", "event_id", "event_type")
+    return ordered.with_previous(
+        facts, ["user_id"], ["ts", "event_id"], {"prev_id": "event_id", "prev_type": "event_type"}, is_last="newest",
+        hot_rows=20,
+    )
+
+
+@query
+def delivery_rate_hot_keys(t):
+    return collect.delivery_rate(r.delivery_history(t), r.agents(t), hot_rows=20)
+
+
+@query
+def orders_with_customer_hot_keys(t):
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    facts = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return joins.lookup_join(facts, customers, ["o_custkey"], "left", hot_rows=10)
+
+
+@query
+def job_outliers_hot_keys(t):
+    return reports.job_outliers(r.jobs(t), EVENTS_AT, hot_rows=300)
+
+
+@query
+def fleet_job_outliers(t):
+    """Jobs of many servers in one table."""
+    fleet = r.jobs(t).join(r.job_servers(t), "owner")
+    return reports.job_outliers(fleet, EVENTS_AT, scope=["server_name"])
+
+
 @query
 def event_bounds_exact_keys(t):
     return bounds.sigma_bounds(t.events.withColumn("cents", r.cents("value")), ["event_type", "user_id"], "cents")

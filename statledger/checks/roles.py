@@ -83,6 +83,14 @@ def jobs(t: Tables) -> DataFrame:
     )
 
 
+@once
+def job_servers(t: Tables) -> DataFrame:
+    """The server of each job owner, named after a region."""
+    return t.region.select(
+        _id("owner_", "r_regionkey").alias("owner"), F.col("r_name").alias("server_name")
+    )
+
+
 @once
 def routine_exec(t: Tables) -> DataFrame:
     line = F.col("l_linenumber").cast("bigint")
