@@ -26,7 +26,9 @@ def table_candidates(
     tie = [*keys, "RowCount", "Date"]
     reads = top_k(with_row_count, n, [F.desc("TotalReads"), *tie])
     scans = top_k(with_row_count, n, [F.desc("ReadScans"), *tie])
-    parts = [recent(spacious, "Date", WEEK, as_of), fragmented, stale, reads, scans]
+    # distinct names alone: Catalyst then drops the outer join that only decorates the free-space rows
+    loose = recent(spacious, "Date", WEEK, as_of).select(*keys).distinct()
+    parts = [loose, fragmented, stale, reads, scans]
     out = parts[0].select(*keys)
     for part in parts[1:]:
         out = out.union(part.select(*keys))
@@ -42,7 +44,8 @@ def index_candidates(index_usage: DataFrame, spacious: DataFrame, as_of, *, n: i
         (F.col("user_seeks") + F.col("user_scans") + F.col("user_lookups") + F.col("user_updates")).alias("__use"),
     )
     busiest = top_k(usage, n, [F.desc("__use"), *keys, "Date"])
-    return busiest.select(*keys).union(recent(spacious, "Date", WEEK, as_of).select(*keys)).distinct()
+    loose = recent(spacious, "Date", WEEK, as_of).select(*keys).distinct()
+    return busiest.select(*keys).union(loose).distinct()
 
 
 def enrich_candidates(
