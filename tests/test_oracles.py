@@ -4,9 +4,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from statledger.checks import oracles, queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 EMPTY_HERE = {"unneeded_indexes"}  # no index of the small sample qualifies; it has rows at larger scales
 
 
