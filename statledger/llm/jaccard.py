@@ -6,7 +6,7 @@ costs time and never a link. Two sets over the threshold share a hash among the
 each (prefix filter). Links are then looked for in two rounds:
 
 1. every set is compared with the one set that is the smallest holder of most of its shared prefix hashes;
-2. all pairs that share a prefix hash and that round 1 has not put into one component are compared.
+2. all pairs that share a hash early enough in both and that round 1 has not put into one component are compared.
 
 Pairs inside one component need no comparison, because only components are asked for. Sets to be compared with one
 centre are put into a trie in their common order; one walk with the centre's set shares the overlaps of equal
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -39,7 +39,6 @@ from .words import hashes, shingles, slices
 WORDS, PERCENT = 5, 80
 BUCKETS, PARTS, UNIT = 1 << 20, 16, 512
 BITS = 1_048_573
-_NODES = "token long, node long, n long"
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -238,21 +237,27 @@ def _walking(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) over the threshold."""
-    units = pairs.groupBy("a").agg(F.ceil(F.count("*") / UNIT).alias("units"))
-    salted = pairs.join(units, "a").select("a", F.expr("pmod(xxhash64(b), units)").alias("salt"), "b")
-    partners = salted.join(sets, salted["b"] == sets["node"]).select("a", "salt", "b", "tokens")
-    centres = salted.select("a", "salt").distinct().join(sets, F.col("a") == sets["node"])
-    rows = centres.select("a", "salt", F.lit(None).cast("long").alias("b"), "tokens").union(partners)
-    sorted_rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return sorted_rows.mapInArrow(_walking(percent), "a long, b long")
-
-
-def _bitmap(spark: SparkSession, shared: DataFrame) -> np.ndarray:
+def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int, order, where: str) -> DataFrame:
+    """The pairs (``a``, ``b``) over the threshold, stored. Sets are made again from the texts of their documents."""
+    spark = docs.sparkSession
+    wanted = spark.sparkContext.broadcast(_bitmap(pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
+    if wanted.value.any():
+        sets = stored(docs.where("doc_id is not null").mapInArrow(
+            _whole_sets(size, order, wanted), "node long, tokens binary"), "whole", where)
+        units = pairs.groupBy("a").agg(F.ceil(F.count("*") / UNIT).alias("units"))
+        salted = pairs.join(units, "a").select("a", F.expr("pmod(xxhash64(b), units)").alias("salt"), "b")
+        partners = salted.join(sets, salted["b"] == sets["node"]).select("a", "salt", "b", "tokens")
+        centres = salted.select("a", "salt").distinct().join(sets, F.col("a") == sets["node"])
+        rows = centres.select("a", "salt", F.lit(None).cast("long").alias("b"), "tokens").union(partners)
+        in_units = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        pairs = in_units.mapInArrow(_walking(percent), "a long, b long")
+    return stored(pairs, "links", where)
+
+
+def _bitmap(nodes: DataFrame) -> np.ndarray:
     """One bit for each id modulo a prime: which documents may be asked for."""
     place = F.expr(f"pmod(node, {BITS})")
-    words = shared.select(place.alias("p")).groupBy(F.expr("p div 32").alias("w")).agg(
+    words = nodes.select(place.alias("p")).groupBy(F.expr("p div 32").alias("w")).agg(
         F.expr("bit_or(shiftleft(1L, CAST(p % 32 AS INT)))").alias("bits")).collect()
     out = np.zeros(BITS // 32 + 1, np.uint32)
     for row in words:
@@ -273,35 +278,32 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     named = summaries.where("doc_id is not null and n > 0")
     nodes = named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     postings = stored(nodes.select("node", "n", "prefix"), "nodes", where).select(
-        F.explode("prefix").alias("token"), "node", "n")
+        F.posexplode("prefix").alias("pos", "token"), "node", "n")
     often = postings.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
-    shared = stored(postings.join(often, "token").select("token", "node", "n"), "shared", where)
-
-    wanted = spark.sparkContext.broadcast(_bitmap(spark, shared))
-    sets = docs.where("doc_id is not null").mapInArrow(
-        _whole_sets(size, order, wanted), "node long, tokens binary")
-    sets = stored(sets, "whole", where)
-
-    near = f"{percent} * greatest(n, m) <= 100 * least(n, m)"
-    heads = shared.groupBy("token").agg(F.min(F.struct("node", "n")).alias("head")).select(
-        "token", F.col("head.node").alias("a"), F.col("head.n").alias("m"))
-    votes = shared.join(heads, "token").where("a <> node").where(near).groupBy("node", "a").count()
-    stars = votes.groupBy("node").agg(F.max(F.struct("count", -F.col("a"))).alias("top")).select(
-        (-F.col("top.col2")).alias("a"), F.col("node").alias("b"))
-    links = stored(_linked(stored(stars, "stars", where), sets, percent), "links1", where)
+    shared = stored(postings.join(often, "token").select("token", "node", "n", "pos"), "shared", where)
+
+    # sizes that allow the threshold, and a shared hash so early in both that the needed overlap can still follow
+    need = f"ceil({percent} * (n + m) / {100 + percent})"
+    alike = f"{percent} * greatest(n, m) <= 100 * least(n, m) and pos <= n - {need} and pos2 <= m - {need}"
+    heads = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("head")).select(
+        "token", F.col("head.node").alias("a"), F.col("head.n").alias("m"), F.col("head.pos").alias("pos2"))
+    votes = shared.join(heads, "token").where("a <> node").where(alike).groupBy("node", "a").agg(F.count("*").alias("votes"))
+    stars = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("a")).alias("last"))).alias("top")).select(
+        (-F.col("top.last")).alias("a"), F.col("node").alias("b"))
+    links = _linked(docs, stored(stars, "stars", where), size, percent, order, f"{where}/first")
 
     known = components(links)
     coloured = stored(shared.join(known, "node", "left").select(
-        "token", "node", "n", F.coalesce("component", "node").alias("colour")), "coloured", where)
+        "token", "node", "n", "pos", F.coalesce("component", "node").alias("colour")), "coloured", where)
     main = coloured.groupBy("token", "colour").count().groupBy("token").agg(
         F.max(F.struct("count", "colour")).alias("top"), F.count("*").alias("colours")).where("colours > 1").select(
         "token", F.col("top.colour").alias("main"))
     mixed = coloured.join(main, "token")
     fewer = mixed.where("colour <> main").select(
-        "token", F.col("node").alias("node2"), F.col("n").alias("m"), F.col("colour").alias("colour2"))
-    rest = mixed.join(fewer, "token").where("colour <> colour2").where(near).select(
+        "token", F.col("node").alias("node2"), F.col("n").alias("m"), F.col("pos").alias("pos2"), F.col("colour").alias("colour2"))
+    rest = mixed.join(fewer, "token").where("colour <> colour2 and (colour = main or node < node2)").where(alike).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    more = stored(_linked(stored(rest, "rest", where), sets, percent), "links2", where)
+    more = _linked(docs, stored(rest, "rest", where), size, percent, order, f"{where}/second")
 
     copies = named.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").where(
         "doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
