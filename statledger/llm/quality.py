@@ -134,7 +134,7 @@ def _scoring(model):
 
 def held_out(doc_id="doc_id"):
     """True for documents that never teach."""
-    return F.coalesce(F.expr(f"crc32(CAST({doc_id} AS STRING)) % 4 = 2"), F.lit(False))
+    return F.coalesce(F.expr(f"crc32(CAST(CAST({doc_id} AS STRING) AS BINARY)) % 4 = 2"), F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
     # at most LEARN_ROWS pairs of numbers are sent to the executors
     taught = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     bags = taught.select("label", "text").mapInArrow(_bags, "label int, buckets binary, shares binary")
-    model = bags.groupBy(F.lit(1)).applyInArrow(_trained, _MODEL).collect()
+    model = bags.groupBy(F.lit("all")).applyInArrow(_trained, _MODEL).collect()
     return (bytes(model[0]["weights"]), model[0]["bias"]) if model else (np.zeros(KINDS * BUCKETS, np.float32).tobytes(), 0.0)
 
 
