@@ -1,21 +1,51 @@
-"""A corpus pipeline over ``documents``, stage by stage."""
+"""A corpus pipeline over ``documents``: quality, near duplicates, benchmark decontamination, personal data, tokens.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the last return the columns of
+``documents``. Rows are judged one by one, so null or repeated ids do no harm; each operator's module states what else it does with odd rows.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import jaccard
+from statledger.llm import bpe, decontam, jaccard, pii, quality
+from statledger.llm.queries import VOCABULARY
 from statledger.llm.shared import folder, stored, table
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier accepts."""
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id."""
-    groups = jaccard.jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
+    return jaccard.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their personal data replaced by marks; n_chars follows the text."""
+    found = pii.redacted(docs)
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of ids and digests of ids and decoded bytes of every document."""
+    return bpe.encode_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("quality", quality_filter), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("personal_data", personal_data),
+    ("tokens", tokens),
+]
+#: SQL cannot express the learned and latent stages; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -39,6 +39,7 @@ from .words import hashes, shingles, slices
 WORDS, PERCENT = 5, 80
 BUCKETS, PARTS, UNIT = 1 << 20, 16, 512
 BITS = 1_048_573
+SENT = 500_000  # ids that are sent to all executors at most; more are joined by a shuffle
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -310,3 +311,24 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     groups = components(links.union(more).union(copies))
     return summaries.join(groups, summaries["doc_id"] == groups["node"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document of each component: the one with the smallest doc_id.
+
+    Rows without doc_id stay. Of several rows with one doc_id the one with the smallest text stays, if any of them has a set.
+    """
+    found = stored(jaccard_components(docs, size, percent).where("doc_id is not null and n_shingles > 0"), "components", folder(docs.sparkSession))
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+
+    def sent(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= SENT else ids
+
+    kept = docs.join(sent(gone), "doc_id", "left_anti").select(docs.columns)
+    if again.isEmpty():
+        return kept
+    place = max(docs.columns, key=len) + "_"  # a name that none of them has
+    first = kept.join(sent(again), "doc_id", "left_semi").select(docs.columns).withColumn(
+        place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(place) == 1).select(docs.columns)
+    return kept.join(sent(again), "doc_id", "left_anti").select(docs.columns).union(first)

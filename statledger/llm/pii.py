@@ -21,6 +21,7 @@ run that failed is not tried again.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +44,20 @@ PRIVATE = "token|key|apikey|secret|password|passwd|pwd|auth|bearer|credential|ac
 HARMLESS = "page|seite|chapter|kapitel|version|isbn|issn|doi|figure|fig|table|year|section|article|volume|vol|http|https|www"
 
 
+_PLACES = "array<struct<start:int,end:int>>"
+
+
 def _empty(kind: str) -> Column:
     return F.from_json(F.lit("[]"), kind)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, also where ``body`` uses it for each element of an array."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _places(matches: Column, gaps: Column) -> Column:
     """Start and end of each match, from its text and the lengths of the gaps; in blocks, so that long lists stay cheap."""
-    steps = F.transform(matches, lambda m, i: F.struct(F.element_at(gaps, i + 1).alias("gap"), F.length(m).alias("size")))
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int")), lambda b: F.slice(steps, b * BLOCK + 1, BLOCK))
 
     def add(done: Column, step: Column) -> Column:
         start = done["at"] + step["gap"]
@@ -59,11 +65,26 @@ def _places(matches: Column, gaps: Column) -> Column:
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("out"))
 
     def one(done: Column, block: Column) -> Column:
-        inner = F.aggregate(block, F.struct(done["at"].alias("at"), _empty("array<struct<start:int,end:int>>").alias("out")), add)
-        return F.struct(inner["at"].alias("at"), F.concat(done["out"], inner["out"]).alias("out"))
+        inner = F.aggregate(block, F.struct(done["at"].alias("at"), _empty(_PLACES).alias("out")), add)
+        return _let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(done["out"], i["out"]).alias("out")))
+
+    def run(steps: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")), lambda b: F.slice(steps, b * BLOCK + 1, BLOCK))
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), _empty(_PLACES).alias("out")), one)["out"]
+
+    return _let(F.transform(matches, lambda m, i: F.struct(F.element_at(gaps, i + 1).alias("gap"), F.length(m).alias("size"))), run)
+
 
-    start = F.struct(F.lit(0).alias("at"), _empty("array<struct<start:int,end:int>>").alias("out"))
-    return F.when(F.size(matches) > 0, F.aggregate(blocks, start, one)["out"]).otherwise(_empty("array<struct<start:int,end:int>>"))
+def _matched(pattern: str, when: Column, each: Callable[[Column, Column, Column], Column], kind: str) -> Column:
+    """``each`` (text, gap before, place) of every match of a pattern; none where ``when`` is not true."""
+
+    def split(m: Column) -> Column:
+        return F.when(F.size(m) > 0, _let(F.split("_text", pattern, -1), lambda g: _let(F.transform(g, F.length), lambda n: _let(
+            _places(m, n), lambda p: F.transform(p, lambda x, i: each(F.element_at(m, i + 1), F.element_at(g, i + 1), x)))))).otherwise(_empty(kind))
+
+    found = F.when(when, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return _let(found, split)
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -78,37 +99,26 @@ def _valid(kind: str, match: Column) -> Column:
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """``docs`` with base (array of start, kind, end), candidate texts, left contexts and places."""
-    text = F.coalesce("text", F.lit(""))
-    docs = docs.withColumn("_text", text)
+    """``docs`` with ``_base`` (start, kind, end) and ``_more``: text, left context and place of each candidate, and whether it meets a base span."""
+    docs = docs.withColumn("_text", F.coalesce("text", F.lit("")))
     digit, at, plus = F.col("_text").rlike("[0-9]"), F.contains("_text", F.lit("@")), F.contains("_text", F.lit("+"))
     guard = {"email": at, "ip": digit, "card": digit, "phone": digit & plus}
 
-    def matches(pattern: str, when: Column) -> Column:
-        return F.when(when, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-
-    def gaps(pattern: str, when: Column) -> Column:
-        return F.when(when, F.split("_text", pattern, -1)).otherwise(F.array().cast("array<string>"))
-
-    patterns = FORMATS | {"more": CANDIDATE}
-    guard["more"] = digit
-    docs = docs.select("*", *[matches(p, guard[k]).alias(f"_m_{k}") for k, p in patterns.items()])
-    docs = docs.select("*", *[gaps(p, F.size(f"_m_{k}") > 0).alias(f"_g_{k}") for k, p in patterns.items()])
-    docs = docs.select("*", *[_places(F.col(f"_m_{k}"), F.transform(f"_g_{k}", F.length)).alias(f"_p_{k}") for k in patterns])
-
-    def valid(number: int, kind: str) -> Column:
-        spans = F.transform(f"_p_{kind}", lambda p, i: F.struct(
-            p["start"].alias("start"), F.lit(number).alias("kind"), p["end"].alias("end"),
-            _valid(kind, F.element_at(f"_m_{kind}", i + 1)).alias("valid")))
+    def base(number: int, kind: str) -> Column:
+        spans = _matched(FORMATS[kind], guard[kind], lambda text, _, p: F.struct(
+            p["start"].alias("start"), F.lit(number).alias("kind"), p["end"].alias("end"), _valid(kind, text).alias("valid")),
+            "array<struct<start:int,kind:int,end:int,valid:boolean>>")
         return F.transform(F.filter(spans, lambda s: s["valid"]), lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
-    docs = docs.withColumn("_base", F.array_sort(F.concat(*[valid(n, k) for n, k in enumerate(FORMATS)])))
-    more = F.transform("_p_more", lambda p, i: F.struct(
-        F.element_at("_m_more", i + 1).alias("text"), F.substring(F.element_at("_g_more", i + 1), -CONTEXT, CONTEXT).alias("left"),
-        p["start"].alias("start"), p["end"].alias("end"),
-        F.exists("_base", lambda s: (s["start"] < p["end"]) & (p["start"] < s["end"])).alias("known")))
-    return docs.withColumn("_more", F.filter(more, lambda c: c["text"].rlike("[0-9]")))
+    def candidates(spans: Column) -> Column:
+        return _matched(CANDIDATE, digit, lambda text, gap, p: F.struct(
+            text.alias("text"), F.substring(gap, -CONTEXT, CONTEXT).alias("left"), p["start"].alias("start"), p["end"].alias("end"),
+            F.exists(spans, lambda s: (s["start"] < p["end"]) & (p["start"] < s["end"])).alias("known")),
+            "array<struct<text:string,left:string,start:int,end:int,known:boolean>>")
+
+    docs = docs.withColumn("_base", F.array_sort(F.concat(*[base(n, k) for n, k in enumerate(FORMATS)])))
+    return docs.withColumn("_more", F.filter(_let(F.col("_base"), candidates), lambda c: c["text"].rlike("[0-9]")))
 
 
 def _vote(for_it: Column | None, against: Column | None) -> Column:
@@ -248,7 +258,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("_spans", start, step)
-    text = F.concat(F.array_join(done["out"], ""), F.col("_text").substr(done["at"] + 1, F.length("_text")))
+    text = _let(F.aggregate("_spans", start, step), lambda done: F.concat(
+        F.array_join(done["out"], ""), F.col("_text").substr(done["at"] + 1, F.length("_text"))))
     new = F.when(F.size("_spans") > 0, text).otherwise(F.col("text")).alias("text")
     return rows.select(*[new if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

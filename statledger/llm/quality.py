@@ -113,21 +113,37 @@ def _trained(bags: pa.Table) -> pa.Table:
     return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
 
 
+def _scores(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
+    scores = np.empty(len(column))
+    for row, parts in _features(column):
+        n = len(parts[0][1])
+        total, count = np.zeros(n), np.zeros(n)
+        for buckets, start, stop in parts:
+            sums = np.zeros(len(buckets) + 1)
+            np.cumsum(weights[buckets], dtype=np.float64, out=sums[1:])
+            total += sums[stop] - sums[start]
+            count += stop - start
+        scores[row : row + n] = 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -500, 500)))
+    return scores
+
+
 def _scoring(model):
     def run(batches):
-        weights, bias = np.frombuffer(model.value[0], np.float32), model.value[1]
+        weights = np.frombuffer(model.value[0], np.float32)
         for batch in batches:
-            scores = np.empty(batch.num_rows)
-            for row, parts in _features(batch.column(1)):
-                n = len(parts[0][1])
-                total, count = np.zeros(n), np.zeros(n)
-                for buckets, start, stop in parts:
-                    sums = np.zeros(len(buckets) + 1)
-                    np.cumsum(weights[buckets], dtype=np.float64, out=sums[1:])
-                    total += sums[stop] - sums[start]
-                    count += stop - start
-                scores[row : row + n] = 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(_scores(batch.column(1), weights, model.value[1]))], names=["doc_id", "score"])
+
+    return run
+
+
+def _keeping(model, place: int, cut: float):
+    """The rows that reach the cut."""
+
+    def run(batches):
+        weights = np.frombuffer(model.value[0], np.float32)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(place), weights, model.value[1]) >= cut))
 
     return run
 
@@ -160,3 +176,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``."""
     return score(docs, fit(docs, labels)).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
+def kept(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    return docs.mapInArrow(_keeping(sent, docs.columns.index("text"), cut), docs.schema)
