@@ -278,17 +278,22 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
 
     named = summaries.where("doc_id is not null and n > 0")
     nodes = named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    postings = stored(nodes.select("node", "n", "prefix"), "nodes", where).select(
+    whole = stored(nodes.select("node", "n", "prefix"), "nodes", where)
+    postings = whole.select(
         F.posexplode("prefix").alias("pos", "token"), "node", "n")
     often = postings.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
     shared = stored(postings.join(often, "token").select("token", "node", "n", "pos"), "shared", where)
 
-    # sizes that allow the threshold, and a shared hash so early in both that the needed overlap can still follow
+    alike = f"{percent} * greatest(n, m) <= 100 * least(n, m)"
+    # a shared hash so early in both that the needed overlap can still follow
     need = f"ceil({percent} * (n + m) / {100 + percent})"
-    alike = f"{percent} * greatest(n, m) <= 100 * least(n, m) and pos <= n - {need} and pos2 <= m - {need}"
-    heads = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("head")).select(
-        "token", F.col("head.node").alias("a"), F.col("head.n").alias("m"), F.col("head.pos").alias("pos2"))
-    votes = shared.join(heads, "token").where("a <> node").where(alike).groupBy("node", "a").agg(F.count("*").alias("votes"))
+    early = f"pos <= n - {need} and pos2 <= m - {need}"
+    # an overlap has at most the shared prefix hashes and what follows the prefix of one of the two
+    enough = f"{100 + percent} * (votes + ceil({percent} * greatest(n, m) / 100) - 1) >= {percent} * (n + m)"
+    heads = shared.groupBy("token").agg(F.min(F.struct("node", "n")).alias("head")).select(
+        "token", F.col("head.node").alias("a"), F.col("head.n").alias("m"))
+    votes = shared.join(heads, "token").where("a <> node").where(alike).groupBy("node", "n", "a", "m").agg(
+        F.count("*").alias("votes")).where(enough)
     stars = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("a")).alias("last"))).alias("top")).select(
         (-F.col("top.last")).alias("a"), F.col("node").alias("b"))
     links = _linked(docs, stored(stars, "stars", where), size, percent, order, f"{where}/first")
@@ -302,8 +307,12 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     mixed = coloured.join(main, "token")
     fewer = mixed.where("colour <> main").select(
         "token", F.col("node").alias("node2"), F.col("n").alias("m"), F.col("pos").alias("pos2"), F.col("colour").alias("colour2"))
-    rest = mixed.join(fewer, "token").where("colour <> colour2 and (colour = main or node < node2)").where(alike).select(
+    rest = mixed.join(fewer, "token").where("colour <> colour2 and (colour = main or node < node2)").where(alike).where(early).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    ones = whole.select(F.col("node").alias("a"), "n", F.col("prefix").alias("prefix2"))
+    others = whole.select(F.col("node").alias("b"), F.col("n").alias("m"), "prefix")
+    rest = rest.join(ones, "a").join(others, "b").withColumn("votes", F.size(F.array_intersect("prefix", "prefix2"))).where(
+        enough).select("a", "b").distinct()
     more = _linked(docs, stored(rest, "rest", where), size, percent, order, f"{where}/second")
 
     copies = named.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").where(
