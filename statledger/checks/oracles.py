@@ -166,7 +166,7 @@ CTE = {
         WHERE user_id % 5 >= 1 AND ts >= {EV} - INTERVAL 30 DAY AND ts <= {EV} AND c_mktsegment <> 'MACHINERY'""",
     "slow": "SELECT r.*, m, sd, n FROM recent r JOIN limits USING (db, sp) WHERE v > 1000 AND v > m + 3 * sd",
     "flagged": "SELECT sp FROM slow GROUP BY sp HAVING count(*) > 1",
-    "tcand": f"""SELECT "DBName", "TableName" FROM spacious WHERE "Free_Space_MBs" > 96 AND {_window('"Date"', SA)}
+    "tcand": f"""SELECT "DBName", "TableName" FROM spacious WHERE {_window('"Date"', SA)}
         UNION SELECT "DBName", "TableName" FROM fragtop UNION SELECT "DBName", "TableName" FROM stale
         UNION SELECT db, tbl FROM (SELECT * FROM sized ORDER BY rd DESC, db, tbl, "RowCount", "Date" LIMIT 100)
         UNION SELECT db, tbl FROM (SELECT * FROM sized ORDER BY sc DESC, db, tbl, "RowCount", "Date" LIMIT 100)""",
@@ -174,7 +174,7 @@ CTE = {
         SELECT * FROM usage WHERE {_window('"Date"', SA)}
         ORDER BY user_seeks + user_scans + user_lookups + user_updates DESC, "DB_Name", "Table_Name", "Index_Name" NULLS FIRST,
         "Date" LIMIT 50) UNION SELECT "DBName", "TableName", "IndexName" FROM spacious
-        WHERE "Free_Space_MBs" > 92 AND {_window('"Date"', SA)}""",
+        WHERE {_window('"Date"', SA)}""",
     "newest": f"""SELECT db, tbl, arg_max("RowCount", "Date") AS rc FROM sizes WHERE {_window('"Date"', SA)} GROUP BY 1, 2""",
     "tcut": """SELECT c.*, rc FROM tcand c LEFT JOIN newest ON db = "DBName" AND tbl = "TableName"
         WHERE rc IS NULL OR rc <= 100000""",
@@ -423,11 +423,11 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         f"""SELECT s.db AS "DatabaseName", s.tbl AS "TableName", CAST(u.a AS DOUBLE) AS "TotalAccesses", s.rows AS "RowCount"
         FROM (SELECT db, tbl, CAST(sum("RowCount") AS BIGINT) AS rows FROM sizes WHERE {_window('"Date"', SA)} AND db <> 'tempdb'
         GROUP BY 1, 2) s LEFT JOIN (SELECT "DB_Name" AS db, "Table_Name" AS tbl, sum(user_seeks) AS a FROM usage
-        WHERE user_lookups > 45 AND "Date" <= {SA} GROUP BY 1, 2) u USING (db, tbl)""", ["sizes", "usage"]),
+        WHERE "Date" <= {SA} GROUP BY 1, 2) u USING (db, tbl)""", ["sizes", "usage"]),
     "unused_tables_as_written": (
         f"""SELECT s.db AS "DatabaseName", s.tbl AS "TableName", CAST(sum(u.user_seeks) AS DOUBLE) AS "TotalAccesses",
         CAST(sum(s."RowCount") AS BIGINT) AS "RowCount" FROM (SELECT * FROM sizes WHERE {_window('"Date"', SA)} AND db <> 'tempdb') s
-        LEFT JOIN (SELECT * FROM usage WHERE user_lookups > 45 AND "Date" <= {SA}) u ON u."DB_Name" = s.db AND u."Table_Name" = s.tbl
+        LEFT JOIN (SELECT * FROM usage WHERE "Date" <= {SA}) u ON u."DB_Name" = s.db AND u."Table_Name" = s.tbl
         GROUP BY 1, 2""", ["sizes", "usage"]),
     "counter_delta": (
         """SELECT user_id AS "dbID", n * 10 AS "NumberReads", nr AS "NumberReads_delta", sr AS "IoStallReadMS_delta",
@@ -653,6 +653,29 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         """SELECT source, id, count(*) AS n, round(sum(amount), 2) AS amount FROM (
         SELECT 'order' AS source, o_orderkey AS id, o_totalprice AS amount FROM orders
         UNION ALL SELECT 'line', l_orderkey, l_extendedprice FROM lineitem) GROUP BY 1, 2""", []),
+    "history_rerun": (f"""SELECT db AS "DatabaseName", full_name AS "TableNameFull", tbl AS "TableName", "RowCount", "Date", run AS snapshot_run
+        FROM sizes, (VALUES ('120000'), ('120000')) AS runs(run)""", ["sizes"]),
+    "history_rerun_empty": ("""SELECT db AS "DatabaseName", full_name AS "TableNameFull", tbl AS "TableName", "RowCount", "Date",
+        '120000' AS snapshot_run FROM sizes""", ["sizes"]),
+    "history_as_of": (
+        """SELECT event_type AS "DB_Name", CAST(user_id AS VARCHAR) AS "SP_Name", 'streamed' AS snapshot_run, count(*) AS n,
+        CAST(sum(event_id) AS BIGINT) AS total, max(ts) AS newest FROM events WHERE ts <= TIMESTAMP '2024-01-16 06:00:00' GROUP BY 1, 2
+        UNION ALL SELECT 'orders', o_orderpriority, '120000', count(*), CAST(sum(o_orderkey) AS BIGINT),
+        max(CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate END) FROM orders GROUP BY 2""", []),
+    "collect_errors": (
+        f"""SELECT name AS "TableName", CAST({len('RuntimeError: source ' + 'is down ' * 60)} AS BIGINT) AS n
+        FROM (VALUES ('fragmentation'), ('jobs'), ('page_life')) AS failed(name) UNION ALL SELECT 'table_rows', count(*) FROM sizes""", ["sizes"]),
+    "parameter_lookup": (
+        f"""SELECT event_id, ts, 365 AS usage_days, 180 AS job_days FROM events WHERE {_window('ts', EV, 'INTERVAL 2880 MINUTE')}""", []),
+    "alert_run_again": (
+        """SELECT 'alerts' AS stored, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'flagged_routines', 0
+        UNION ALL SELECT 'recent_runs', count(*) FROM recent""", ["recent"]),
+    "recent_runs_held": (
+        f"""SELECT DISTINCT 'db_' || (user_id % 5) AS "DB_Name", c_name AS "SP_Name", CAST(floor(value * 100) AS BIGINT) AS last_elapsed_time, ts AS "Date"
+        FROM events JOIN customer ON c_custkey = user_id WHERE user_id % 5 >= 1 AND c_mktsegment <> 'MACHINERY'
+        AND (ts BETWEEN {EV} - INTERVAL 20 DAY AND {EV} - INTERVAL 10 DAY OR ts BETWEEN {EV} - INTERVAL 5 DAY AND {EV})""", []),
+    "fan_in": ("""SELECT o_orderkey, o_custkey, o_orderpriority AS "DB_Name" FROM orders
+        WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')""", []),
     "stream_volumes": (
         """SELECT s AS window_start, s + INTERVAL 2 HOUR AS window_end, event_type, count(*) AS "MeasureCount",
         CAST(sum(CAST(floor(value * 100) AS BIGINT)) AS BIGINT) AS "Total"
@@ -676,7 +699,7 @@ _BODY: dict[str, tuple[str, list[str]]] = {
 
 for _same, _as in {
     "previous_event_hot_keys": "previous_event", "delivery_rate_hot_keys": "delivery_rate",
-    "orders_with_customer_hot_keys": "orders_with_customer", "job_outliers_hot_keys": "job_outliers",
+    "alert_detail_of_flagged": "alert_detail", "alert_run": "alert_detail", "orders_with_customer_hot_keys": "orders_with_customer", "job_outliers_hot_keys": "job_outliers",
 }.items():
     _BODY[_same] = _BODY[_as]
 

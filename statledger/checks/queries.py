@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
 from ..operators import bounds, counters, joins, ordered, rollup, timewindow
-from ..plans import alerts, collect, reports, worklists
+from ..operators.timewindow import PARTITION
+from ..plans import alerts, collect, parameters, reports, runner, worklists
+from ..sources import history, landed
 from . import replay
 from . import roles as r
 from .roles import EVENTS_AT, SALES_AT, Tables
@@ -192,9 +194,8 @@ def unused_tables_as_written(t):
 
 @r.once
 def _usage_per_index(t):
-    """Usage rows with many lookups; tables without any count as unused."""
-    usage = r.index_usage(t).filter(F.col("user_lookups") > 45)
-    return usage.select(
+    """Usage rows per index; tables of the other part of the databases have none."""
+    return r.index_usage(t).select(
         F.col("DB_Name").alias("DatabaseName"), F.col("Table_Name").alias("TableName"),
         F.col("user_seeks").alias("TotalAccesses"), "Date",
     )
@@ -413,6 +414,12 @@ def repeat_offenders(t):
 
 @query
 def alert_detail(t):
+    return alerts.shown(alerts.offences(_runs(t), _run_bounds(t)))
+
+
+@query
+def alert_detail_of_flagged(t):
+    """The same by way of a list of flagged names."""
     limits, runs = _run_bounds(t), _runs(t)
     return alerts.alert_detail(runs, limits, alerts.repeat_offenders(runs, limits))
 
@@ -428,13 +435,13 @@ def _spacious(t):
 def _table_candidates(t):
     return worklists.table_candidates(
         tables_with_row_count(t), stale_statistics(t), fragmented_top_tables(t),
-        _spacious(t).filter(F.col("Free_Space_MBs") > 96), SALES_AT,
+        _spacious(t), SALES_AT,
     )
 
 
 @r.once
 def _index_candidates(t):
-    return worklists.index_candidates(r.index_usage(t), _spacious(t).filter(F.col("Free_Space_MBs") > 92), SALES_AT)
+    return worklists.index_candidates(r.index_usage(t), _spacious(t), SALES_AT)
 
 
 @query
@@ -660,6 +667,134 @@ def tagged_amounts(t):
     ).groupBy("source", "id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("amount"))
 
 
+# ---------------------------------------------------------------- stored history, settings and whole runs
+
+LOADED, LATER, CUT = "2024-01-15 12:00:00", "2024-01-16 12:00:00", "2024-01-16 06:00:00"
+
+
+def _stored_rows(t, *loads):
+    """table_rows after loads of (as_of, frame), read back."""
+    root = replay.run_folder(t.spark, "rows")
+    for as_of, frame in loads:
+        history.append_snapshot(frame, root, "table_rows", as_of)
+    return history.read_history(t.spark, root, "table_rows").drop(PARTITION)
+
+
+@query
+def history_rerun(t):
+    """A load of all rows twice, run again with each row once, beside a load of another time."""
+    rows = r.table_rows(t)
+    return _stored_rows(t, (LOADED, rows.union(rows)), (LATER, rows), (LOADED, rows))
+
+
+@query
+def history_rerun_empty(t):
+    """A load that is run again and has no rows any more."""
+    rows = r.table_rows(t)
+    return _stored_rows(t, (LOADED, rows), (LATER, rows), (LOADED, rows.limit(0)))
+
+
+@query
+def history_as_of(t):
+    """Streamed events, and orders loaded before and after the time asked for, from one table."""
+    root = replay.run_folder(t.spark, "as_of")
+    replay.ingest_runs(t.spark, t.folder, root)
+    orders = t.orders.select(
+        F.lit("orders").alias("DB_Name"), F.col("o_orderpriority").alias("SP_Name"), F.col("o_orderkey").alias("last_elapsed_time"),
+        F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderdate")).alias("Date"),
+    )
+    for as_of in (LOADED, LATER):
+        history.append_snapshot(orders, root, "recent_runs", as_of)
+    return history.read_history(t.spark, root, "recent_runs", until=CUT).groupBy(
+        "DB_Name", "SP_Name", F.regexp_replace("snapshot_run", "-.*", "").alias("snapshot_run")).agg(
+        F.count("*").alias("n"), F.sum("last_elapsed_time").alias("total"), F.max("Date").alias("newest"))
+
+
+@query
+def collect_errors(t):
+    """Two runs of one time, each with a failing source: stored errors, and the rows that the others stored."""
+    root = replay.run_folder(t.spark, "errors")
+
+    def fails():
+        raise RuntimeError("source " + "is down " * 60)
+
+    weekly = {"fragmentation": fails, "table_rows": lambda: r.table_rows(t)}
+    for collectors in (weekly, {"jobs": fails, "page_life": fails}, weekly):
+        runner.run_collect(t.spark, root, collectors, LOADED)
+    errors = history.read_history(t.spark, root, "errors").select("TableName", F.length("Message").cast("long").alias("n"))
+    rows = history.read_history(t.spark, root, "table_rows").select(F.lit("table_rows").alias("TableName"))
+    return errors.union(rows.groupBy("TableName").agg(F.count("*").alias("n")))
+
+
+@query
+def parameter_lookup(t):
+    """Events within the minutes that the settings name, after the default was changed; days of history come from them too."""
+    blank = t.customer.select(
+        F.lit("12").alias("Item"), F.col("c_name").alias("SP_Name"), F.lit("Minutes").alias("Class"), tp.ts_lit(LOADED).alias("Date"))
+    seeded = parameters.seed_parameters(t.spark, blank, LOADED)
+    change = seeded.filter(F.col("SP_Name") == parameters.ALERTS).filter("Class = 'Minutes'").withColumn("Item", F.lit("2880"))
+    settings = parameters.change_parameters(seeded, change, LATER)
+    minutes = int(parameters.parameter(settings, parameters.ALERTS, "Minutes"))
+    days = parameters.retention_days(settings)
+    return timewindow.recent(t.events, "ts", minutes / 1440, EVENTS_AT).select(
+        "event_id", "ts", F.lit(days["index_usage"]).alias("usage_days"), F.lit(days["jobs"]).alias("job_days"))
+
+
+@r.once
+def _settings(t):
+    """The customers of one segment as routines that alerts leave out, beside the default settings."""
+    out = r.exclusions(t).select("Item", F.lit(parameters.ALERTS).alias("SP_Name"), F.lit("Exclusion").alias("Class"), tp.ts_lit(LOADED).alias("Date"))
+    return parameters.seed_parameters(t.spark, out, LOADED)
+
+
+def _poll(t, root, as_of, **more):
+    return runner.poll_alerts(t.spark, root, r.user_procedures(t), r.user_runs(t), _settings(t), as_of, **more)
+
+
+def _alert_history(t):
+    root = replay.run_folder(t.spark, "alerts_run")
+    history.append_snapshot(r.user_history(t), root, "routine_exec", EVENTS_AT)
+    return root
+
+
+@query
+def alert_run(t):
+    """A whole alert run: runs taken, routines flagged against the stored history, alerts stored and read."""
+    return _poll(t, _alert_history(t), EVENTS_AT, days=30)
+
+
+@query
+def alert_run_again(t):
+    """The run repeated so that nothing is flagged: the alerts and names it had stored are gone, its runs are there once."""
+    root = _alert_history(t)
+    for least in (2, 1_000_000_000):
+        _poll(t, root, EVENTS_AT, days=30, min_runs=least)
+    counts = [
+        history.read_history(t.spark, root, table).agg(F.lit(table).alias("stored"), F.count("*").alias("n"))
+        for table in ("alerts", "flagged_routines", "recent_runs")
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+@query
+def recent_runs_held(t):
+    """Runs of a poll ten days ago, held for twenty days, with those of the last five days."""
+    root = replay.run_folder(t.spark, "held")
+    first = alerts.recent_runs(r.user_procedures(t), r.user_runs(t), "2024-01-21 00:00:00", exclusions=r.exclusions(t), days=12)
+    history.append_snapshot(first, root, "recent_runs", "2024-01-21 00:00:00")
+    return alerts.recent_runs(
+        r.user_procedures(t), r.user_runs(t), EVENTS_AT, held=runner.held_runs(t.spark, root, EVENTS_AT), exclusions=r.exclusions(t),
+        minutes=20 * 1440, days=5)
+
+
+@query
+def fan_in(t):
+    """Row counts of the orders of each priority, landed one by one and stacked."""
+    names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    parts = {n: t.orders.filter(F.col("o_orderpriority") == n).select("o_orderkey", "o_custkey") for n in names}
+    return landed.fan_in(parts)
+
+
 # ---------------------------------------------------------------- streams replayed to completion
 
 @query

@@ -22,8 +22,12 @@ EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared folder; a local one only where none is set, as in tests."""
-    base = shared_folder(spark) or tempfile.mkdtemp(prefix="statledger-")
+    """A new folder under the cluster's shared folder; a local one only where none is set and all runs in one process."""
+    base = shared_folder(spark)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="statledger-")
     return posixpath.join(base, "statledger", name, uuid.uuid4().hex)
 
 
@@ -66,6 +70,15 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
     return read_batches(spark, f"{root}/alerts").select("event_id", "event_type", "cents", "Mean", "SampleSize")
 
 
+def ingest_runs(spark: SparkSession, folder: str, root: str) -> None:
+    """All events as rows of the history table ``recent_runs`` under ``root``."""
+    stream = _events(spark, folder).select(
+        F.col("event_type").alias("DB_Name"), F.col("user_id").cast("string").alias("SP_Name"),
+        F.col("event_id").alias("last_elapsed_time"), F.col("ts").alias("Date"),
+    )
+    ingest(stream, f"{root}/recent_runs", f"{root}/checkpoint_of_recent_runs").awaitTermination()
+
+
 def history(spark: SparkSession, folder: str) -> DataFrame:
     root = run_folder(spark, "history")
     stream = _events(spark, folder).select("event_id", "ts", "event_type", "cents")

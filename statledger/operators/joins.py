@@ -53,9 +53,12 @@ def update_from(
     columns: Sequence[str],
     *,
     newest_by: str | None = None,
+    keep_old: bool = True,
 ) -> DataFrame:
     """Overwrite ``columns`` of the rows that have a match; the others keep their value.
 
+    A NULL in the source leaves the old value, unless ``keep_old`` is false.
+
     The source is first cut to one row per key (the newest by ``newest_by``, else
     the greatest values), so a key that matches twice still gives one row.
     """
@@ -68,7 +71,7 @@ def update_from(
     present = set(target.columns)
     out = [
         (
-            F.when(hit, F.coalesce(F.col(f"__new_{c}"), F.col(c))).otherwise(F.col(c)).alias(c)
+            F.when(hit, F.coalesce(F.col(f"__new_{c}"), F.col(c)) if keep_old else F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
             if c in present
             else F.col(f"__new_{c}").alias(c)
         )
@@ -85,14 +88,19 @@ def seed_missing(existing: DataFrame, seeds: DataFrame, keys: Sequence[str]) ->
     return existing.unionByName(fresh.select(*existing.columns))
 
 
-def upsert(old: DataFrame, changes: DataFrame, keys: Sequence[str], stamp: str, as_of_col) -> DataFrame:
+def upsert(
+    old: DataFrame, changes: DataFrame, keys: Sequence[str], stamp: str, as_of_col, *, newest_by: str | None = None
+) -> DataFrame:
     """Apply changed rows by key, add new ones and stamp every touched row.
 
-    ``changes`` holds one row per key. A changed row replaces all its non-key values.
+    A changed row replaces all its non-key values. Of several changes to a key the newest by ``newest_by`` counts,
+    else the one with the greatest values.
     """
     keys = list(keys)
     values = [c for c in old.columns if c not in keys and c != stamp]
-    tagged = changes.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__hit"))
+    one = changes.select(*dict.fromkeys([*keys, *([newest_by] if newest_by else []), *values]))
+    one = latest_per(one, keys, newest_by or values[0]) if newest_by or values else one.distinct()
+    tagged = one.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__hit"))
     joined = old.join(tagged, keys, "full_outer")
     hit = F.coalesce(F.col("__hit"), F.lit(False))
     return joined.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.bounds import outliers
@@ -55,14 +55,28 @@ def repeat_offenders(
     return counted.filter(F.col("__runs") >= min_runs).select(*scope, "SP_Name")
 
 
+def offences(
+    runs: DataFrame, bounds: DataFrame, *, min_runs: int = 2, scope: Scope = (), hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The long runs of all routines that have at least ``min_runs`` of them, in one pass over runs and bounds."""
+    found = long_runs(runs, bounds, scope=scope, hot_rows=hot_rows)
+    of_name = Window.partitionBy(*scope, "SP_Name")
+    return found.withColumn("__runs", F.count("SP_Name").over(of_name)).filter(F.col("__runs") >= min_runs).drop("__runs")
+
+
+def shown(found: DataFrame, *, n: int = 1000, scope: Scope = ()) -> DataFrame:
+    """Long runs as alert rows, by name and newest first, at most ``n``."""
+    rows = found.select(
+        *scope, F.concat(F.trim("DB_Name"), F.lit("."), F.trim("SP_Name")).alias("SPName"), "last_elapsed_time",
+        "Mean", F.col("UpperBound").cast("bigint").alias("UpprBnd"), "Date",
+    )
+    return top_k(rows.distinct(), n, [*scope, "SPName", F.desc("Date"), "last_elapsed_time", "Mean", "UpprBnd"])
+
+
 def alert_detail(
     runs: DataFrame, bounds: DataFrame, flagged: DataFrame, *, n: int = 1000, scope: Scope = (),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The long runs of the flagged routines, by name and newest first, at most ``n``."""
     found = long_runs(runs, bounds, scope=scope, hot_rows=hot_rows)
-    shown = found.join(flagged.select(*scope, "SP_Name").distinct(), [*scope, "SP_Name"], "left_semi").select(
-        *scope, F.concat(F.trim("DB_Name"), F.lit("."), F.trim("SP_Name")).alias("SPName"), "last_elapsed_time",
-        "Mean", F.col("UpperBound").cast("bigint").alias("UpprBnd"), "Date",
-    )
-    return top_k(shown.distinct(), n, [*scope, "SPName", F.desc("Date"), "last_elapsed_time", "Mean", "UpprBnd"])
+    return shown(found.join(flagged.select(*scope, "SP_Name").distinct(), [*scope, "SP_Name"], "left_semi"), n=n, scope=scope)

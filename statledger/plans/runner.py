@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +14,15 @@ from ..operators.timewindow import PARTITION, apply_retention
 from ..sources.history import RUN, append_snapshot, drop_expired, read_history
 from ..sources.schemas import RETENTION_DAYS, STAMP
 from . import alerts, reports, worklists
+from .parameters import ALERTS, parameter
 
 Task = Callable[[], DataFrame]
 
 
 def error_rows(spark: SparkSession, failures: Mapping[str, str], as_of) -> DataFrame:
     """Failures in the shape of the errors table."""
-    rows = [(name, message[:250]) for name, message in failures.items()]
-    return spark.createDataFrame(rows, "TableName STRING, Message STRING").select(
-        ts_lit(as_of).alias("Date"), F.substring("TableName", 1, 50).alias("TableName"), "Message"
-    )
+    rows = spark.createDataFrame(list(failures.items()), "TableName STRING, Message STRING")
+    return rows.select(ts_lit(as_of).alias("Date"), "TableName", "Message")
 
 
 def run_isolated(spark: SparkSession, tasks: Mapping[str, Callable[[], None]], as_of) -> DataFrame:
@@ -40,28 +40,33 @@ def run_collect(
     spark: SparkSession, root: str, collectors: Mapping[str, Task], as_of, *, extra=(),
     retention_days: Mapping[str, int] = RETENTION_DAYS,
 ) -> DataFrame:
-    """Collect each table into its history, then drop expired days. Failures are recorded and returned.
+    """Collect each table into its history, then drop expired days. Failures of either are recorded and returned.
 
     ``collectors`` maps history table to a function that builds the rows to append.
-    Tables without an entry in ``retention_days`` keep everything.
+    Tables without an entry in ``retention_days`` keep everything. Errors are kept by the
+    set of collected tables, so two runs of one ``as_of`` keep theirs and a rerun replaces its own.
     """
 
     def append(table: str, build: Task) -> Callable[[], None]:
         return lambda: append_snapshot(build(), root, table, as_of, extra=extra)
 
-    errors = run_isolated(spark, {table: append(table, build) for table, build in collectors.items()}, as_of)
-    if not errors.isEmpty():
-        append_snapshot(errors, root, "errors", as_of)
-    for table in collectors:
-        if table in retention_days:
-            drop_expired(spark, root, table, retention_days[table], as_of)
+    def drop(table: str) -> Callable[[], None]:
+        return lambda: drop_expired(spark, root, table, retention_days[table], as_of)
+
+    failed = run_isolated(spark, {table: append(table, build) for table, build in collectors.items()}, as_of)
+    undropped = run_isolated(spark, {table: drop(table) for table in collectors if table in retention_days}, as_of)
+    errors = failed.unionByName(undropped)
+    names = hashlib.sha256("\n".join(sorted(collectors)).encode()).hexdigest()[:16]
+    append_snapshot(errors, root, "errors", as_of, part=names)
     return errors
 
 
-def history(spark: SparkSession, root: str, table: str, as_of, *, extra=()) -> DataFrame:
+def history(
+    spark: SparkSession, root: str, table: str, as_of, *, extra=(), retention_days: Mapping[str, int] = RETENTION_DAYS
+) -> DataFrame:
     """A history table as it stood at ``as_of``, within its retention."""
     df = read_history(spark, root, table, extra=extra, until=as_of)
-    days = RETENTION_DAYS.get(table)
+    days = retention_days.get(table)
     return df if days is None else apply_retention(df, days, as_of, STAMP.get(table, "Date"))
 
 
@@ -70,19 +75,48 @@ def run_alerts(
 ) -> DataFrame:
     """Flag repeatedly slow routines against their history and store the alert rows of this ``as_of``.
 
-    The recent runs and the flagged names are stored as well. With nothing
-    flagged, no alert rows are written. Returns the stored alert rows.
+    The recent runs and the flagged names are stored as well. A rerun replaces all three, so alerts that it
+    withdraws are gone; with nothing flagged there are no alert rows. Returns the stored alert rows.
     """
-    bounds = reports.routine_bounds(history(spark, root, "routine_exec", as_of, extra=extra), scope=extra)
-    flagged = alerts.repeat_offenders(runs, bounds, min_runs=min_runs, scope=extra)
     append_snapshot(runs, root, "recent_runs", as_of, extra=extra)
-    append_snapshot(flagged, root, "flagged_routines", as_of, extra=extra)
-    stored = _of_run(spark, root, "flagged_routines", as_of, extra)
-    if not stored.isEmpty():
-        append_snapshot(alerts.alert_detail(runs, bounds, stored, n=n, scope=extra), root, "alerts", as_of, extra=extra)
+    held = _of_run(spark, root, "recent_runs", as_of, extra)
+    bounds = reports.routine_bounds(history(spark, root, "routine_exec", as_of, extra=extra), scope=extra)
+    offences = alerts.offences(held, bounds, min_runs=min_runs, scope=extra).persist()
+    try:
+        append_snapshot(offences.select(*extra, "SP_Name").distinct(), root, "flagged_routines", as_of, extra=extra)
+        append_snapshot(alerts.shown(offences, n=n, scope=extra), root, "alerts", as_of, extra=extra)
+    finally:
+        offences.unpersist()
     return _of_run(spark, root, "alerts", as_of, extra)
 
 
+def poll_alerts(
+    spark: SparkSession, root: str, procedures: DataFrame, stats: DataFrame, settings: DataFrame, as_of, *, days=1,
+    min_runs: int = 2, n: int = 1000, extra=(),
+) -> DataFrame:
+    """One whole alert run: take the held runs from the history, add the fresh ones, store and flag.
+
+    The minutes that runs are held and the routines left out come from ``settings``.
+    """
+    minutes = int(parameter(settings, ALERTS, "Minutes", 120))
+    runs = alerts.recent_runs(
+        procedures, stats, as_of, held=held_runs(spark, root, as_of, extra=extra),
+        exclusions=settings.filter((F.col("SP_Name") == ALERTS) & (F.col("Class") == "Exclusion")), minutes=minutes, days=days, scope=extra,
+    )
+    return run_alerts(spark, root, runs, as_of, min_runs=min_runs, n=n, extra=extra)
+
+
+def held_runs(spark: SparkSession, root: str, as_of, *, extra=()) -> DataFrame:
+    """The runs stored by the last alert run before ``as_of``."""
+    stored = read_history(spark, root, "recent_runs", extra=extra)
+    at = parse_as_of(as_of)
+    load = F.struct(F.col(PARTITION).alias("day"), F.col(RUN).alias("run"))
+    limit = F.struct(F.lit(at.date().isoformat()).cast("date").alias("day"), F.lit(at.strftime("%H%M%S")).alias("run"))
+    before = stored.withColumn("__load", load).filter(F.col("__load") < limit)
+    last = before.agg(F.max("__load").alias("__last"))  # one row
+    return before.join(F.broadcast(last), F.col("__load") == F.col("__last")).drop("__load", "__last", PARTITION, RUN)
+
+
 def _of_run(spark: SparkSession, root: str, table: str, as_of, extra) -> DataFrame:
     """The rows one run stored."""
     at = parse_as_of(as_of)

@@ -1,8 +1,12 @@
 """History tables on a shared file system: parquet, partitioned by snapshot day and run.
 
-Every load writes its own ``snapshot_date``/``snapshot_run`` partition with dynamic
-overwrite, so a rerun of the same ``as_of`` replaces its rows and touches nothing
-else, and a half-written attempt never shows.
+Every load replaces its own ``snapshot_date``/``snapshot_run`` folder, so a rerun of
+the same ``as_of`` replaces its rows, also when it has none, and touches nothing
+else. While a rerun is written the folder is incomplete; readers that must not see
+that need a committer or table format with atomic replacement.
+
+Streams append to the same layout: their rows lie under runs ``STREAMED`` of
+their day and count by their own stamps. Undated rows count for every time.
 """
 
 from __future__ import annotations
@@ -13,36 +17,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from ..functions.timeparts import days_before, parse_as_of
+from ..functions.timeparts import days_before, parse_as_of, ts_lit
 from ..operators.timewindow import PARTITION
-from .schemas import conform, schema
+from .schemas import STAMP, conform, schema
 
 RUN = "snapshot_run"
+STREAMED = "streamed"
 
 
 def table_path(root: str, table: str) -> str:
     return posixpath.join(root, table)
 
 
-def append_snapshot(df: DataFrame, root: str, table: str, as_of, *, extra=()) -> None:
+def run_name(as_of, part: str = "") -> str:
+    """Folder name of a load: its time of day, and ``part`` where several loads of one time stay side by side."""
+    at = parse_as_of(as_of).strftime("%H%M%S")
+    return f"{at}-{part}" if part else at
+
+
+def append_snapshot(df: DataFrame, root: str, table: str, as_of, *, extra=(), part: str = "") -> None:
     """Write the rows of one load. Within the files rows are sorted by name for row-group skipping."""
-    at = parse_as_of(as_of)
     shaped = conform(df, table, extra)
-    shaped = shaped.withColumn(PARTITION, F.lit(at.date().isoformat()).cast("date")).withColumn(
-        RUN, F.lit(at.strftime("%H%M%S"))
-    )
+    folder = f"{PARTITION}={parse_as_of(as_of).date().isoformat()}/{RUN}={run_name(as_of, part)}"
     (
         shaped.sortWithinPartitions(*[c for c in shaped.columns[:2]])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy(PARTITION, RUN)
-        .parquet(table_path(root, table))
+        .parquet(posixpath.join(table_path(root, table), folder))
     )
 
 
 def read_history(spark: SparkSession, root: str, table: str, *, extra=(), until=None) -> DataFrame:
-    """All loads of a table, or those up to ``until``. A table that was never written is empty."""
+    """All loads of a table, or those up to ``until``. A table that was never written is empty.
+
+    Streamed rows of the last day are decided one by one by their stamp; undated ones always belong.
+    """
     full = StructType(
         [StructField(c, StringType()) for c in extra]
         + [f for f in schema(table) if f.name not in extra]
@@ -56,7 +65,9 @@ def read_history(spark: SparkSession, root: str, table: str, *, extra=(), until=
     if until is not None:
         at = parse_as_of(until)
         day, run = F.lit(at.date().isoformat()).cast("date"), at.strftime("%H%M%S")
-        df = df.filter((F.col(PARTITION) < day) | ((F.col(PARTITION) == day) & (F.col(RUN) <= run)))
+        stamp = F.coalesce(F.col(STAMP.get(table, "Date")) <= ts_lit(until), F.lit(True))
+        in_time = F.when(F.col(RUN).startswith(STREAMED), stamp).otherwise(F.substring(RUN, 1, 6) <= run)
+        df = df.filter(F.col(PARTITION).isNull() | (F.col(PARTITION) < day) | ((F.col(PARTITION) == day) & in_time))
     return df
 
 

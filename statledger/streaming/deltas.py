@@ -26,12 +26,14 @@ def stream_deltas(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
-        last = newest_before(batch.sparkSession, state, batch_id)
-        deltas, newest = counter_step(rows, last, keys, ts, columns, **policy)
-        write_batch(deltas, out, batch_id)
-        write_batch(newest, state, batch_id)
-        drop_versions(batch.sparkSession, state, batch_id)
-        rows.unpersist()
+        try:
+            last = newest_before(batch.sparkSession, state, batch_id)
+            deltas, newest = counter_step(rows, last, keys, ts, columns, **policy)
+            write_batch(deltas, out, batch_id)
+            write_batch(newest, state, batch_id)
+            drop_versions(batch.sparkSession, state, batch_id)
+        finally:
+            rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", posixpath.join(root, "checkpoint"))
     return (writer.trigger(availableNow=True) if once else writer).start()

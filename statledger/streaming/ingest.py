@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.timewindow import PARTITION
+from ..sources.history import RUN, STREAMED
 
 
 def open_landed(spark: SparkSession, path: str, schema: StructType, *, fmt: str = "parquet",
@@ -22,12 +23,15 @@ def open_landed(spark: SparkSession, path: str, schema: StructType, *, fmt: str
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str, *, ts: str = "Date", once: bool = True) -> StreamingQuery:
-    """Append the stream to a history folder partitioned by snapshot day, each file exactly once."""
-    writer = (
-        stream.withColumn(PARTITION, F.to_date(ts))
-        .writeStream.format("parquet")
-        .partitionBy(PARTITION)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    """Append the stream to a history table, each file exactly once.
+
+    The rows lie under the day of their stamp, in a run named by ``STREAMED`` and the number of the micro-batch, beside
+    loaded snapshots; ``read_history`` reads both. A batch that is repeated replaces its own runs.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        dated = batch.withColumn(PARTITION, F.to_date(ts)).withColumn(RUN, F.lit(f"{STREAMED}-{batch_id}"))
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, RUN).parquet(path)
+
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

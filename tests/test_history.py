@@ -8,6 +8,7 @@ from frames import ts, tuples
 from statledger.plans import runner
 from statledger.sources import history, landed
 from statledger.sources.schemas import TABLES, schema
+from statledger.streaming import ingest
 
 AT = "2024-01-31 00:00:00"
 
@@ -16,7 +17,7 @@ def rows(spark, n, db="d"):
     return spark.createDataFrame([(db, f"[dbo].[t{i}]", f"t{i}", i, ts(AT)) for i in range(n)], schema("table_rows"))
 
 
-def test_every_table_has_a_schema():
+def test_every_table_has_a_schema(spark):
     assert len(TABLES) == 26 + 1  # the history tables, and one for alerts
     for name in TABLES:
         assert schema(name).fieldNames()
@@ -32,6 +33,38 @@ def test_rerun_replaces_its_own_rows_only(spark, tmp_path):
     assert history.read_history(spark, root, "table_usage").count() == 0
 
 
+def test_rerun_without_rows_leaves_none(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (2, 0):
+        history.append_snapshot(rows(spark, n), root, "table_rows", "2024-01-30 02:00:00")
+    assert history.read_history(spark, root, "table_rows").count() == 0
+
+
+def test_undated_and_streamed_rows_count_by_their_stamp(spark, tmp_path):
+    root, landed_at = str(tmp_path / "root"), str(tmp_path / "landed")
+    given = [("d", "p", n, ts(at) if at else None) for n, at in enumerate(("2024-01-29 10:00", "2024-01-30 01:00", "2024-01-30 03:00", None))]
+    spark.createDataFrame(given, schema("recent_runs")).write.parquet(landed_at)
+    stream = ingest.open_landed(spark, landed_at, schema("recent_runs"))
+    ingest.ingest(stream, f"{root}/recent_runs", f"{root}/checkpoint").awaitTermination()
+    history.append_snapshot(spark.createDataFrame([("d", "q", 9, ts("2024-01-30 01:30"))], schema("recent_runs")), root, "recent_runs", "2024-01-30 02:00:00")
+    read = history.read_history(spark, root, "recent_runs", until="2024-01-30 02:00:00")
+    assert tuples(read, "last_elapsed_time") == [(0,), (1,), (3,), (9,)]
+    assert history.read_history(spark, root, "recent_runs").count() == 5
+
+
+def test_errors_are_whole_and_of_every_run(spark, tmp_path):
+    root = str(tmp_path)
+
+    def broken():
+        raise RuntimeError("x" * 1000)
+
+    for _ in range(2):
+        for tables in (("fragmentation",), ("jobs", "page_life")):
+            runner.run_collect(spark, root, {t: broken for t in tables}, AT)
+    found = tuples(history.read_history(spark, root, "errors"), "TableName", "Message")
+    assert [t for t, _ in found] == ["fragmentation", "jobs", "page_life"] and all(m.endswith("x" * 1000) for _, m in found)
+
+
 def test_point_in_time_read_prunes_partitions(spark, tmp_path):
     root = str(tmp_path)
     history.append_snapshot(rows(spark, 3), root, "table_rows", "2024-01-30 02:00:00")
@@ -89,6 +122,8 @@ def test_alert_run(spark, tmp_path):
     runs = spark.createDataFrame([("d", "p", 5_000, ts("2024-01-30 10:00")), ("d", "p", 6_000, ts("2024-01-30 11:00"))], schema("recent_runs"))
     assert tuples(runner.run_alerts(spark, root, runs, AT), "SPName", "last_elapsed_time") == [("d.p", 5_000), ("d.p", 6_000)]
     assert tuples(runner.run_alerts(spark, root, runs.limit(1), "2024-01-31 02:00:00")) == []
+    assert tuples(runner.run_alerts(spark, root, runs.limit(1), AT)) == []  # a rerun withdraws what it had stored
+    assert history.read_history(spark, root, "flagged_routines").count() == 0
 
 
 def test_recommendation_run(spark, tmp_path):

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from statledger.checks import queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
+QUERIES = queries.queries()
 
 
 def plan_of(spark, name):
