@@ -1,12 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answers.
 
 Method. Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages are TF-IDF vectors over the benchmark's terms, with
-document frequencies counted over all documents; terms in more than ``STOP`` of the documents weigh nothing. A randomised SVD, whose
+document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would lose
+half of their terms by it (such as one that a third of the documents hold): there all terms count. A randomised SVD, whose
 products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight.
 Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage whose cosine is ``COSINE`` or
 more are candidates. Around the window, the longest common subsequence with the passage is taken over the words that weigh something. A
 document is contaminated if it covers ``SURE`` of the passage, or ``LIKELY`` of it and ``ANSWER`` of its answer, which is its last quarter.
-Passages without such words are compared over all their words.
 
 Words are runs of letters and digits (all bytes beyond ASCII count as letters), A-Z and Latin-1 capitals lower-cased.
 
@@ -160,18 +160,14 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 class Index:
     """Latent benchmark passages and what is needed to fold documents in."""
 
-    def __init__(self, found: list[tuple[int | None, np.ndarray]], vocabulary: np.ndarray, weights: np.ndarray, space: np.ndarray):
+    def __init__(self, found: list[tuple[int | None, np.ndarray]], vocabulary: np.ndarray, weights: np.ndarray, rare: np.ndarray,
+                 whole: list[bool], space: np.ndarray):
         self.terms, self.weights = Terms(vocabulary), weights
         self.items, self.words = [i for i, _ in found], [w for _, w in found]
         self.loadings = (weights[:, None] * space).astype(np.float32)
         latent = np.stack([self.loadings[self.terms.find(w)[1]].sum(0) for w in self.words])
         self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)).T.copy()
-        self.telling = [self._telling(w) for w in self.words]
-
-    def _telling(self, words: np.ndarray) -> np.ndarray:
-        """The words that weigh something."""
-        at, term = self.terms.find(words)
-        return words[at[self.weights[term] > 0]]
+        self.telling = [w if all_count else w[rare[self.terms.find(w)[1]]] for w, all_count in zip(self.words, whole, strict=True)]
 
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
         """Row, passage, cosine, cover and answer's cover of every hit in a slice of documents."""
@@ -213,10 +209,6 @@ class Index:
         passage, found = self.telling[p], None
         for cosine, start in windows:
             region = words[max(start - len(self.words[p]), 0) : start + WINDOW + len(self.words[p])]
-            if len(passage):
-                region = self._telling(region)
-            else:
-                passage = self.words[p]
             cover = common(passage, region) / len(passage)
             if cover < LIKELY:
                 continue
@@ -269,8 +261,14 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
             continue
         vocabulary = np.unique(np.concatenate([w for _, w in found]))
         often, documents = frequencies(docs, vocabulary)
-        weights = np.where(often <= STOP * documents, np.log((documents + 1) / (often + 1)), 0.0)
+        rare, idf = often <= STOP * documents, np.maximum(np.log((documents + 1) / (often + 1)), 0.05)
         terms, rows, square = Terms(vocabulary), [], 0.0
+        own = [np.unique(terms.find(w)[1]) for _, w in found]
+        whole = [bool(rare[t].mean() < 0.5) for t in own]
+        weights = np.where(rare, idf, 0.0)
+        for term, all_count in zip(own, whole, strict=True):
+            if all_count:
+                weights[term] = idf[term]
         for _, words in found:
             term, count = np.unique(terms.find(words)[1], return_counts=True)
             weight = count * weights[term]
@@ -278,7 +276,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
             rows.append((term.tolist(), weight.tolist()))
         frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)
         space = latent_space(frame, len(vocabulary), square, min(len(found), len(vocabulary)))
-        yield found, vocabulary, weights, space
+        yield found, vocabulary, weights, rare, whole, space
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
