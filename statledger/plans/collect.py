@@ -24,7 +24,7 @@ from ..operators.counters import counter_delta, counter_ratio, counter_step, per
 from ..operators.joins import lookup_join, update_from
 from ..operators.ordered import HOT_ROWS, top_k, top_k_per, with_previous
 from ..operators.rollup import USAGE_TOTALS, usage_totals, with_shares
-from ..operators.timewindow import drop_where, recent
+from ..operators.timewindow import PARTITION, drop_where, recent
 
 Scope = Sequence[str]
 
@@ -51,9 +51,11 @@ def _named(df: DataFrame, objects: DataFrame, scope: Scope, name: str = "Table_N
 
 # ---------------------------------------------------------------- weekly: tables, indexes, routines
 
-def server_dim(servers: DataFrame, probes: DataFrame) -> DataFrame:
+def server_dim(servers: DataFrame, probes: DataFrame, *, probed_at: str | None = None) -> DataFrame:
     """Refresh version, edition, processors and memory of the servers that were probed.
 
+    Of several probes of a server the newest by the column ``probed_at`` counts; without one, the greatest values.
+
     The two processor columns keep the assignment existing readers rely on:
     ``sql_physical_cpus`` is the processor count, ``sql_logical_cpus`` the count
     divided by the hyper-thread ratio.
@@ -69,8 +71,10 @@ def server_dim(servers: DataFrame, probes: DataFrame) -> DataFrame:
         int_div("total_physical_memory_kb", 1024).cast("int").alias("AvailableRAM"),
         int_div("total_server_memory_kb", 1024).cast("int").alias("MaxSQLRAM"),
         F.substring(banner, after_on, F.lit(4)).alias("windows_version_num"),
+        *([F.col(probed_at).alias("__at")] if probed_at else []),
     )
-    return update_from(servers, fresh, ["server_name"], fresh.columns[1:])
+    values = [c for c in fresh.columns[1:] if c != "__at"]
+    return update_from(servers, fresh, ["server_name"], values, newest_by="__at" if probed_at else None)
 
 
 def fragmentation(physical: DataFrame, indexes: DataFrame, objects: DataFrame, as_of, *, scope: Scope = ()) -> DataFrame:
@@ -384,9 +388,15 @@ def file_io_continue(
 
     What a file has counted since the restart is the sum of its intervals that
     began after it; the new interval is the rest. A file without such intervals
-    counts from the restart. ``snapshot`` holds one row per file.
+    counts from the restart. ``snapshot`` holds one row per file. The oldest of its restarts
+    (one value) bounds what is read of ``stored``, its day partitions too.
     """
     keys = list(keys)
+    oldest = snapshot.agg(F.min("TimeStamp").cast("timestamp_ntz").cast("string")).first()[0]
+    if oldest is not None:
+        stored = stored.filter(F.col("report_date_time_start") >= ts_lit(oldest))
+        if PARTITION in stored.columns:
+            stored = stored.filter(F.col(PARTITION).isNull() | (F.col(PARTITION) >= F.lit(oldest[:10]).cast("date")))
     spans = snapshot.select(*keys, F.col("TimeStamp").alias("__epoch"), F.col("report_date_time_end").alias("__end"))
     history = stored.select(*keys, *IO_COUNTERS, "report_date_time_start", "report_date_time_end")
     since = lookup_join(history, spans, keys, hot_rows=hot_rows).filter(
@@ -420,7 +430,9 @@ def cpu_samples(ring: DataFrame, now_ms, as_of, *, hours=2, scope: Scope = ()) -
     )
     health = F.col("x.SchedulerMonitorEvent.SystemHealth")
     idle, sql = health["SystemIdle"], health["ProcessUtilization"]
-    dated = ring.filter(F.col("record").contains("<SystemHealth>")).withColumn(
+    # the ticks themselves bound the scan, a minute wider than the exact times below
+    ticks = F.col("timestamp").between(now_ms - round(hours * 3_600_000) - 60_000, now_ms + 60_000)
+    dated = ring.filter(ticks & F.col("record").contains("<SystemHealth>")).withColumn(
         "Date", tick_time(as_of, now_ms, "timestamp")
     )
     shredded = recent(dated, "Date", hours / 24, as_of).withColumn("x", F.from_xml("record", F.lit(schema)))
@@ -602,12 +614,18 @@ JOB_COLUMNS = [
 ]
 
 
-def agent_jobs(jobs: DataFrame, runs: DataFrame, as_of, *, hours=2, scope: Scope = ()) -> DataFrame:
-    """Scheduler job steps that ended in the last ``hours``, decoded from packed dates, times and durations."""
+def agent_jobs(
+    jobs: DataFrame, runs: DataFrame, as_of, *, hours=2, name_length: int | None = 60, scope: Scope = ()
+) -> DataFrame:
+    """Scheduler job steps that ended in the last ``hours``, decoded from packed dates, times and durations.
+
+    Names are cut to ``name_length`` as the source reports them; ``None`` keeps them whole.
+    """
+    name = F.col("name") if name_length is None else F.substring("name", 1, name_length)
     seconds = packed_seconds("run_duration")
     start = packed_datetime("run_date", "run_time")
     joined = jobs.join(runs, [*scope, "job_id"]).select(
-        *scope, F.substring("name", 1, 60).alias("JobName"), F.col("step_id").alias("JobFailStep"),
+        *scope, name.alias("JobName"), F.col("step_id").alias("JobFailStep"),
         message_tail("message").alias("JobFailMessage"), start.alias("RunDateTime"),
         seconds.alias("JobDurationSeconds"), F.col("run_status").alias("RunStatus"),
         F.lit(None).cast("string").alias("owner"), F.lit("SQLAgent").alias("source"), ts_lit(as_of).alias("Date"),

@@ -392,9 +392,9 @@ def unneeded_indexes(index_usage: DataFrame, as_of, *, days=WEEK, scope: Scope =
         .agg(F.min("Date").alias("FirstDate"), F.max("Date").alias("LastDate"))
     )
     grouped = snapshots.groupBy(*keys).agg(
-        F.sum("user_seeks").cast("decimal(18,0)").alias("TotalSeeks"),
-        F.sum("user_scans").cast("decimal(18,0)").alias("TotalScans"),
-        F.sum("user_lookups").cast("decimal(18,0)").alias("TotalLookups"),
+        F.sum("user_seeks").cast("decimal(38,0)").alias("TotalSeeks"),
+        F.sum("user_scans").cast("decimal(38,0)").alias("TotalScans"),
+        F.sum("user_lookups").cast("decimal(38,0)").alias("TotalLookups"),
         trunc_int(int_avg("user_updates")).alias("AvgWeekUpdates"),
         F.min("FirstDate").alias("FirstDate"),
         F.max("LastDate").alias("LastDate"),

@@ -19,7 +19,8 @@ def stream_alerts(
 ) -> StreamingQuery:
     """Write the outlying rows of every micro-batch to ``<root>/alerts``.
 
-    ``bounds`` is called for each batch, so refreshed bounds take effect at once.
+    ``bounds`` is called for each batch, so refreshed bounds take effect at once. Let it read a stored table: what it
+    computes is computed for every batch.
     """
     out = posixpath.join(root, "alerts")
 
