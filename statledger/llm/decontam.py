@@ -1,11 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answers.
 
 Method. Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages are TF-IDF vectors over the benchmark's terms, with
-document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would lose
-half of their terms by it (such as one that a third of the documents hold): there all terms count. A randomised SVD, whose
+document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would keep
+less than ``LEAST_TERMS`` by it (such as one that a third of the documents hold): there all terms count, and ``WHOLE`` of them must be covered. A randomised SVD, whose
 products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight.
-Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage whose cosine is ``COSINE`` or
-more are candidates. Around the window, the longest common subsequence with the passage is taken over the words that weigh something. A
+Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage are candidates if their cosine
+is ``COSINE`` or more and the window's share of the passage is half of ``LIKELY`` or more, as a window may hold just half of a long passage. Around the window, the longest common subsequence with the passage is taken over the words that weigh something. A
 document is contaminated if it covers ``SURE`` of the passage, or ``LIKELY`` of it and ``ANSWER`` of its answer, which is its last quarter.
 
 Words are runs of letters and digits (all bytes beyond ASCII count as letters), A-Z and Latin-1 capitals lower-cased.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .words import NO_WORD, hashes, slices
 
 PASSAGE, WINDOW, STOP, ENERGY, RANK = 64, 32, 0.1, 0.95, 64
-COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER = 0.35, 3, 0.6, 0.4, 0.8
+COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER, WHOLE = 0.45, 3, 0.6, 0.4, 0.8, 0.75
 BLOCK_CHARS = 400_000
 _HITS = "doc_id long, item_id long, cosine double, cover double, answer double"
 
@@ -165,9 +165,16 @@ class Index:
         self.terms, self.weights = Terms(vocabulary), weights
         self.items, self.words = [i for i, _ in found], [w for _, w in found]
         self.loadings = (weights[:, None] * space).astype(np.float32)
-        latent = np.stack([self.loadings[self.terms.find(w)[1]].sum(0) for w in self.words])
-        self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)).T.copy()
-        self.telling = [w if all_count else w[rare[self.terms.find(w)[1]]] for w, all_count in zip(self.words, whole, strict=True)]
+        own = [self.terms.find(w)[1] for w in self.words]
+        latent = np.stack([self.loadings[t].sum(0) for t in own])
+        self.size = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
+        self.latent = (latent / self.size[:, None]).T.copy()
+        self.whole = whole
+        #: The terms of each passage that its subsequences are taken over, and which terms those are.
+        self.telling = [t if all_count else t[rare[t]] for t, all_count in zip(own, whole, strict=True)]
+        self.member = np.zeros((len(own), len(vocabulary)), bool)
+        for p, t in enumerate(self.telling):
+            self.member[p, t] = True
 
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
         """Row, passage, cosine, cover and answer's cover of every hit in a slice of documents."""
@@ -194,29 +201,32 @@ class Index:
         dense = np.flatnonzero(counts_w >= LEAST_TERMS)
         if not len(dense):
             return
-        cosines = (sums_w[dense] @ self.latent) / np.maximum(np.linalg.norm(sums_w[dense], axis=1, keepdims=True), 1e-12)
-        best: dict[tuple[int, int], list[tuple[float, int]]] = {}
-        for w, p in zip(*np.nonzero(cosines >= COSINE), strict=True):
-            b = used[dense[w]]
-            best.setdefault((int(owner[dense[w]]), int(p)), []).append((float(cosines[w, p]), int(b)))
-        for (r, p), windows in best.items():
-            hit = self._checked(words[first[r] : first[r + 1]], [(c, (b - int(begin[r])) * half) for c, b in windows], p)
-            if hit:
-                yield r, p, *hit
-
-    def _checked(self, words: np.ndarray, windows: list[tuple[float, int]], p: int) -> tuple[float, float, float] | None:
-        """Cosine, cover and answer's cover of the best window that passes."""
-        passage, found = self.telling[p], None
-        for cosine, start in windows:
-            region = words[max(start - len(self.words[p]), 0) : start + WINDOW + len(self.words[p])]
-            cover = common(passage, region) / len(passage)
-            if cover < LIKELY:
-                continue
-            last = passage[-max(len(passage) // 4, 1) :]
-            answer = common(last, region) / len(last)
-            if (cover >= SURE or answer >= ANSWER) and (found is None or cover > found[1]):
-                found = (cosine, cover, answer)
-        return found
+        length = np.maximum(np.linalg.norm(sums_w[dense], axis=1, keepdims=True), 1e-12)
+        dots = sums_w[dense] @ self.latent
+        window, passage = np.nonzero((dots >= COSINE * length) & (dots >= LIKELY / 2 * self.size))
+        best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        for w, p, cosine in zip(window.tolist(), passage.tolist(), (dots / length)[window, passage].tolist(), strict=True):
+            r = int(owner[dense[w]])
+            start, reach = int(first[r]) + int(used[dense[w]] - begin[r]) * half, len(self.words[p])
+            a, b = np.searchsorted(at, (max(start - reach, first[r]), min(start + WINDOW + reach, first[r + 1])))
+            hit = self._checked(cosine, term[a:b], p)
+            if hit and (r, p) not in best or hit and hit[1:] > best[r, p][1:]:
+                best[r, p] = hit
+        for (r, p), hit in best.items():
+            yield r, p, *hit
+
+    def _checked(self, cosine: float, region: np.ndarray, p: int) -> tuple[float, float, float] | None:
+        """Cosine, cover and answer's cover of a region's terms that passes."""
+        passage = self.telling[p]
+        region = region[self.member[p][region]]
+        if len(region) < LIKELY * len(passage) or not len(passage):
+            return None
+        cover = common(passage, region) / len(passage)
+        if cover < (WHOLE if self.whole[p] else LIKELY):
+            return None
+        last = passage[-max(len(passage) // 4, 1) :]
+        answer = common(last, region) / len(last)
+        return (cosine, cover, answer) if cover >= SURE or answer >= ANSWER else None
 
 
 def _searching(index):
@@ -264,7 +274,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         rare, idf = often <= STOP * documents, np.maximum(np.log((documents + 1) / (often + 1)), 0.05)
         terms, rows, square = Terms(vocabulary), [], 0.0
         own = [np.unique(terms.find(w)[1]) for _, w in found]
-        whole = [bool(rare[t].mean() < 0.5) for t in own]
+        whole = [bool(rare[t].sum() < LEAST_TERMS) for t in own]
         weights = np.where(rare, idf, 0.0)
         for term, all_count in zip(own, whole, strict=True):
             if all_count:

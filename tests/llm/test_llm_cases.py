@@ -266,16 +266,25 @@ def test_decontamination_cases(spark):
     swapped = [word() if i % 4 == 1 else w for i, w in enumerate(item)]
     docs = [(1, f"{fill(200)} {' '.join(item)} {fill(200)}"), (2, f"{fill(90)} {' '.join(swapped)}"), (3, fill(400)), (4, None), (5, ""), (6, " ".join(item).upper()),
             (None, " ".join(item)), (7, " ".join(item[:6]) + fill(50)), (8, f"{fill(3000)} {' '.join(item)}"), (1, f"{fill(20)} {' '.join(item)}")]
-    docs += [(i, fill(60)) for i in range(20, 60)]
+    docs += [(i, fill(60)) for i in range(20, 120)]
     frame = spark.createDataFrame([(*d, 1.0) for d in docs], "doc_id long, text string, cover double")
     bench = spark.createDataFrame([(9, " ".join(item)), (9, " ".join(item)), (10, None), (11, ""), (None, fill(25)), (12, fill(200))], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame, bench).collect()}
     assert found == {(i, 9) for i in (1, 2, 6, None, 8)}
     kept = decontam.clean(frame, bench)
-    assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {3, 4, 5, 7, *range(20, 60)}
+    assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {3, 4, 5, 7, *range(20, 120)}
     assert decontam.contaminated(frame, bench.limit(0)).count() == 0 and decontam.contaminated(frame.limit(0), bench).count() == 0
 
 
+def test_passage_of_a_third_of_all_documents(spark):
+    random.seed(12)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    item, fill = " ".join(word() for _ in range(30)), lambda: " ".join(word() for _ in range(50))
+    docs = spark.createDataFrame([(i, f"{fill()} {item} {fill()}" if i % 3 == 0 else fill()) for i in range(90)], TEXTS)
+    found = decontam.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(0, 90, 3))
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     random.seed(8)
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 400)
