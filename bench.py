@@ -23,7 +23,8 @@ HEADLINE = [
     "indexes_with_scans", "tables_with_statistics", "fragmented_top_tables", "indexes_with_free_space",
     "unneeded_indexes", "unused_tables", "file_io", "packet_delta", "delivery_rate", "memory_snapshot", "table_usage",
     "routine_exec", "top_queries", "index_free_space", "alert_detail", "rebuild_worklist", "stats_worklist",
-    "lock_hotspots", "routine_scripts",
+    "lock_hotspots", "routine_scripts", "file_io_continue", "enrich_candidates", "previous_event_hot_keys", "alert_run",
+    "history_as_of", "stream_deltas",
 ]
 
 

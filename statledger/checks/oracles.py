@@ -57,6 +57,8 @@ def _flag(flag: str, factor: int = 10) -> str:
     return f"CAST(CASE WHEN l_returnflag = '{flag}' THEN l_quantity * {factor} ELSE 0 END AS BIGINT)"
 
 
+# Fixed values in the statements below: bucket labels and the command texts that the maintenance procedure expects.
+
 # The sample tables in their roles.
 CTE = {
     "jobs": """SELECT event_type AS "JobName", CASE WHEN user_id % 10 = 9 THEN 1 ELSE 0 END AS "JobFailStep",

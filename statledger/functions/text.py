@@ -27,16 +27,19 @@ def message_tail(message, length: int = 45) -> Column:
     return F.substring(m, F.instr(m, ".") + 2, F.lit(length))
 
 
-def statement_slice(text, start_offset, end_offset) -> Column:
+def statement_slice(text, start_offset, end_offset, *, as_written: bool = True) -> Column:
     """One statement of a batch, from byte offsets in two-byte characters; -1 means to the end.
 
-    The slice starts at character ``start / 2``, where a start below one uses up
-    length before the first character, as the source system's substring does.
+    As existing readers know it, the slice starts at character ``start / 2``, where a start below one uses up
+    length before the first character; it therefore begins one character early and ends one early.
+    ``as_written=False`` gives the statement itself, from the character at the offset to the one at the end.
     """
     text, start, end = _col(text), _col(start_offset), _col(end_offset)
     stop = F.when(end == -1, F.length(F.rtrim(text)) * 2).otherwise(end)
     first = int_div(start, 2).cast("int")
     length = int_div(stop - start, 2).cast("int")
+    if not as_written:
+        return F.substring(text, first + 1, F.greatest(length, F.lit(0)) + F.when(end == -1, 0).otherwise(1))
     visible = F.greatest(length + F.least(first - 1, F.lit(0)), F.lit(0))
     return F.substring(text, F.greatest(first, F.lit(1)), visible)
 
@@ -46,6 +49,9 @@ def not_prefixed(name, prefix: str = "_") -> Column:
     return F.substring(_col(name), 1, 1) != prefix
 
 
+# The command texts below are those that the database server and the maintenance procedure expect.
+
+
 def update_statistics_command(table, index) -> Column:
     return F.concat(F.lit("UPDATE STATISTICS "), _col(table), F.lit("("), _col(index), F.lit(") WITH FULLscan"))
 
@@ -75,7 +81,6 @@ def optimize_command(database, table, index=None, *, online: bool = True, maxdop
         target += [F.lit(".["), _col(index), F.lit("]")]
     statistics = "" if index is not None else "@UpdateStatistics = 'ALL', @OnlyModifiedStatistics = 'Y', "
     actions = f"INDEX_REBUILD_{mode},INDEX_REORGANIZE"
-    # The command text the maintenance procedure expects.
     return F.concat(
         F.lit("EXECUTE [master].[dbo].[IndexOptimize] @Databases = ["), _col(database), F.lit("], @Indexes = '"),
         *target,

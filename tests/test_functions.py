@@ -133,7 +133,11 @@ def test_text_helpers(spark):
 def test_statement_slice(spark):
     schema = "t STRING, s INT, e INT"
     cut = x.statement_slice("t", "s", "e")
-    assert one(spark, cut, schema, "select 1; select 2", 20, -1) == " select 2"[: 18 - 10 + 0]
+    assert one(spark, cut, schema, "select 1; select 2", 20, -1) == " select "  # begins and ends one character early
     assert one(spark, cut, schema, "abcdef", 0, -1) == "abcde"  # a start of 0 costs one character
     assert one(spark, cut, schema, "abcdef", 2, 6) == "ab"
     assert one(spark, cut, schema, "abcdef", 4, 8) == "bc"
+    whole = x.statement_slice("t", "s", "e", as_written=False)
+    assert one(spark, whole, schema, "select 1; select 2", 20, -1) == "select 2"
+    assert one(spark, whole, schema, "select 1; select 2", 0, 14) == "select 1"
+    assert one(spark, whole, schema, "abcdef", 0, -1) == "abcdef"
