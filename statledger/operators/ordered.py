@@ -2,8 +2,8 @@
 
 ``with_previous`` is the one operator here that needs every row of a key in
 time order. A key that holds a large share of the table would put that share in
-one task, so such keys are cut into time slices and only the last row of each
-slice crosses to the next one.
+one task, so such keys are cut into slices of like row numbers, at full seconds,
+and only the last row of each slice crosses to the next one.
 """
 
 from __future__ import annotations
@@ -29,6 +29,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, *aggs: Column) -
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *aggs).filter(F.col("__n") > hot_rows)
 
 
+def slice_bounds(df: DataFrame, keys: Sequence[str], second: Column, hot_rows: int) -> DataFrame:
+    """First second of each slice of the keys with more than ``hot_rows`` rows, as an ascending array ``__bounds``.
+
+    A slice holds about ``hot_rows / 8`` rows, so there are at most ``8 * rows / hot_rows`` bounds in all.
+    """
+    hot = hot_keys(df, keys, hot_rows).select(*keys)
+    rows = df.select(*keys, second.cast("bigint").alias("__second")).alias("d")
+    cells = (
+        rows.join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left_semi")
+        .groupBy(*keys, "__second").agg(F.count(F.lit(1)).alias("__rows"))
+    )
+    before = Window.partitionBy(*keys).orderBy("__second").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.floor(F.coalesce(F.sum("__rows").over(before), F.lit(0)) / max(hot_rows // 8, 1))
+    starts = cells.withColumn("__part", part).groupBy(*keys, "__part").agg(F.min("__second").alias("__start"))
+    return starts.groupBy(*keys).agg(F.sort_array(F.collect_list("__start")).alias("__bounds"))
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,8 +62,9 @@ def with_previous(
     interchangeable rows tied. ``previous`` maps new column name to source column.
     ``is_last`` names a boolean that is true on the newest row of each key.
 
-    A key with more than ``hot_rows`` rows is sliced by time, several slices per
-    ``hot_rows`` rows so that bursts spread too. The slice bounds come from exact
+    A key with more than ``hot_rows`` rows is cut where the running count of its rows
+    by second passes each eighth of ``hot_rows``, so bursts are cut as well; only rows of one
+    second, and undated rows, stay together. The bounds come from exact
     counts, so a recomputed task slices the same way. Without such keys the plan
     shrinks at run time to a single window. ``hot_rows=None`` skips the check.
     """
@@ -63,21 +81,16 @@ def with_previous(
             out = out.withColumn(is_last, F.lead(F.lit(1)).over(w).isNull())
     else:
         second = wall_seconds(ts)
-        hot = hot_keys(df, keys, hot_rows, F.min(second).alias("__lo"), F.max(second).alias("__hi"))
-        hot = hot.withColumn("__slices", (F.col("__n") * 8 / F.lit(hot_rows)).cast("bigint"))
+        bounds = slice_bounds(df, keys, second, hot_rows)
         sliced = (
             df.alias("d")
-            .join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left")
-            .withColumn("__pos", (second - F.col("__lo")) * F.col("__slices"))
-            .withColumn("__width", F.col("__hi") - F.col("__lo") + 1)
+            .join(F.broadcast(bounds.alias("h")), same_keys("d", "h", keys), "left")
+            .withColumn("__second", second.cast("bigint"))
             .select(
                 "d.*",
-                F.col("__slices").isNotNull().alias("__hot"),
-                # undated rows of a hot key sort first, so they go into slice -1
-                F.when(F.col("__slices").isNull(), F.lit(0))
-                .otherwise(F.coalesce(F.floor(F.col("__pos") / F.col("__width")), F.lit(-1)))
-                .cast("bigint")
-                .alias("__slice"),
+                F.col("__bounds").isNotNull().alias("__hot"),
+                # undated rows of a hot key sort first, so they go into slice 0, before the first bound
+                F.coalesce(F.size(F.filter("__bounds", lambda b: b <= F.col("__second"))), F.lit(0)).cast("bigint").alias("__slice"),
             )
         )
         tails = (

@@ -8,6 +8,7 @@ import pytest
 from frames import frame, ts, tuples
 from pyspark.sql import functions as F
 
+from statledger.functions.timeparts import wall_seconds
 from statledger.operators import bounds, counters, joins, ordered, rollup, timewindow
 
 AT = "2024-01-31 00:00:00"
@@ -50,6 +51,17 @@ def test_previous_row_is_the_same_however_hot_keys_are_sliced(spark, seed, hot_r
     assert {r["id"]: (r["prev_id"], r["newest"]) for r in got.collect()} == brute_previous(rows)
 
 
+def test_bursts_are_cut_into_slices_of_like_size(spark):
+    burst = [("hot", f"2024-01-15 10:{i // 60 % 60:02d}:{i % 60:02d}", i) for i in range(900)]  # 90 % of the key in a quarter of an hour
+    rest = [("hot", f"2024-{1 + i % 6:02d}-{1 + i % 28:02d} 00:00:00", 1000 + i) for i in range(95)] + [("hot", None, 2000 + i) for i in range(5)]
+    df = spark.createDataFrame([(k, ts(at) if at else None, i) for k, at, i in burst + rest], "k STRING, at TIMESTAMP_NTZ, id INT")
+    second = wall_seconds("at")
+    starts = ordered.slice_bounds(df, ["k"], second, 160).first()["__bounds"]
+    stamps = sorted(r["s"] for r in df.select(second.cast("bigint").alias("s")).collect() if r["s"] is not None)
+    sizes = [sum(a <= s < b for s in stamps) for a, b in zip([*starts], [*starts[1:], 1 << 60])]
+    assert max(sizes) <= 2 * 160 // 8 and sum(sizes) == len(stamps) and starts == sorted(set(starts))
+
+
 def test_hot_key_with_one_timestamp(spark):
     df = spark.createDataFrame([("k", datetime(2024, 1, 1), i) for i in range(50)], "k STRING, at TIMESTAMP_NTZ, id INT")
     got = ordered.with_previous(df, ["k"], ["at", "id"], {"p": "id"}, hot_rows=5)
