@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
+
 CHUNK, OVERLAP, CACHED, SHORT = 1 << 16, 1 << 10, 400_000, 256
 _NEVER = 1 << 40
 
@@ -270,6 +272,7 @@ _OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 def encode_digests(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
     """Number of ids and digests of ids and decoded bytes of every row of ``docs`` (columns doc_id, text)."""
+    small_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_long = F.coalesce(F.length("text") > CHUNK, F.lit(False))

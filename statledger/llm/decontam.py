@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
 from .words import NO_WORD, hashes, slices
 
 PASSAGE, WINDOW, STOP, ENERGY, RANK = 64, 32, 0.1, 0.95, 64
@@ -261,6 +262,7 @@ def _clean(index, place: int):
 def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
     """What an ``Index`` is made of, for each block of the benchmark."""
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_CHARS)

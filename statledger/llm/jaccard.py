@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import folder, stored
+from .shared import folder, small_batches, stored
 from .words import hashes, shingles, slices
 
 WORDS, PERCENT = 5, 80
@@ -269,6 +269,7 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
 def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (columns doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     where = folder(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = spark.sparkContext.broadcast(rarity(docs, size))

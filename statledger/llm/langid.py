@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
 from .words import slices
 
 LEARN_ROWS, LEARN_SEGMENTS, LEARN_BYTES = 3000, 3, 48
@@ -220,6 +221,7 @@ def _has_letter():
 
 def fit(docs: DataFrame) -> tuple[list[str], bytes] | None:
     """Languages and weights, learned in one task from the bounded sample."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN_ROWS)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
 from .words import hashes, mix, slices
 
 LEARN_ROWS, SIZE, EPOCHS, RATE, CUT = 3000, 8, 12, 8.0, 0.7
@@ -155,6 +156,7 @@ def held_out(doc_id="doc_id"):
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
     """Weights a bucket and bias, learned in one task from the bounded sample."""
+    small_batches(docs.sparkSession)
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     sample = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(
         F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN_ROWS)

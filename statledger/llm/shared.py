@@ -32,5 +32,19 @@ def stored(df: DataFrame, name: str, where: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session hold at most ``ROWS_PER_BATCH`` rows, as one row may hold a long text.
+
+    A batch exists several times over in the executor and its Python worker; Spark's usual 10,000 rows of text take
+    hundreds of MB there. A smaller number that the session has set stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_PER_BATCH:
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

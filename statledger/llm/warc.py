@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import folder, stored
+from .shared import folder, small_batches, stored
 
 ARCHIVE, LEAST, PIECE, SALTS = 32 << 20, 1000, 1 << 16, 16
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -232,5 +232,6 @@ def read_archives(manifest: DataFrame, where: str) -> DataFrame:
 
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """Write the pages into archives in the shared folder and read them back."""
+    small_batches(pages.sparkSession)
     where = f"{folder(pages.sparkSession)}/archives"
     return read_archives(write_archives(pages, where, least), where)
