@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from .shared import folder, small_batches, stored
 
 ARCHIVE, LEAST, PIECE, SALTS = 32 << 20, 1000, 1 << 16, 16
+READERS = 10_000  # tasks that read at most; more archives share them
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _OUT = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -227,7 +228,9 @@ def write_archives(pages: DataFrame, where: str, least: int = LEAST) -> DataFram
 
 def read_archives(manifest: DataFrame, where: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of every record of the archives."""
-    return manifest.select("archive", "n").repartition(F.col("archive")).mapInArrow(_reading(where), _OUT)
+    # the number is given, as the few bytes of the manifest would else be merged into one task
+    readers = max(min(manifest.count(), READERS), 1)
+    return manifest.select("archive", "n").repartition(readers, "archive").mapInArrow(_reading(where), _OUT)
 
 
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
