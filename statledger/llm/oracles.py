@@ -12,7 +12,7 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 NEAREST = """
 WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
-u AS (SELECT * FROM v WHERE len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+u AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM u q JOIN u c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
@@ -23,7 +23,7 @@ WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(t
 c AS (SELECT conv_id, count(*) AS n, list({'role': role, 'text': text} ORDER BY turn NULLS LAST, role, text) AS l FROM t GROUP BY conv_id),
 u AS (SELECT min(conv_id) AS conv_id, n, l, count(*) AS n_copies FROM c GROUP BY n, l),
 k AS (SELECT * FROM u a WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.n > a.n AND b.l[1] = a.l[1] AND list_slice(b.l, 1, a.n) = a.l))
-SELECT conv_id, n AS n_turns, n_copies, array_to_string(list_transform(l, x -> '<|im_start|>'
+SELECT conv_id, n AS n_turns, n_copies, array_to_string(list_transform(l, lambda x: '<|im_start|>'
   || replace(replace(x.role, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') || chr(10)
   || replace(replace(x.text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') || '<|im_end|>' || chr(10)), '') AS chat
 FROM k
@@ -32,7 +32,7 @@ FROM k
 
 def _terms(terms) -> str:
     found = ", ".join(f"'{t}'" for t in terms)
-    return (f"CAST(len(list_filter([{found}], t -> regexp_matches(lower(host || path), '(^|[^a-z0-9])' || t || '($|[^a-z0-9])'))) AS INTEGER)")
+    return (f"CAST(len(list_filter([{found}], lambda t: regexp_matches(lower(host || path), '(^|[^a-z0-9])' || t || '($|[^a-z0-9])'))) AS INTEGER)")
 
 
 def _rules(value: str) -> str:
