@@ -31,7 +31,7 @@ from .shared import small_batches
 from .words import NO_WORD, hashes, slices
 
 PASSAGE, WINDOW, STOP, ENERGY, RANK = 64, 32, 0.1, 0.95, 64
-COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER, WHOLE = 0.45, 3, 0.6, 0.4, 0.8, 0.75
+COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER, WHOLE = 0.25, 3, 0.6, 0.4, 0.8, 0.75
 BLOCK_CHARS = 400_000
 _HITS = "doc_id long, item_id long, cosine double, cover double, answer double"
 
