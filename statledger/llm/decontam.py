@@ -3,10 +3,10 @@
 Method. Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages are TF-IDF vectors over the benchmark's terms, with
 document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would keep
 less than ``LEAST_TERMS`` by it (such as one that a third of the documents hold): there all terms count, and ``WHOLE`` of them must be covered. A randomised SVD, whose
-products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight.
+products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight of every passage.
 Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage are candidates if their cosine
 is ``COSINE`` or more and the window's share of the passage is half of ``LIKELY`` or more, as a window may hold just half of a long passage. Around the window, the longest common subsequence with the passage is taken over the words that weigh something. A
-document is contaminated if it covers ``SURE`` of the passage, or ``LIKELY`` of it and ``ANSWER`` of its answer, which is its last quarter.
+document is contaminated if it covers ``SURE`` of the passage, or ``LIKELY`` of it and ``ANSWER`` of its answer, which is its last quarter, ``LEAST_TERMS`` at least.
 
 Words are runs of letters and digits (all bytes beyond ASCII count as letters), A-Z and Latin-1 capitals lower-cased.
 
@@ -118,10 +118,10 @@ def _product(basis):
     return run
 
 
-def latent_space(rows: DataFrame, size: int, square: float, limit: int, seed: int = 5) -> np.ndarray:
+def latent_space(rows: DataFrame, size: int, vectors: list[tuple[list[int], list[float]]], limit: int, seed: int = 5) -> np.ndarray:
     """Right singular vectors (terms x rank) of the passages ``rows`` (terms, weights), by a randomised range finder.
 
-    ``square`` is the squared weight of all passages, ``limit`` the largest possible rank.
+    ``vectors`` are the same passages, to see what the space holds of each; ``limit`` is the largest possible rank.
     """
     context = rows.sparkSession.sparkContext
 
@@ -137,9 +137,10 @@ def latent_space(rows: DataFrame, size: int, square: float, limit: int, seed: in
         for _ in range(2):
             basis, _ = np.linalg.qr(product(basis))
         energy, turn = np.linalg.eigh(basis.T @ product(basis))
-        energy, turn = energy[::-1][:rank], turn[:, ::-1][:, :rank]
-        if rank == limit or energy.sum() >= ENERGY * square:
-            return basis @ turn
+        space = basis @ turn[:, np.argsort(-energy)[:rank]]
+        held = (((np.array(w) @ space[t]) ** 2).sum() >= ENERGY * (np.array(w) ** 2).sum() for t, w in vectors)
+        if rank == limit or all(held):
+            return space
         rank *= 2
 
 
@@ -225,7 +226,7 @@ class Index:
         cover = common(passage, region) / len(passage)
         if cover < (WHOLE if self.whole[p] else LIKELY):
             return None
-        last = passage[-max(len(passage) // 4, 1) :]
+        last = passage[-max(len(passage) // 4, LEAST_TERMS) :]
         answer = common(last, region) / len(last)
         return (cosine, cover, answer) if cover >= SURE or answer >= ANSWER else None
 
@@ -274,7 +275,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         vocabulary = np.unique(np.concatenate([w for _, w in found]))
         often, documents = frequencies(docs, vocabulary)
         rare, idf = often <= STOP * documents, np.maximum(np.log((documents + 1) / (often + 1)), 0.05)
-        terms, rows, square = Terms(vocabulary), [], 0.0
+        terms, rows = Terms(vocabulary), []
         own = [np.unique(terms.find(w)[1]) for _, w in found]
         whole = [bool(rare[t].sum() < LEAST_TERMS) for t in own]
         weights = np.where(rare, idf, 0.0)
@@ -284,10 +285,9 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         for _, words in found:
             term, count = np.unique(terms.find(words)[1], return_counts=True)
             weight = count * weights[term]
-            square += float(weight @ weight)
             rows.append((term.tolist(), weight.tolist()))
         frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)
-        space = latent_space(frame, len(vocabulary), square, min(len(found), len(vocabulary)))
+        space = latent_space(frame, len(vocabulary), rows, min(len(found), len(vocabulary)))
         yield found, vocabulary, weights, rare, whole, space
 
 

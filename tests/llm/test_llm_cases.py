@@ -253,8 +253,9 @@ def test_common_subsequences():
 def test_latent_space_equals_svd(spark):
     rng = np.random.default_rng(6)
     matrix = rng.normal(size=(30, 12)) @ rng.normal(size=(12, 50))
-    frame = spark.createDataFrame([(list(range(50)), [float(x) for x in row]) for row in matrix], "terms array<int>, weights array<double>").repartition(3)
-    space = decontam.latent_space(frame, 50, float((matrix**2).sum()), 30)
+    vectors = [(list(range(50)), [float(x) for x in row]) for row in matrix]
+    frame = spark.createDataFrame(vectors, "terms array<int>, weights array<double>").repartition(3)
+    space = decontam.latent_space(frame, 50, vectors, 30)
     assert np.allclose(matrix @ space @ space.T, matrix, atol=1e-6)
 
 
