@@ -1,12 +1,15 @@
 """Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answers.
 
 Method. Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages are TF-IDF vectors over the benchmark's terms, with
-document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would keep
-less than ``LEAST_TERMS`` by it (such as one that a third of the documents hold): there all terms count, and ``WHOLE`` of them must be covered. A randomised SVD, whose
+document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would lose
+half of their words by it (such as one that a third of the documents hold): there all terms count, and ``WHOLE`` of them must be covered. A randomised SVD, whose
 products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight of every passage.
 Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage are candidates if their cosine
-is ``COSINE`` or more and the window's share of the passage is half of ``LIKELY`` or more, as a window may hold just half of a long passage. Around the window, the longest common subsequence with the passage is taken over the words that weigh something. A
+is ``COSINE`` or more and the window's share of the passage is half of ``LIKELY`` or more, as a window may hold just half of a long passage.
+Passages shorter than a window, whose cosine the words beside them decide, and such that the space does not hold have their candidates by overlap:
+every place where so many of their words that weigh something stand near each other as a hit needs. Around the window, the longest common subsequence with the passage is taken over the words that weigh something. A
 document is contaminated if it covers ``SURE`` of the passage, or ``LIKELY`` of it and ``ANSWER`` of its answer, which is its last quarter, ``LEAST_TERMS`` at least.
+No hit has fewer than ``LEAST_TERMS`` words in common, or all words of a passage with fewer: an item of one or two words is held by each document that has them in order.
 
 Words are runs of letters and digits (all bytes beyond ASCII count as letters), A-Z and Latin-1 capitals lower-cased.
 
@@ -33,6 +36,7 @@ from .words import NO_WORD, hashes, slices
 PASSAGE, WINDOW, STOP, ENERGY, RANK = 64, 32, 0.1, 0.95, 64
 COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER, WHOLE = 0.25, 3, 0.6, 0.4, 0.8, 0.75
 BLOCK_CHARS = 400_000
+PAIRS = 1 << 21  # pairs of windows or words with passages that are looked at together
 _HITS = "doc_id long, item_id long, cosine double, cover double, answer double"
 
 
@@ -177,6 +181,13 @@ class Index:
         self.member = np.zeros((len(own), len(vocabulary)), bool)
         for p, t in enumerate(self.telling):
             self.member[p, t] = True
+        many = np.array([len(t) for t in self.telling])
+        #: Words of each passage that a hit has in common with it at least.
+        self.least = np.maximum(np.ceil(LIKELY * many - 1e-9).astype(np.int64), np.minimum(LEAST_TERMS, many))
+        self.reach = np.array([len(w) for w in self.words])
+        full = np.array([np.sqrt(((n * weights[t]) ** 2).sum()) for t, n in (np.unique(t, return_counts=True) for t in own)])
+        #: Passages that are looked for by overlap.
+        self.overlapping = np.flatnonzero((self.reach < WINDOW) | (self.size**2 < ENERGY * full**2))
 
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
         """Row, passage, cosine, cover and answer's cover of every hit in a slice of documents."""
@@ -193,23 +204,21 @@ class Index:
         block = begin[row] + (at - first[row]) // half
         used, start = np.unique(block, return_index=True)
         sums = np.add.reduceat(self.loadings[term], start, axis=0)
-        counts = np.diff(np.append(start, len(block)))
         # a window is a block with the next one of its row
         owner = np.searchsorted(begin, used, "right") - 1
         paired = np.flatnonzero((used[1:] == used[:-1] + 1) & (owner[1:] == owner[:-1]))
-        counts_w, sums_w = counts.copy(), sums.copy()
-        counts_w[paired] += counts[paired + 1]
+        sums_w = sums.copy()
         sums_w[paired] += sums[paired + 1]
-        dense = np.flatnonzero(counts_w >= LEAST_TERMS)
-        if not len(dense):
-            return
-        length = np.maximum(np.linalg.norm(sums_w[dense], axis=1, keepdims=True), 1e-12)
-        dots = sums_w[dense] @ self.latent
-        window, passage = np.nonzero((dots >= COSINE * length) & (dots >= LIKELY / 2 * self.size))
+        length = np.maximum(np.linalg.norm(sums_w, axis=1), 1e-12)
+        window, passage = self._candidates(sums_w, length)
+        near_p, near_at = self._near(at, term, row)
+        window, passage = np.append(window, np.searchsorted(used, block[near_at])), np.append(passage, near_p)
+        window, passage = np.divmod(np.unique(window * len(self.items) + passage), len(self.items))
+        cosines = (sums_w[window] * self.latent.T[passage]).sum(1) / length[window]
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for w, p, cosine in zip(window.tolist(), passage.tolist(), (dots / length)[window, passage].tolist(), strict=True):
-            r = int(owner[dense[w]])
-            start, reach = int(first[r]) + int(used[dense[w]] - begin[r]) * half, len(self.words[p])
+        for w, p, cosine in zip(window.tolist(), passage.tolist(), cosines.tolist(), strict=True):
+            r = int(owner[w])
+            start, reach = int(first[r]) + int(used[w] - begin[r]) * half, len(self.words[p])
             a, b = np.searchsorted(at, (max(start - reach, first[r]), min(start + WINDOW + reach, first[r + 1])))
             hit = self._checked(cosine, term[a:b], p)
             if hit and (r, p) not in best or hit and hit[1:] > best[r, p][1:]:
@@ -217,14 +226,58 @@ class Index:
         for (r, p), hit in best.items():
             yield r, p, *hit
 
+    def _candidates(self, sums: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and passages with the cosine and share that candidates have, so many windows at a time that memory stays bounded."""
+        step, found = max(1, PAIRS // len(self.items)), []
+        for i in range(0, len(sums), step):
+            dots = sums[i : i + step] @ self.latent
+            window, passage = np.nonzero((dots >= COSINE * length[i : i + step, None]) & (dots >= LIKELY / 2 * self.size))
+            found.append((window + i, passage))
+        return np.concatenate([w for w, _ in found]), np.concatenate([p for _, p in found])
+
+    def _near(self, at: np.ndarray, term: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Passages looked for by overlap and places in ``at`` from which as many of their words as a hit needs stand near each other."""
+        by_term, size = np.argsort(term, kind="stable"), len(self.weights)
+        times = np.bincount(term, minlength=size)
+        begin = np.cumsum(times) - times
+        chosen, held, found = [], 0, [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+        def look():
+            p = np.repeat([p for p, _ in chosen], [len(t) for _, t in chosen])
+            t = np.concatenate([t for _, t in chosen])
+            many = times[t]
+            place = by_term[np.repeat(begin[t] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+            p, place = np.divmod(np.sort(np.repeat(p, many) * len(at) + place), len(at))
+            last = np.arange(len(p)) + self.least[p] - 1
+            inside = np.flatnonzero(last < len(p))
+            last = last[inside]
+            a, b = place[inside], place[last]
+            fits = (p[inside] == p[last]) & (row[a] == row[b]) & (at[b] - at[a] < 2 * self.reach[p[inside]] + WINDOW)
+            found.append((p[inside][fits], a[fits]))
+
+        for p in self.overlapping.tolist():
+            t = np.flatnonzero(self.member[p])
+            pairs = int(times[t].sum())
+            if not len(t) or pairs < self.least[p]:
+                continue
+            if chosen and held + pairs > PAIRS:
+                look()
+                chosen, held = [], 0
+            chosen.append((p, t))
+            held += pairs
+        if chosen:
+            look()
+        return np.concatenate([p for p, _ in found]), np.concatenate([a for _, a in found])
+
     def _checked(self, cosine: float, region: np.ndarray, p: int) -> tuple[float, float, float] | None:
         """Cosine, cover and answer's cover of a region's terms that passes."""
         passage = self.telling[p]
         region = region[self.member[p][region]]
-        if len(region) < LIKELY * len(passage) or not len(passage):
+        if len(region) < self.least[p] or not len(passage):
             return None
-        cover = common(passage, region) / len(passage)
-        if cover < (WHOLE if self.whole[p] else LIKELY):
+        held = common(passage, region)
+        cover = held / len(passage)
+        if held < self.least[p] or cover < (WHOLE if self.whole[p] else LIKELY):
             return None
         last = passage[-max(len(passage) // 4, LEAST_TERMS) :]
         answer = common(last, region) / len(last)
@@ -277,7 +330,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         rare, idf = often <= STOP * documents, np.maximum(np.log((documents + 1) / (often + 1)), 0.05)
         terms, rows = Terms(vocabulary), []
         own = [np.unique(terms.find(w)[1]) for _, w in found]
-        whole = [bool(rare[t].sum() < LEAST_TERMS) for t in own]
+        whole = [bool(2 * rare[t].sum() <= len(t)) for t in (terms.find(w)[1] for _, w in found)]
         weights = np.where(rare, idf, 0.0)
         for term, all_count in zip(own, whole, strict=True):
             if all_count:

@@ -295,6 +295,26 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(8)}
 
 
+def test_copies_of_sparse_and_short_passages(spark):
+    """Four words that tell something among 64, two at most in any window; items of one and two words among plain and heavy words."""
+    random.seed(21)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    common = [word() for _ in range(40)]
+    plain = lambda n: [random.choice(common) for _ in range(n)]
+    sparse, other = plain(64), [word() for _ in range(60)]
+    for at in (5, 25, 45, 60):
+        sparse[at] = word()
+    items = [(1, sparse), (2, [word()]), (3, [word(), word()]), (4, other)]
+    docs = [(1000 + i, plain(200)) for i in range(300)]
+    docs += [(200 + i, plain(100 + i) + sparse + plain(100)) for i in range(16)]
+    docs += [(400 + i, plain(50 + i) + item + plain(50)) for i, (_, item) in enumerate(items[1:3])]
+    docs += [(300 + i, plain(50 + i) + other[:14] + item + other[20:34] + plain(50)) for i, (_, item) in enumerate(items[1:3])]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], TEXTS)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame, bench).collect()}
+    assert {x for x in found if x[1] < 4} == {*((200 + i, 1) for i in range(16)), (300, 2), (301, 3), (400, 2), (401, 3)}
+
+
 # Jaccard join
 
 
