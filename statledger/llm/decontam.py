@@ -1,8 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answers.
 
 Method. Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages are TF-IDF vectors over the benchmark's terms, with
-document frequencies counted over all documents. Terms in more than ``STOP`` of the documents weigh nothing, except in passages that would lose
-half of their words by it (such as one that a third of the documents hold): there all terms count, and ``WHOLE`` of them must be covered. A randomised SVD, whose
+document frequencies counted over all documents. Terms in more than ``STOP`` of the documents, and in more than one, weigh nothing. If passages
+would lose half of their words by it (such as one that a third of the documents hold), frequencies are counted again over the documents that are not
+contaminated by those passages when all their words count; in passages that lose half even so, all terms count. A randomised SVD, whose
 products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight of every passage.
 Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage are candidates if their cosine
 is ``COSINE`` or more and the window's share of the passage is half of ``LIKELY`` or more, as a window may hold just half of a long passage.
@@ -17,7 +18,7 @@ Defined results. Null and empty texts of either table give nothing. A null item_
 text count once. Every row of the documents is judged, repeated ones and such without doc_id too. Ties of a document and item show the
 largest cover. Empty tables give no rows. Other columns are not looked at.
 
-At scale. Two passes over the texts without shuffling them. What is sent to executors is bounded: a benchmark of more than
+At scale. Two passes over the texts without shuffling them, four if the benchmark has such passages. What is sent to executors is bounded: a benchmark of more than
 ``BLOCK_CHARS`` code points is searched in several blocks, each with its own space.
 """
 
@@ -34,7 +35,7 @@ from .shared import small_batches
 from .words import NO_WORD, hashes, slices
 
 PASSAGE, WINDOW, STOP, ENERGY, RANK = 64, 32, 0.1, 0.95, 64
-COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER, WHOLE = 0.25, 3, 0.6, 0.4, 0.8, 0.75
+COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER = 0.25, 3, 0.6, 0.4, 0.8
 BLOCK_CHARS = 400_000
 PAIRS = 1 << 21  # pairs of windows or words with passages that are looked at together
 _HITS = "doc_id long, item_id long, cosine double, cover double, answer double"
@@ -175,7 +176,6 @@ class Index:
         latent = np.stack([self.loadings[t].sum(0) for t in own])
         self.size = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
         self.latent = (latent / self.size[:, None]).T.copy()
-        self.whole = whole
         #: The terms of each passage that its subsequences are taken over, and which terms those are.
         self.telling = [t if all_count else t[rare[t]] for t, all_count in zip(own, whole, strict=True)]
         self.member = np.zeros((len(own), len(vocabulary)), bool)
@@ -277,7 +277,7 @@ class Index:
             return None
         held = common(passage, region)
         cover = held / len(passage)
-        if held < self.least[p] or cover < (WHOLE if self.whole[p] else LIKELY):
+        if held < self.least[p] or cover < LIKELY:
             return None
         last = passage[-max(len(passage) // 4, LEAST_TERMS) :]
         answer = common(last, region) / len(last)
@@ -313,6 +313,17 @@ def _clean(index, place: int):
     return run
 
 
+def weighted(own: list[np.ndarray], often: np.ndarray, documents: int) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+    """Weight of each term, whether it is rare, and for each passage (its terms in order) whether all its terms count."""
+    rare, idf = often <= np.maximum(STOP * documents, 1), np.maximum(np.log((documents + 1) / (often + 1)), 0.05)
+    whole = [bool(2 * rare[t].sum() <= len(t)) for t in own]
+    weights = np.where(rare, idf, 0.0)
+    for term, all_count in zip(own, whole, strict=True):
+        if all_count:
+            weights[term] = idf[term]
+    return weights, rare, whole
+
+
 def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
     """What an ``Index`` is made of, for each block of the benchmark."""
     spark = docs.sparkSession
@@ -327,16 +338,16 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
             continue
         vocabulary = np.unique(np.concatenate([w for _, w in found]))
         often, documents = frequencies(docs, vocabulary)
-        rare, idf = often <= STOP * documents, np.maximum(np.log((documents + 1) / (often + 1)), 0.05)
-        terms, rows = Terms(vocabulary), []
-        own = [np.unique(terms.find(w)[1]) for _, w in found]
-        whole = [bool(2 * rare[t].sum() <= len(t)) for t in (terms.find(w)[1] for _, w in found)]
-        weights = np.where(rare, idf, 0.0)
-        for term, all_count in zip(own, whole, strict=True):
-            if all_count:
-                weights[term] = idf[term]
-        for _, words in found:
-            term, count = np.unique(terms.find(words)[1], return_counts=True)
+        own, rows = [Terms(vocabulary).find(w)[1] for _, w in found], []
+        weights, rare, whole = weighted(own, often, documents)
+        if any(whole):
+            hot = [f for f, all_count in zip(found, whole, strict=True) if all_count]
+            # a space that holds nothing: all are looked for by overlap
+            index = (hot, vocabulary, weights, rare, [True] * len(hot), np.zeros((len(vocabulary), 1)))
+            rest = docs.select("text").mapInArrow(_clean(spark.sparkContext.broadcast(index), 0), "text string")
+            weights, rare, whole = weighted(own, *frequencies(rest, vocabulary))
+        for words in own:
+            term, count = np.unique(words, return_counts=True)
             weight = count * weights[term]
             rows.append((term.tolist(), weight.tolist()))
         frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)

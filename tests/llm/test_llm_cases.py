@@ -295,6 +295,23 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(8)}
 
 
+@pytest.mark.parametrize("copies", ["whole", "likely"])
+@pytest.mark.parametrize("many", [1, 90])
+def test_paraphrases_of_a_hot_passage(spark, copies, many):
+    """The verdict on a paraphrase is the same whatever a third of the documents, or the only other one, hold."""
+    random.seed(22)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    item, fill = [word() for _ in range(32)], lambda n: [word() for _ in range(n)]
+    sure = [word() if i % 3 == 1 else w for i, w in enumerate(item)]
+    likely = [word() if i < 24 and i % 3 else w for i, w in enumerate(item)]
+    held = {"whole": item, "likely": likely}[copies]
+    docs = [(i, fill(30) + (held if i % 3 == 0 else []) + fill(30)) for i in range(many)]
+    docs += [(200, fill(40) + sure + fill(40)), (201, fill(40) + likely), (202, fill(40) + item[:8] + fill(40))]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], TEXTS)
+    found = decontam.contaminated(frame, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in found) == [*range(0, many, 3), 200, 201]
+
+
 def test_copies_of_sparse_and_short_passages(spark):
     """Four words that tell something among 64, two at most in any window; items of one and two words among plain and heavy words."""
     random.seed(21)
