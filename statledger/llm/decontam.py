@@ -4,7 +4,7 @@ Method. Benchmark items are cut into passages of at most ``PASSAGE`` words. Pass
 document frequencies counted over all documents. Terms in more than ``STOP`` of the documents, and in more than one, weigh nothing. If passages
 would lose half of their words by it (such as one that a third of the documents hold), frequencies are counted again over the documents that are not
 contaminated by those passages when all their words count; in passages that lose half even so, all terms count. A randomised SVD, whose
-products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight of every passage.
+products run over partitions of passages, gives the latent space: its rank doubles until it holds ``ENERGY`` of the squared weight of every passage, up to ``MOST``.
 Documents are cut into windows of ``WINDOW`` words, half overlapping, and folded in. A window and a passage are candidates if their cosine
 is ``COSINE`` or more and the window's share of the passage is half of ``LIKELY`` or more, as a window may hold just half of a long passage.
 Passages shorter than a window, whose cosine the words beside them decide, and such that the space does not hold have their candidates by overlap:
@@ -19,7 +19,8 @@ text count once. Every row of the documents is judged, repeated ones and such wi
 largest cover. Empty tables give no rows. Other columns are not looked at.
 
 At scale. Two passes over the texts without shuffling them, four if the benchmark has such passages. What is sent to executors is bounded: a benchmark of more than
-``BLOCK_CHARS`` code points is searched in several blocks, each with its own space.
+``BLOCK_CHARS`` code points, or whose passages times terms exceed ``CELLS``, is searched in several blocks, each with its own space. The
+driver gets one terms x rank matrix a product, summed on Spark.
 """
 
 from __future__ import annotations
@@ -34,9 +35,9 @@ from pyspark.sql import functions as F
 from .shared import small_batches
 from .words import NO_WORD, hashes, slices
 
-PASSAGE, WINDOW, STOP, ENERGY, RANK = 64, 32, 0.1, 0.95, 64
+PASSAGE, WINDOW, STOP, ENERGY, RANK, MOST = 64, 32, 0.1, 0.95, 64, 256
 COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER = 0.25, 3, 0.6, 0.4, 0.8
-BLOCK_CHARS = 400_000
+BLOCK_CHARS, CELLS, TERM_BLOCK = 400_000, 1 << 22, 1024
 PAIRS = 1 << 21  # pairs of windows or words with passages that are looked at together
 _HITS = "doc_id long, item_id long, cosine double, cover double, answer double"
 
@@ -109,7 +110,7 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, in
 
 
 def _product(basis):
-    """The sum over a partition's passages ``a`` of ``a (a' basis)``."""
+    """The sum over a partition's passages ``a`` of ``a (a' basis)``, in blocks of terms."""
 
     def run(batches):
         matrix = basis.value
@@ -118,24 +119,33 @@ def _product(basis):
             for term, weight in zip(batch.column(0), batch.column(1), strict=True):
                 term, weight = term.values.to_numpy(), weight.values.to_numpy()
                 total[term] += np.outer(weight, weight @ matrix[term])
-        yield pa.RecordBatch.from_pydict({"block": pa.array([total.tobytes()], pa.binary())})
+        for i in range(0, len(total), TERM_BLOCK):
+            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int64()), "sums": pa.array([total[i : i + TERM_BLOCK].tobytes()], pa.binary())})
 
     return run
 
 
+def _summed(rows: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(s.as_py(), np.float64) for s in rows["sums"])
+    return pa.table({"block": rows["block"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+
 def latent_space(rows: DataFrame, size: int, vectors: list[tuple[list[int], list[float]]], limit: int, seed: int = 5) -> np.ndarray:
     """Right singular vectors (terms x rank) of the passages ``rows`` (terms, weights), by a randomised range finder.
 
-    ``vectors`` are the same passages, to see what the space holds of each; ``limit`` is the largest possible rank.
+    ``vectors`` are the same passages, to see what the space holds of each; ``limit`` is the largest possible rank. What a space
+    of rank ``MOST`` doesn't hold is looked for by overlap.
     """
     context = rows.sparkSession.sparkContext
 
     def product(basis: np.ndarray) -> np.ndarray:
         sent = context.broadcast(basis)
-        blocks = rows.mapInArrow(_product(sent), "block binary").collect()
-        return sum(np.frombuffer(b["block"], np.float64).reshape(basis.shape) for b in blocks)
+        parts = rows.mapInArrow(_product(sent), "block long, sums binary")
+        blocks = sorted(parts.groupBy("block").applyInArrow(_summed, "block long, sums binary").collect())
+        sent.destroy()
+        return np.concatenate([np.frombuffer(b["sums"], np.float64) for b in blocks]).reshape(basis.shape)
 
-    rng, rank = np.random.default_rng(seed), RANK
+    rng, rank, limit = np.random.default_rng(seed), RANK, min(limit, MOST)
     while True:
         rank = min(rank, limit)
         basis = rng.standard_normal((size, min(rank + 8, size)))
@@ -324,6 +334,39 @@ def weighted(own: list[np.ndarray], often: np.ndarray, documents: int) -> tuple[
     return weights, rare, whole
 
 
+def parted(found: list[tuple[int | None, np.ndarray]]) -> Iterator[tuple[list[tuple[int | None, np.ndarray]], np.ndarray]]:
+    """Passages and their vocabulary, halved until a matrix of both has ``CELLS`` cells at most."""
+    if not found:
+        return
+    vocabulary = np.unique(np.concatenate([w for _, w in found]))
+    if len(found) * len(vocabulary) <= CELLS or len(found) == 1:
+        yield found, vocabulary
+        return
+    half = len(found) // 2
+    yield from parted(found[:half])
+    yield from parted(found[half:])
+
+
+def _index(docs: DataFrame, found: list[tuple[int | None, np.ndarray]], vocabulary: np.ndarray) -> tuple:
+    spark = docs.sparkSession
+    often, documents = frequencies(docs, vocabulary)
+    own, rows = [Terms(vocabulary).find(w)[1] for _, w in found], []
+    weights, rare, whole = weighted(own, often, documents)
+    if any(whole):
+        hot = [f for f, all_count in zip(found, whole, strict=True) if all_count]
+        # a space that holds nothing: all are looked for by overlap
+        index = (hot, vocabulary, weights, rare, [True] * len(hot), np.zeros((len(vocabulary), 1)))
+        rest = docs.select("text").mapInArrow(_clean(spark.sparkContext.broadcast(index), 0), "text string")
+        weights, rare, whole = weighted(own, *frequencies(rest, vocabulary))
+    for words in own:
+        term, count = np.unique(words, return_counts=True)
+        weight = count * weights[term]
+        rows.append((term.tolist(), weight.tolist()))
+    frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)
+    space = latent_space(frame, len(vocabulary), rows, min(len(found), len(vocabulary)))
+    return found, vocabulary, weights, rare, whole, space
+
+
 def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
     """What an ``Index`` is made of, for each block of the benchmark."""
     spark = docs.sparkSession
@@ -333,26 +376,8 @@ def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
     blocks = -(-size // BLOCK_CHARS)
     for block in range(blocks):
         chosen = items.where(F.expr(f"pmod(xxhash64(item_id, text), {blocks}) = {block}")).orderBy("item_id", "text")
-        found = passages([(r["item_id"], r["text"]) for r in chosen.collect()])
-        if not found:
-            continue
-        vocabulary = np.unique(np.concatenate([w for _, w in found]))
-        often, documents = frequencies(docs, vocabulary)
-        own, rows = [Terms(vocabulary).find(w)[1] for _, w in found], []
-        weights, rare, whole = weighted(own, often, documents)
-        if any(whole):
-            hot = [f for f, all_count in zip(found, whole, strict=True) if all_count]
-            # a space that holds nothing: all are looked for by overlap
-            index = (hot, vocabulary, weights, rare, [True] * len(hot), np.zeros((len(vocabulary), 1)))
-            rest = docs.select("text").mapInArrow(_clean(spark.sparkContext.broadcast(index), 0), "text string")
-            weights, rare, whole = weighted(own, *frequencies(rest, vocabulary))
-        for words in own:
-            term, count = np.unique(words, return_counts=True)
-            weight = count * weights[term]
-            rows.append((term.tolist(), weight.tolist()))
-        frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)
-        space = latent_space(frame, len(vocabulary), rows, min(len(found), len(vocabulary)))
-        yield found, vocabulary, weights, rare, whole, space
+        for found, vocabulary in parted(passages([(r["item_id"], r["text"]) for r in chosen.collect()])):
+            yield _index(docs, found, vocabulary)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

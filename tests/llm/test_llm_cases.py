@@ -295,6 +295,26 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(8)}
 
 
+def test_orthogonal_passages_keep_the_space_small(spark, monkeypatch):
+    """More orthogonal passages than the largest rank: the space stays bounded, and copies and paraphrases are found by overlap."""
+    random.seed(23)
+    monkeypatch.setattr(decontam, "RANK", 4)
+    monkeypatch.setattr(decontam, "MOST", 8, raising=False)
+    monkeypatch.setattr(decontam, "TERM_BLOCK", 100, raising=False)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    items = [(i, [word() for _ in range(40)]) for i in range(40)]
+    docs = [(i, [word() for _ in range(30)] + [word() if j % 3 == 1 else w for j, w in enumerate(item)]) for i, item in items]
+    docs += [(100 + i, [word() for _ in range(50)]) for i in range(60)]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], TEXTS)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    assert [index[-1].shape[1] for index in decontam.indexes(frame, bench)] == [8]
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame, bench).collect()} == {(i, i) for i in range(40)}
+    monkeypatch.setattr(decontam, "CELLS", 20_000, raising=False)
+    parts = list(decontam.indexes(frame, bench))
+    assert len(parts) == 2 and all(len(index[0]) * len(index[1]) <= 20_000 for index in parts)
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame, bench).collect()} == {(i, i) for i in range(40)}
+
+
 @pytest.mark.parametrize("copies", ["whole", "likely"])
 @pytest.mark.parametrize("many", [1, 90])
 def test_paraphrases_of_a_hot_passage(spark, copies, many):
