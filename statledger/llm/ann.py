@@ -16,7 +16,7 @@ with each (their ranks are those of the best score of each candidate). Vectors o
 no part. Fewer candidates than ``k`` give them all. An empty table gives no rows. Other columns are not looked at.
 
 At scale. A task holds one shard's tree and one block of queries. Every shard is asked by all queries, which is what a query set
-against all rows means; what a shard gives back is at most ``k`` rows a query.
+against all rows means; what a shard gives back is at most ``k`` ids a query.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ class Tree:
         self.square = (queries**2).sum(1)
         self.queries, self.own, self.k, self.factor = queries, own, k, factor
         self.padded = np.hstack([queries, np.zeros((n, 1))])
-        self.floor = np.full(n, -np.inf)  # score of the k-th best
+        self.floor = np.full(n, -np.inf)  # score of the k-th best id
         self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         self._visit(self.root, np.arange(n))
         return self.best
@@ -103,6 +103,11 @@ class Tree:
         query = np.concatenate([self.best[0][mine], query])
         ids = np.concatenate([self.best[1][mine], self.ids[row]])
         score = np.concatenate([self.best[2][mine], score])
+        order = np.lexsort((-score, ids, query))
+        query, ids, score = query[order], ids[order], score[order]
+        # an id takes one place, with its best score
+        once = np.append([True], (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])) if len(query) else np.zeros(0, bool)
+        query, ids, score = query[once], ids[once], score[once]
         order = np.lexsort((ids, -score, query))
         query, ids, score = query[order], ids[order], score[order]
         start = np.flatnonzero(np.append([True], query[1:] != query[:-1])) if len(query) else np.zeros(0, np.int64)
@@ -166,7 +171,7 @@ def nearest(rows: DataFrame, every: int = 20, k: int = K, factor: float = FACTOR
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     vectors = vectors.where(F.size("vector") == main["size"])
     shards = -(-main["n"] // shard)
-    # the hash takes the vector in, so that rows of one id don't meet in one shard
+    # the hash takes the vector in, so that the rows of a hot id are spread over the shards
     held = vectors.select((F.xxhash64("vec_id", "vector") % shards).alias("shard"), F.lit(False).alias("ask"), "vec_id", "vector")
     held = held.withColumn("shard", F.expr(f"pmod(shard, {shards})"))
     asked = vectors.where(F.col("vec_id") % every == 0).select(

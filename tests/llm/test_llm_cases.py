@@ -126,6 +126,24 @@ def test_exact_search_equals_brute_force(spark, monkeypatch, hot):
     assert [x[:3] for x in found] == [x[:3] for x in expected] and np.allclose([x[3] for x in found], [x[3] for x in expected])
 
 
+@pytest.mark.parametrize("shard", [4096, 40])
+def test_repeated_ids_with_other_vectors_take_one_place(spark, monkeypatch, shard):
+    monkeypatch.setattr(ann, "LEAF", 4)
+    rng = np.random.default_rng(24)
+    vectors = [(7 if i < 50 else i, [float(x) for x in rng.normal(size=5) + (4 if i < 50 else 0)]) for i in range(150)]
+    vectors += [(60, [float(x) for x in rng.normal(size=5)])]
+    best = {}
+    for q, x in vectors:
+        for c, y in vectors:
+            if q % 10 == 0 and c != q:
+                best[q, c] = max(best.get((q, c), -np.inf), float((np.array(x) * np.array(y)).sum()))
+    expected = []
+    for q in sorted({q for q, _ in best}):
+        expected += [(q, rank + 1, c) for rank, (_, c) in enumerate(sorted((-s, c) for (a, c), s in best.items() if a == q)[:5])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r)[:3] for r in ann.nearest(frame, every=10, k=5, shard=shard).collect()) == expected
+
+
 def test_relaxed_search_keeps_recall_on_the_sample(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     exact = {tuple(r)[:3:2] for r in ann.nearest(frame).collect()}
