@@ -1,12 +1,12 @@
 """The registered queries in SQL, where SQL can express them.
 
-Learned and latent operators (3, 6, 7), byte-pair merges (1) and learned spans (9) have none; their tests use brute force, the original
+Learned and latent operators (3, 6, 7), byte-pair merges (1), learned spans (9) and chains of licence matches (11) have none; their tests use brute force, the original
 library or held-out accuracy.
 """
 
 from __future__ import annotations
 
-from . import urls
+from . import codes, divergence, urls
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -72,8 +72,60 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, sha1(h) AS payload_diges
 """
 
 
+def _codes() -> str:
+    """Four rounds of assignments and means. Distances are whole numbers, exact as doubles."""
+    distance = "list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v)"
+    out = f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor({codes.UNITS} * x)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT CAST(ceil(max(len(v)) / {codes.PARTS}) AS BIGINT) AS w FROM e),
+p AS MATERIALIZED (SELECT r, part, list_slice(list_resize(v, w * {codes.PARTS}, 0), part * w + 1, part * w + w) AS v
+  FROM e, w, unnest(range({codes.PARTS})) u(part)),
+b0 AS MATERIALIZED (SELECT part, i, v FROM p JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS i FROM e) USING (r) WHERE i < {codes.ENTRIES}),"""
+    for k in range(codes.ROUNDS + 1):
+        out += f"""
+a{k} AS MATERIALIZED (SELECT r, part, p.v, min(({distance}, i)) AS best FROM p JOIN b{k} b USING (part) GROUP BY r, part, p.v),"""
+        if k < codes.ROUNDS:
+            out += f"""
+m{k} AS (SELECT part, best[2] AS i, x, floor(sum(v[x]) / count(*)) AS m FROM a{k}, unnest(range(1, len(v) + 1)) u(x) GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (SELECT part, i, coalesce(n.v, b.v) AS v
+  FROM b{k} b LEFT JOIN (SELECT part, i, list(m ORDER BY x) AS v FROM m{k} GROUP BY part, i) n USING (part, i)),"""
+    return out + f"""
+c AS (SELECT r, string_agg(lower(printf('%02x', best[2])), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a{codes.ROUNDS} GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY part, i)) AS h FROM b{codes.ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM e JOIN c USING (r), h
+"""
+
+
+CODES = _codes()
+
+
+def _rate(n: str, total: str) -> str:
+    return f"1 + (CAST({divergence.SCALE} AS HUGEINT) * ({n} + {divergence.SMOOTH})) // ({total} + {divergence.SMOOTH} * v)"
+
+
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.LEAST_DOCUMENTS}),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(DISTINCT term) AS v, sum(n) AS total FROM c GROUP BY lang),
+g AS (SELECT DISTINCT lang, source, coalesce(total, 0) AS total FROM d LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+f AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {_rate("coalesce(n, 0)", "g.total")} AS p
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT lang, term, {_rate("sum(n)", "any_value(l.total)").replace("* v", "* any_value(v)")} AS q FROM c JOIN l USING (lang) GROUP BY lang, term),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM f a JOIN f b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM f JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+s AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT * FROM s WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_nearest_vectors": NEAREST, "op4_maximal_chats": CHATS, "op5_url_verdicts": URLS, "op8_ngram_jaccard_join": JACCARD,
-        "op10_warc_round_trip": WARC,
+        "op10_warc_round_trip": WARC, "op12_vector_codes": CODES, "op13_source_divergence": DIVERGENCE,
     }

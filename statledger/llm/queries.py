@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, chat, decontam, jaccard, langid, pii, quality, urls, warc
+from . import ann, bpe, chat, codes, decontam, divergence, jaccard, langid, licenses, pii, quality, urls, warc
 from .shared import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -63,7 +63,22 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and spans of licence templates in every document."""
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every vector with finite components."""
+    return codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_nearest_vectors, op3_quality_scores, op4_maximal_chats, op5_url_verdicts, op6_languages, op7_benchmark_hits,
-        op8_ngram_jaccard_join, op9_personal_data, op10_warc_round_trip)}
+        op8_ngram_jaccard_join, op9_personal_data, op10_warc_round_trip, op11_license_scan, op12_vector_codes, op13_source_divergence)}

@@ -43,7 +43,7 @@ def test_query_matches_sql(spark, con, name):
 def test_registered():
     found = entry_point.queries()
     assert {*QUERIES, "pipeline"} <= set(found) and set(ORACLES) <= set(entry_point.oracle_sql())
-    assert [f"op{n}" for n in range(1, 11)] == [name.split("_")[0] for name in QUERIES]
+    assert [f"op{n}" for n in range(1, 14)] == [name.split("_")[0] for name in QUERIES]
 
 
 def test_bpe_equals_the_original_library(spark, documents, encoder):
