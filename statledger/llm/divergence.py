@@ -35,7 +35,7 @@ from .words import hashes, slices
 LEAST_DOCUMENTS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
 BITS, BITMAP = 64, 1 << 26  # bits of a digest, bits of the bitmap
 #: Words added up in a task, rows sent at once, terms that a task remembers to have sent, cells of a block of terms by sources.
-HELD, SENT, KNOWN, CELLS = 1 << 20, 1 << 15, 1 << 18, 1 << 18
+HELD, SENT, KNOWN, CELLS = 1 << 19, 1 << 15, 1 << 18, 1 << 15
 #: Every byte that is neither an ASCII letter nor beyond ASCII.
 _NO_TERM = np.ones(256, bool)
 _NO_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False

@@ -32,18 +32,20 @@ def stored(df: DataFrame, name: str, where: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-ROWS_PER_BATCH = 500
+ROWS_PER_BATCH, BYTES_PER_BATCH = 500, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches of this session hold at most ``ROWS_PER_BATCH`` rows, as one row may hold a long text.
+    """Let Arrow batches of this session hold at most ``ROWS_PER_BATCH`` rows and about ``BYTES_PER_BATCH``, as one row may hold a long text.
 
     A batch exists several times over in the executor and its Python worker; Spark's usual 10,000 rows of text take
-    hundreds of MB there. A smaller number that the session has set stays.
+    hundreds of MB there. Smaller numbers that the session has set stay; a single text beyond the bytes comes alone.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= ROWS_PER_BATCH:
-        spark.conf.set(name, str(ROWS_PER_BATCH))
+    for name, most in (("maxRecordsPerBatch", ROWS_PER_BATCH), ("maxBytesPerBatch", BYTES_PER_BATCH)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(name)
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

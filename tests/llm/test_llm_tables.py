@@ -144,3 +144,29 @@ def test_pipeline_stages(spark, encoder):
         assert (row["n_tokens"], row["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
     assert docs.count() == len(texts)
     assert pii.KINDS[-1] == "secret"
+
+
+def test_cosine_search_finds_what_every_subsequence_finds(spark, documents):
+    """Recall of the latent search against subsequences of every window, on the sample and on paraphrases of its items; and no search beside it."""
+    import random
+
+    import pyarrow as pa
+
+    from statledger.llm.words import slices
+
+    docs, bench = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "benchmark"))
+    (made,) = decontam.indexes(docs, bench)
+    cosine, every = decontam.Index(*made), decontam.Index(*made)
+    assert not len(cosine.outside)
+    every.outside, every.anchors = np.arange(len(every.items)), [np.unique(t) for t in every.own]
+    random.seed(4)
+    texts = [t or "" for _, t in documents]
+    other = " ".join(texts[:100]).split()
+    for item in bench.collect() * 4:
+        share, base = random.choice([0.5, 0.6, 0.7, 0.8, 0.9]), random.choice(texts).split()
+        said, at = [w if random.random() < share else random.choice(other) for w in item["text"].split()], random.randrange(len(base) + 1)
+        texts.append(" ".join(base[:at] + said + base[at:]))
+    found = []
+    for index in (cosine, every):
+        found.append({(row + r, p) for row, raw, offsets in slices(pa.array(texts, pa.large_string()), decontam.PIECE) for r, p, *_ in index.search(raw, offsets)})
+    assert len(found[1]) > 80 and found[0] <= found[1] and len(found[0]) >= 0.9 * len(found[1])
