@@ -1,18 +1,23 @@
 """URL filter with a weighted vocabulary: an Aho-Corasick automaton counts strict and soft terms.
 
 Method. One automaton holds all terms. An occurrence counts where the characters beside it are no ASCII letters or digits
-(or the text ends there). One strict term, or ``SOFT_LIMIT`` distinct soft terms, rejects the url. Host and path are
-looked at, A-Z lower-cased. Before that, rules decide: the longest one whose host is the url's host or a parent domain
-of it and whose path begins the url's path.
+(or the text ends there). Each term has a weight: ``REJECT`` for strict ones, ``REJECT / SOFT_LIMIT`` for soft ones. A url whose distinct terms weigh
+``REJECT`` together is rejected: by one strict term, or by ``SOFT_LIMIT`` soft ones. The whole url is looked at, its percent escapes decoded, in lower case,
+with or without ``://``. Before that, rules decide: the longest one whose host is the url's host or a parent domain of it and whose path
+begins the url's path.
 
-Defined results. A null url, or one without ``://``, has an empty host and path: no rule, allowed. User info and port stay part of
-the host as it is written. Repeated rows and null ids come back as they are. An empty table gives no rows. Other columns are not looked at.
+Defined results. A null url, or one without ``://``, has an empty host and path and no rule; a null one is allowed. Escapes that are no UTF-8 are
+read as U+FFFD, incomplete ones as they are. User info and port stay part of the host as it is written. Long urls are read in whole. Repeated rows and null ids come
+back as they are. An empty table gives no rows. Of a term given twice the larger weight counts. Other columns are not looked at.
 
-At scale. A projection without any shuffle; rules and terms are parameters.
+At scale. A projection without any shuffle. Rules are parameters; the vocabulary is one too, or a table of at most ``MOST_TERMS`` terms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from urllib.parse import unquote
+
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,7 +29,8 @@ RULES = (
 )
 STRICT = ("adult", "casino", "porn", "sex", "viagra", "xxx")
 SOFT = ("bet", "bets", "cheap", "deal", "deals", "farm", "free", "lottery", "nude", "pills", "poker", "slots", "spam", "win")
-SOFT_LIMIT = 2
+SOFT_LIMIT, REJECT, MOST_TERMS = 2, 1.0, 1_000_000
+VOCABULARY = {t: REJECT / SOFT_LIMIT for t in SOFT} | {t: REJECT for t in STRICT}
 
 
 def host(url: Column) -> Column:
@@ -47,40 +53,50 @@ def rule_for(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return text, verdict
 
 
-def automaton(strict=STRICT, soft=SOFT):
+def automaton(vocabulary: Mapping[str, float] = VOCABULARY):
     found = ahocorasick.Automaton()
-    for term in soft:
-        found.add_word(term, (term, False))
-    for term in strict:
-        found.add_word(term, (term, True))
+    for term, weight in vocabulary.items():
+        found.add_word(term, (term, weight))
     found.make_automaton()
     return found
 
 
+def weighted(table: DataFrame) -> dict[str, float]:
+    """The vocabulary of a table with the columns term and weight; null and empty terms and null weights are left out."""
+    rows = table.where("length(term) > 0 and weight is not null").groupBy(F.lower("term").alias("term")).agg(
+        F.max(F.col("weight").cast("double")).alias("weight")).limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"the vocabulary has more than {MOST_TERMS} terms")
+    return {r["term"]: r["weight"] for r in rows}
+
+
 def _solid(char: str) -> bool:
     return char.isascii() and char.isalnum()
 
 
-def counts(found, text: str) -> tuple[int, int]:
-    """Distinct strict and soft terms that stand alone in a text."""
-    strict, soft = set(), set()
-    for end, (term, is_strict) in found.iter(text):
+def counts(found, text: str) -> tuple[int, int, float]:
+    """Distinct strict and other terms that stand alone in a text, and the weight of all of them."""
+    held: dict[str, float] = {}
+    for end, (term, weight) in found.iter(text) if len(found) else ():
         start = end - len(term) + 1
         if (start == 0 or not _solid(text[start - 1])) and (end + 1 == len(text) or not _solid(text[end + 1])):
-            (strict if is_strict else soft).add(term)
-    return len(strict), len(soft)
+            held[term] = weight
+    strict = sum(w >= REJECT for w in held.values())
+    return strict, len(held) - strict, sum(held.values())
 
 
-def judged(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
+def judged(pages: DataFrame, rules=RULES, vocabulary: Mapping[str, float] | DataFrame = VOCABULARY) -> DataFrame:
     """page_id, host, path, rule, verdict and the numbers of strict and soft terms of every row of ``pages``."""
+    terms_of = dict(vocabulary) if isinstance(vocabulary, Mapping) else weighted(vocabulary)
 
-    @F.pandas_udf("n_strict int, n_soft int")
+    @F.pandas_udf("n_strict int, n_soft int, weight double")
     def terms(texts: pd.Series) -> pd.DataFrame:
-        found = automaton(strict, soft)
-        return pd.DataFrame([counts(found, t) for t in texts], columns=["n_strict", "n_soft"])
+        found = automaton(terms_of)
+        return pd.DataFrame([counts(found, unquote(t).lower()) for t in texts], columns=["n_strict", "n_soft", "weight"])
 
-    urls = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    url = F.coalesce(F.col("url"), F.lit(""))
+    urls = pages.select("page_id", url.alias("url"), host(url).alias("host"), path(url).alias("path"))
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
-    seen = urls.select("*", rule.alias("rule"), says.alias("says"), terms(F.lower(F.concat("host", "path"))).alias("terms"))
-    method = F.when((F.col("terms.n_strict") > 0) | (F.col("terms.n_soft") >= soft_limit), "block").otherwise("allow")
+    seen = urls.select("*", rule.alias("rule"), says.alias("says"), terms("url").alias("terms"))
+    method = F.when(F.col("terms.weight") >= REJECT - 1e-9, "block").otherwise("allow")
     return seen.select("page_id", "host", "path", "rule", F.coalesce("says", method).alias("verdict"), "terms.n_strict", "terms.n_soft")
