@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import folder, small_batches, stored
+from .shared import folder, joined_by_key, small_batches, stored, tidied
 from .words import hashes, shingles, slices
 
 WORDS, PERCENT = 5, 80
 BUCKETS, PARTS, UNIT = 1 << 20, 16, 512
 BITS = 1_048_573
-SENT = 500_000  # ids that are sent to all executors at most; more are joined by a shuffle
+HOT, STEP = 64, 1.05  # holders beyond which a token's rows are dealt by size; step of the classes of sizes
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -69,7 +69,7 @@ def _counting(size: int):
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array(range(PARTS), pa.int32()), "counts": pa.array(blocks, pa.binary())})
 
-    return run
+    return tidied(run)
 
 
 def _summing(batches):
@@ -119,7 +119,7 @@ def _summaries(size: int, percent: int, order):
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                 names=["doc_id", "n", "digest", "prefix"])
 
-    return run
+    return tidied(run)
 
 
 def _whole_sets(size: int, order, wanted):
@@ -136,7 +136,7 @@ def _whole_sets(size: int, order, wanted):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[rows], pa.int64()), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
-    return run
+    return tidied(run)
 
 
 class Trie:
@@ -235,7 +235,7 @@ def _walking(percent: int):
         yield pa.RecordBatch.from_pydict({
             "a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
-    return run
+    return tidied(run)
 
 
 def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int, order, where: str) -> DataFrame:
@@ -266,6 +266,26 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def met(mixed: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``mixed`` (token, node, n, pos, colour, main, holders) with those of another colour than ``main`` that hold the same token.
+
+    A token of more than ``HOT`` holders brings only rows together whose sizes can go with each other and that hold it early enough for that: sizes are
+    classed in steps of ``STEP``, and a row goes to each class that it may have links in, if its position leaves room for the overlap needed
+    with the smallest size of that class. So documents that share one long passage, and too little beside it, don't meet at all.
+    """
+    least = f"greatest(floor(power({STEP}D, j)), ceil({percent} * n / 100))"
+    last = f"n - ceil({percent} * (n + {least}) / {100 + percent})"
+    reach = int(np.log(100 / percent) / np.log(STEP)) + 1
+    size = f"cast(floor(ln(n) / ln({STEP}D)) as int)"
+    classes = f"filter(sequence({size} - {reach}, {size} + {reach}), j -> pos <= {last})"
+    dealt = mixed.withColumn("own", F.expr(f"if(holders <= {HOT}, 0, {size})")).withColumn(
+        "other", F.explode(F.expr(f"if(holders <= {HOT}, array(0), {classes})")))
+    fewer = dealt.where("colour <> main").select(
+        "token", F.col("own").alias("other"), F.col("other").alias("own"), F.col("node").alias("node2"), F.col("n").alias("m"),
+        F.col("pos").alias("pos2"), F.col("colour").alias("colour2"))
+    return dealt.join(fewer, ["token", "own", "other"])
+
+
 def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (columns doc_id, text)."""
     spark = docs.sparkSession
@@ -278,8 +298,9 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     summaries = stored(summaries, "sets", where)
 
     named = summaries.where("doc_id is not null and n > 0")
-    nodes = named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    whole = stored(nodes.select("node", "n", "prefix"), "nodes", where)
+    nodes = stored(named.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("rows")), "nodes", where)
+    whole = nodes.select("node", "n", "prefix")
     postings = whole.select(
         F.posexplode("prefix").alias("pos", "token"), "node", "n")
     often = postings.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1").select("token")
@@ -303,12 +324,10 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     coloured = stored(shared.join(known, "node", "left").select(
         "token", "node", "n", "pos", F.coalesce("component", "node").alias("colour")), "coloured", where)
     main = coloured.groupBy("token", "colour").count().groupBy("token").agg(
-        F.max(F.struct("count", "colour")).alias("top"), F.count("*").alias("colours")).where("colours > 1").select(
-        "token", F.col("top.colour").alias("main"))
-    mixed = coloured.join(main, "token")
-    fewer = mixed.where("colour <> main").select(
-        "token", F.col("node").alias("node2"), F.col("n").alias("m"), F.col("pos").alias("pos2"), F.col("colour").alias("colour2"))
-    rest = mixed.join(fewer, "token").where("colour <> colour2 and (colour = main or node < node2)").where(alike).where(early).select(
+        F.max(F.struct("count", "colour")).alias("top"), F.count("*").alias("colours"), F.sum("count").alias("holders")).where("colours > 1").select(
+        "token", F.col("top.colour").alias("main"), "holders")
+    rest = met(coloured.join(main, "token"), percent).where(
+        "colour <> colour2 and (colour = main or node < node2)").where(alike).where(early).select(
         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     ones = whole.select(F.col("node").alias("a"), "n", F.col("prefix").alias("prefix2"))
     others = whole.select(F.col("node").alias("b"), F.col("n").alias("m"), "prefix")
@@ -316,7 +335,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
         enough).select("a", "b").distinct()
     more = _linked(docs, stored(rest, "rest", where), size, percent, order, f"{where}/second")
 
-    copies = named.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").where(
+    copies = joined_by_key(named.select("digest", "doc_id"), nodes.select("digest", "node", "rows"), "digest").where(
         "doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     groups = components(links.union(more).union(copies))
     return summaries.join(groups, summaries["doc_id"] == groups["node"], "left").select(
@@ -326,19 +345,19 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
 def one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, of one document of each component: the one with the smallest doc_id.
 
-    Rows without doc_id stay. Of several rows with one doc_id the one with the smallest text stays, if any of them has a set.
+    Rows without doc_id or without words stay. Rows that share a doc_id are told apart by their texts, so each is judged by its own; of rows with
+    the same doc_id and text one stays, the smallest by all columns, which must be of types that have an order.
     """
-    found = stored(jaccard_components(docs, size, percent).where("doc_id is not null and n_shingles > 0"), "components", folder(docs.sparkSession))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-
-    def sent(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= SENT else ids
-
-    kept = docs.join(sent(gone), "doc_id", "left_anti").select(docs.columns)
-    if again.isEmpty():
-        return kept
-    place = max(docs.columns, key=len) + "_"  # a name that none of them has
-    first = kept.join(sent(again), "doc_id", "left_semi").select(docs.columns).withColumn(
-        place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(place) == 1).select(docs.columns)
-    return kept.join(sent(again), "doc_id", "left_anti").select(docs.columns).union(first)
+    key = max([*docs.columns, "key"], key=len) + "_"  # a name that none of them has
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"), size, percent).where("doc_id is not null and n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias(key)).agg(F.first("component_id").alias("component"), F.count("*").alias("rows"))
+    ids = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("id"))
+    found = stored(found.join(ids, key), "components", folder(docs.sparkSession))
+    first = found.groupBy("component").agg(F.min(F.struct("id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
+    gone = found.join(first, key, "left_anti").select(key)
+    again = found.join(first, key, "left_semi").where("rows > 1").select(key)
+    kept = keyed.join(gone, key, "left_anti")
+    once = kept.join(again, key, "left_anti").select(docs.columns)
+    same = kept.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return once.unionByName(same)

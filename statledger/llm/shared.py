@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: list[str] = []
 
@@ -48,5 +52,33 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same work on batches, which gives the memory it has freed back to the system: Python workers live on and serve later stages."""
+
+    def kept_small(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return kept_small
+
+
+MOST_HOT = 1000
+
+
+def joined_by_key(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Inner join of rows to a table with one row a key and ``rows``, the number of rows that hold it.
+
+    The ``MOST_HOT`` keys with the most rows are sent to all tasks, so the rows of a hot key stay where they are; the others are joined by a shuffle.
+    No other key holds more than one in ``MOST_HOT`` of the rows.
+    """
+    hot = table.orderBy(F.desc("rows"), key).limit(MOST_HOT).drop("rows")
+    return rows.join(F.broadcast(hot), key).unionByName(
+        rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.drop("rows"), key))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
