@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, tidied
 
 CHUNK, OVERLAP, CACHED, SHORT = 1 << 16, 1 << 10, 400_000, 256
 _NEVER = 1 << 40
@@ -196,7 +196,7 @@ def _whole(vocabulary, pattern: str):
                 [batch.column(0), *(pa.array([r[i] for r in rows], t) for i, t in ((0, pa.int64()), (1, pa.string()), (2, pa.string())))],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return run
+    return tidied(run)
 
 
 def _chop(batches):
@@ -219,7 +219,7 @@ def _pretokenise(pattern: str):
                      for last, text in zip(batch.column(3), batch.column(4), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], batch.column(4), pa.array(found, pa.binary())], names=["key", "doc_id", "k", "text", "ends"])
 
-    return run
+    return tidied(run)
 
 
 def _stitched(pattern: str):
@@ -248,7 +248,7 @@ def _pieces(vocabulary):
                 found.append(codec.encode(text[a:b] for a, b in zip([0, *ends], ends, strict=False)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())], names=["key", "doc_id", "k", "ids"])
 
-    return run
+    return tidied(run)
 
 
 def _digests(vocabulary):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, tidied
 from .words import NO_WORD, hashes, mix, slices
 
 PASSAGE, WINDOW, ENERGY, RANK, MOST = 64, 32, 0.95, 64, 256
@@ -103,7 +103,7 @@ def _neighbours(vocabulary):
         yield pa.RecordBatch.from_arrays(
             [pa.array(held, pa.int64()), *(pa.array(seen[held, i]) for i in range(REGISTERS))], names=["term", *(f"r{i}" for i in range(REGISTERS))])
 
-    return run
+    return tidied(run)
 
 
 def _counts(bits: np.ndarray) -> np.ndarray:
@@ -142,7 +142,7 @@ def _product(basis):
         for i in range(0, len(total), TERM_BLOCK):
             yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int64()), "sums": pa.array([total[i : i + TERM_BLOCK].tobytes()], pa.binary())})
 
-    return run
+    return tidied(run)
 
 
 def _summed(rows: pa.Table) -> pa.Table:
@@ -388,7 +388,7 @@ def _searching(indexes):
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), *[pa.float64()] * 3))],
                 names=["doc_id", "item_id", "cosine", "cover", "answer"])
 
-    return run
+    return tidied(run)
 
 
 def _clean(indexes, place: int):
@@ -404,7 +404,7 @@ def _clean(indexes, place: int):
                         kept[row + r] = False
             yield batch.filter(pa.array(kept))
 
-    return run
+    return tidied(run)
 
 
 def parted(found: list[tuple[int | None, np.ndarray]]) -> Iterator[tuple[list[tuple[int | None, np.ndarray]], np.ndarray]]:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import folder, small_batches, stored
+from .shared import folder, small_batches, stored, tidied
 from .words import hashes, slices
 
 LEAST_DOCUMENTS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
@@ -99,7 +99,7 @@ def _counting(bits: int):
         if held:
             yield from summed(groups, held)
 
-    return run
+    return tidied(run)
 
 
 def _naming(bitmap, bits: int):
@@ -120,7 +120,7 @@ def _naming(bitmap, bits: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(digest[keep]), pa.array([own[i].decode() for i in np.flatnonzero(keep)], pa.string())], names=["digest", "term"])
 
-    return run
+    return tidied(run)
 
 
 def _apart(texts: pa.Array) -> pa.Array:
@@ -145,7 +145,7 @@ def _recounting(bitmap, bits: int):
             types = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["lang", "source", "digest", "term", "n"])
 
-    return run
+    return tidied(run)
 
 
 def _place(digest: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ FROM k
 
 def _terms(terms) -> str:
     found = ", ".join(f"'{t}'" for t in terms)
-    return (f"CAST(len(list_filter([{found}], lambda t: regexp_matches(lower(host || path), '(^|[^a-z0-9])' || t || '($|[^a-z0-9])'))) AS INTEGER)")
+    return (f"CAST(len(list_filter([{found}], lambda t: regexp_matches(lower(url_decode(url)), '(^|[^a-z0-9])' || t || '($|[^a-z0-9])'))) AS INTEGER)")
 
 
 def _rules(value: str) -> str:
@@ -42,7 +42,7 @@ def _rules(value: str) -> str:
 
 
 URLS = f"""
-WITH p AS (SELECT page_id, {_LOWER.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} AS host,
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, {_LOWER.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} AS host,
   regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
 c AS (SELECT *, {_rules("rule")} AS rule, {_rules("verdict")} AS says, {_terms(urls.STRICT)} AS n_strict, {_terms(urls.SOFT)} AS n_soft FROM p)
 SELECT page_id, host, path, rule, coalesce(says, CASE WHEN n_strict > 0 OR n_soft >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import small_batches, tidied
 from .words import hashes, mix, slices
 
 LEARN_ROWS, SIZE, EPOCHS, RATE, CUT = 3000, 8, 12, 8.0, 0.7
@@ -135,7 +135,7 @@ def _scoring(model):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(_scores(batch.column(1), weights, model.value[1]))], names=["doc_id", "score"])
 
-    return run
+    return tidied(run)
 
 
 def _keeping(model, place: int, cut: float):
@@ -146,7 +146,7 @@ def _keeping(model, place: int, cut: float):
         for batch in batches:
             yield batch.filter(pa.array(_scores(batch.column(place), weights, model.value[1]) >= cut))
 
-    return run
+    return tidied(run)
 
 
 def held_out(doc_id="doc_id"):

@@ -213,11 +213,18 @@ def test_url_cases(spark):
         ("http://spam.net/spam", "spam.net", "/spam", None, "allow"), ("http://a.com/fr/casino", "a.com", "/fr/casino", "com/fr/", "allow"),
         ("http://acom/fr/", "acom", "/fr/", None, "allow"), ("no scheme", "", "", None, "allow"), (None, "", "", None, "allow"),
         ("://#x", "", "", None, "allow"), ("http://example.org/en/12", "example.org", "/en/12", "example.org/en/1", "block"),
-        ("a://b?c://casino/", "b", "", None, "allow"), ("http://é.com/de/?", "é.com", "/de/", "com/de/", "block"),
+        ("a://b?c://casino/", "b", "", None, "block"), ("www.casino.com/a", "", "", None, "block"), ("http://x.net/search?q=porn", "x.net", "/search", None, "block"),
+        ("http://x.net/go#xxx", "x.net", "/go", None, "block"), ("http://x.net/%63a%73ino/", "x.net", "/%63a%73ino/", None, "block"),
+        ("http://x.net/?a=free%20pills", "x.net", "/", None, "block"), ("http://x.net/%ff%zz%4", "x.net", "/%ff%zz%4", None, "allow"),
+        ("http://x.net/" + "a/" * 50_000 + "?bet&win", "x.net", "/" + "a/" * 50_000, None, "block"), ("http://é.com/de/?", "é.com", "/de/", "com/de/", "block"),
     ]
     frame = spark.createDataFrame([(i, g[0], "x") for i, g in enumerate(given)], "page_id long, url string, host string")
     found = {r["page_id"]: tuple(r)[1:5] for r in urls.judged(frame).collect()}
     assert found == {i: g[1:] for i, g in enumerate(given)}
+    own = spark.createDataFrame([("Q", 0.5), ("f", 0.6), ("f", 0.1), ("x", None), ("", 3.0), (None, 2.0)], "term string, weight double")
+    found = {r["page_id"]: (r["verdict"], r["n_soft"]) for r in urls.judged(frame, rules=(), vocabulary=own).collect()}
+    assert found[0] == ("block", 2) and {v for i, (v, _) in found.items() if i} == {"allow"}
+    assert all(v == ("allow", 0) for v in ((r["verdict"], r["n_soft"]) for r in urls.judged(frame, (), own.limit(0)).collect()))
     assert urls.judged(frame.limit(0)).count() == 0 and urls.judged(frame.union(frame)).count() == 2 * len(given)
 
 
@@ -420,6 +427,35 @@ def test_jaccard_cases(spark, monkeypatch):
     assert jaccard.jaccard_components(frame.limit(0)).count() == 0
 
 
+def test_documents_of_one_passage_do_not_meet(spark, monkeypatch):
+    """Documents of which 85 % are one shared passage are no links; the rows that are brought together grow no faster than the documents."""
+    monkeypatch.setattr(jaccard, "HOT", 8)
+    made, real = [], jaccard.met
+
+    def counted(mixed, percent):
+        made.append(real(mixed, percent).count())
+        return real(mixed, percent)
+
+    monkeypatch.setattr(jaccard, "met", counted)
+    passage = " ".join(f"p{i}" for i in range(214))
+    for many in (60, 120):
+        docs = [(i, passage + " " + " ".join(f"q{i}_{j}" for j in range(36))) for i in range(many)] 
+        rest = passage + " " + " ".join(f"r{i}" for i in range(300))
+        docs += [(1000, rest), (1001, rest + " end")]
+        found = jaccard.jaccard_components(spark.createDataFrame(docs, TEXTS)).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in found) == [*((i, i) for i in range(many)), (1000, 1000), (1001, 1000)]
+    assert made[1] <= 2.2 * made[0] + 50
+
+
+def test_one_of_each_keeps_other_texts_of_an_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abc"]
+    docs = [(1, texts[0], 5), (1, texts[1], 4), (1, texts[0] + " end", 3), (2, texts[1], 2), (3, texts[2], 9), (3, texts[2], 8), (4, "", 1), (4, "", 1), (None, texts[0], 0)]
+    kept = jaccard.one_of_each(spark.createDataFrame(docs, "doc_id long, text string, rows long")).collect()
+    first = [tuple(r) for r in kept if r["text"].startswith("a") and r["doc_id"]]
+    assert len(first) == 1 and first[0] in docs
+    assert sorted((tuple(r) for r in kept if tuple(r) not in first), key=str) == sorted([(1, texts[1], 4), (3, texts[2], 8), (4, "", 1), (4, "", 1), (None, texts[0], 0)], key=str)
+
+
 def test_trie_equals_counting():
     rng = np.random.default_rng(10)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(80)]
