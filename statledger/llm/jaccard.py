@@ -39,6 +39,7 @@ from .words import hashes, shingles, slices
 WORDS, PERCENT = 5, 80
 BUCKETS, PARTS, UNIT = 1 << 20, 16, 512
 BITS = 1_048_573
+SENT = 500_000  # ids that are sent to all executors at most; more are joined by a shuffle
 HOT, STEP = 64, 1.05  # holders beyond which a token's rows are dealt by size; step of the classes of sizes
 
 
@@ -342,22 +343,39 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _sent(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= SENT else ids
+
+
 def one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, of one document of each component: the one with the smallest doc_id.
 
     Rows without doc_id or without words stay. Rows that share a doc_id are told apart by their texts, so each is judged by its own; of rows with
     the same doc_id and text one stays, the smallest by all columns, which must be of types that have an order.
     """
-    key = max([*docs.columns, "key"], key=len) + "_"  # a name that none of them has
-    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    where, key = folder(docs.sparkSession), max([*docs.columns, "key"], key=len) + "_"  # a name that none of them has
+    digest = F.xxhash64("text")
+    apart = docs.where("doc_id is not null").select("doc_id", digest.alias("digest")).groupBy("doc_id").agg(
+        F.min("digest").alias(f"{key}low"), F.max("digest").alias(f"{key}high")).where(F.col(f"{key}low") != F.col(f"{key}high"))
+    apart = stored(apart.select("doc_id", f"{key}low"), "apart", where)
+    several = not apart.isEmpty()
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if several:  # an id's other texts have keys beyond all ids, so ids stay first in every order
+        beyond = F.xxhash64("doc_id", "text").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+        keyed = keyed.join(_sent(apart), "doc_id", "left").withColumn(
+            key, F.when(F.col(f"{key}low").isNull() | (F.col(f"{key}low") == digest), F.col(key)).otherwise(beyond)).select(*docs.columns, key)
     found = jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"), size, percent).where("doc_id is not null and n_shingles > 0")
-    found = found.groupBy(F.col("doc_id").alias(key)).agg(F.first("component_id").alias("component"), F.count("*").alias("rows"))
-    ids = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("id"))
-    found = stored(found.join(ids, key), "components", folder(docs.sparkSession))
-    first = found.groupBy("component").agg(F.min(F.struct("id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
-    gone = found.join(first, key, "left_anti").select(key)
-    again = found.join(first, key, "left_semi").where("rows > 1").select(key)
-    kept = keyed.join(gone, key, "left_anti")
-    once = kept.join(again, key, "left_anti").select(docs.columns)
-    same = kept.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    found = stored(found.select(F.col("doc_id").alias(key), "component_id"), "components", where)
+    gone = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
+    if several:  # the first of a component by the ids themselves
+        ids = keyed.where(F.col(key) >= 1 << 62).select(key, F.col("doc_id").cast("long").alias("id")).distinct()
+        named = found.distinct().join(ids, key, "left").withColumn("id", F.coalesce("id", key))
+        first = named.groupBy("component_id").agg(F.min(F.struct("id", key)).alias("first"))
+        gone = named.join(first.select(F.col(f"first.{key}").alias(key)), key, "left_anti").select(key)
+    again = found.groupBy(key).count().where("count > 1").select(key)
+    kept = keyed.join(_sent(gone), key, "left_anti")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    once = kept.join(_sent(again), key, "left_anti").select(docs.columns)
+    same = kept.join(_sent(again), key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.unionByName(same)
