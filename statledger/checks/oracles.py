@@ -321,6 +321,13 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         {_CARRIED}, max("DateOnly") AS "MostRecentDateOnly", "Hour" FROM ({_JOB_OUT}) GROUP BY {_JK}, "Hour" """, ["jobs"]),
     "routine_bounds": (
         f"SELECT \"DB_Name\", \"SP Name\", {_bound_columns(2)} FROM ({_bounds('runs', '\"DB_Name\", \"SP Name\"', 'a')}) b", ["runs"]),
+    "orders_if_any": (
+        """SELECT o_orderstatus AS kind, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_discount > 0.05
+        AND l_returnflag = 'R') GROUP BY 1 UNION ALL SELECT o_orderpriority, count(*) FROM orders
+        WHERE EXISTS (SELECT 1 FROM orders WHERE o_totalprice < 0) GROUP BY 1""", []),
+    "bounds_of_loads": (
+        f"""SELECT "DB_Name", "SP Name", {_bound_columns(2)} FROM ({_bounds('(SELECT * FROM runs WHERE "Date" >= '
+        "TIMESTAMP '1999-01-01 12:00:00' - INTERVAL 1600 DAY - INTERVAL 12 HOUR)", '"DB_Name", "SP Name"', 'a')}) b""", ["runs"]),
     "routine_outliers": (_routine_out(35), ["runs"]),
     "routine_outlier_summary": (
         f"""SELECT "DB_Name", "SP Name", count(*) AS "Counts", CAST(sum(avg_elapsed_time) // count(*) AS BIGINT) AS "AvgElapsedTime",

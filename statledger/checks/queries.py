@@ -11,7 +11,8 @@ from ..functions import timeparts as tp
 from ..operators import bounds, counters, joins, ordered, rollup, timewindow
 from ..operators.timewindow import PARTITION
 from ..plans import alerts, collect, parameters, reports, runner, worklists
-from ..sources import history, landed
+from ..sources import history, landed, moments
+from ..sources.scratch import scratch
 from . import replay
 from . import roles as r
 from .roles import EVENTS_AT, SALES_AT, Tables
@@ -674,7 +675,7 @@ LOADED, LATER, CUT = "2024-01-15 12:00:00", "2024-01-16 12:00:00", "2024-01-16 0
 
 def _stored_rows(t, *loads):
     """table_rows after loads of (as_of, frame), read back."""
-    root = replay.run_folder(t.spark, "rows")
+    root = scratch(t.spark, "rows")
     for as_of, frame in loads:
         history.append_snapshot(frame, root, "table_rows", as_of)
     return history.read_history(t.spark, root, "table_rows").drop(PARTITION)
@@ -697,7 +698,7 @@ def history_rerun_empty(t):
 @query
 def history_as_of(t):
     """Streamed events, and orders loaded before and after the time asked for, from one table."""
-    root = replay.run_folder(t.spark, "as_of")
+    root = scratch(t.spark, "as_of")
     replay.ingest_runs(t.spark, t.folder, root)
     orders = t.orders.select(
         F.lit("orders").alias("DB_Name"), F.col("o_orderpriority").alias("SP_Name"), F.col("o_orderkey").alias("last_elapsed_time"),
@@ -713,7 +714,7 @@ def history_as_of(t):
 @query
 def collect_errors(t):
     """Two runs of one time, each with a failing source: stored errors, and the rows that the others stored."""
-    root = replay.run_folder(t.spark, "errors")
+    root = scratch(t.spark, "errors")
 
     def fails():
         raise RuntimeError("source " + "is down " * 60)
@@ -752,11 +753,32 @@ def _poll(t, root, as_of, **more):
 
 
 def _alert_history(t):
-    root = replay.run_folder(t.spark, "alerts_run")
+    root = scratch(t.spark, "alerts_run")
     history.append_snapshot(r.user_history(t), root, "routine_exec", EVENTS_AT)
     return root
 
 
+@query
+def orders_if_any(t):
+    """Orders counted by status if any item was returned at a discount, and those by priority if any has a negative price: only the first condition holds."""
+    cheap = t.lineitem.filter("l_discount > 0.05 and l_returnflag = 'R'")
+    never = t.orders.filter("o_totalprice < 0")
+    by = lambda kind: t.orders.groupBy(F.col(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return joins.only_if(by("o_orderstatus"), cheap).unionByName(joins.only_if(by("o_orderpriority"), never))
+
+
+@query
+def bounds_of_loads(t):
+    """Bounds from the moments of three loads, one of them run again, after a part of the first has expired, with a load that has no moments."""
+    root, rows = scratch(t.spark, "moments"), r.routine_exec(t)
+    year = F.year("Date")
+    loads = {"1994-12-31 12:00:00": year <= 1994, "1996-12-31 12:00:00": year.between(1995, 1996), "1997-12-31 12:00:00": year == 1997}
+    for as_of, some in [*loads.items(), *loads.items()][:4]:
+        runner.run_collect(t.spark, root, {"routine_exec": lambda some=some: rows.filter(some)}, as_of, retention_days={})
+    history.append_snapshot(rows.filter((year > 1997) | year.isNull()), root, "routine_exec", "1998-12-31 12:00:00")
+    return plain(moments.stored_bounds(t.spark, root, "routine_exec", "1999-01-01 12:00:00", *runner.SUMMED["routine_exec"], days=1600.5), 2)
+
+
 @query
 def alert_run(t):
     """A whole alert run: runs taken, routines flagged against the stored history, alerts stored and read."""
@@ -779,7 +801,7 @@ def alert_run_again(t):
 @query
 def recent_runs_held(t):
     """Runs of a poll ten days ago, held for twenty days, with those of the last five days."""
-    root = replay.run_folder(t.spark, "held")
+    root = scratch(t.spark, "held")
     first = alerts.recent_runs(r.user_procedures(t), r.user_runs(t), "2024-01-21 00:00:00", exclusions=r.exclusions(t), days=12)
     history.append_snapshot(first, root, "recent_runs", "2024-01-21 00:00:00")
     return alerts.recent_runs(

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,28 +12,18 @@ from ..streaming.deltas import stream_deltas
 from ..streaming.ingest import ingest, open_landed
 from ..streaming.tables import read_batches
 from ..streaming.volumes import windowed_volume
-from ..sources.history import shared_folder
+from ..sources.scratch import scratch
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared folder; a local one only where none is set and all runs in one process."""
-    base = shared_folder(spark)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="statledger-")
-    return posixpath.join(base, "statledger", name, uuid.uuid4().hex)
-
-
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     stream = open_landed(spark, folder, StructType.fromDDL(EVENTS), names="events.parquet")
     return stream.withColumn("cents", F.floor(F.col("value") * 100).cast("bigint"))
 
 
 def volumes(spark: SparkSession, folder: str) -> DataFrame:
-    root = run_folder(spark, "volumes")
+    root = scratch(spark, "volumes")
     stream = windowed_volume(_events(spark, folder), ["event_type"], "ts", "cents")
     query = (
         stream.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
@@ -48,20 +34,21 @@ def volumes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def deltas(spark: SparkSession, folder: str) -> DataFrame:
-    """The events of each week are landed as a file of their own, so the increments run over several micro-batches."""
-    root = run_folder(spark, "deltas")
+    """The events of each week are landed by themselves, in as many files as their size asks for, so the increments run over several micro-batches."""
+    root = scratch(spark, "deltas")
     events = spark.read.parquet(f"{folder}/events.parquet")
     week = F.coalesce(F.floor(F.dayofmonth("ts") / 8), F.lit(0))
     for number in range(4):  # dayofmonth div 8; files are taken in the order they landed
-        events.filter(week == number).repartition(1).write.mode("append").parquet(f"{root}/landed")
-    landed = open_landed(spark, f"{root}/landed", StructType.fromDDL(EVENTS), files_per_batch=1)
+        events.filter(week == number).write.mode("append").parquet(f"{root}/landed")
+    files = len(spark.read.parquet(f"{root}/landed").inputFiles())
+    landed = open_landed(spark, f"{root}/landed", StructType.fromDDL(EVENTS), files_per_batch=max(1, -(-files // 4)))
     stream = landed.select("user_id", "ts", (F.col("event_id") * 13 % 5000).alias("counter"), "event_id")
     stream_deltas(stream, ["user_id"], "ts", ["counter", "event_id"], root=root, first="zero").awaitTermination()
     return read_batches(spark, f"{root}/deltas").select("user_id", "event_id", "counter_delta", "seconds", "late")
 
 
 def alerts(spark: SparkSession, folder: str) -> DataFrame:
-    root = run_folder(spark, "alerts")
+    root = scratch(spark, "alerts")
     events = spark.read.parquet(f"{folder}/events.parquet")
     cents = events.withColumn("cents", F.floor(F.col("value") * 100).cast("bigint"))
     stored = f"{root}/bounds"  # made once; every micro-batch reads the few stored rows
@@ -86,7 +73,7 @@ def ingest_runs(spark: SparkSession, folder: str, root: str) -> None:
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
-    root = run_folder(spark, "history")
+    root = scratch(spark, "history")
     stream = _events(spark, folder).select("event_id", "ts", "event_type", "cents")
     ingest(stream, f"{root}/out", f"{root}/checkpoint", ts="ts").awaitTermination()
     loaded = spark.read.parquet(f"{root}/out")

@@ -105,6 +105,11 @@ def routine_exec(t: Tables) -> DataFrame:
     )
 
 
+def _partner(has: Column, key: str) -> Column:
+    """The key where the row has a partner, else a number that no other table has."""
+    return F.when(has, F.col(key)).otherwise(-1 - F.col(key))
+
+
 def _part_database(key: str) -> Column:
     slot = F.col(key) % 5
     return F.when(slot == 0, "tempdb").otherwise(_id("db_", slot))
@@ -466,16 +471,16 @@ def query_stats(t: Tables) -> DataFrame:
 
 @once
 def query_texts(t: Tables) -> DataFrame:
-    return t.customer.filter(F.col("c_mktsegment") != "MACHINERY").select(
-        F.col("c_custkey").alias("sql_handle"), F.concat(F.lit("select * from "), "c_name").alias("text"),
+    return t.customer.select(
+        _partner(F.col("c_mktsegment") != "MACHINERY", "c_custkey").alias("sql_handle"), F.concat(F.lit("select * from "), "c_name").alias("text"),
         F.col("c_name").alias("object_name"), F.col("c_mktsegment").alias("DB_Name"),
     )
 
 
 @once
 def query_plans(t: Tables) -> DataFrame:
-    return t.orders.filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("plan_handle"), _id("<plan/>", "o_orderkey").alias("query_plan")
+    return t.orders.select(
+        _partner(F.col("o_orderstatus") != "P", "o_orderkey").alias("plan_handle"), _id("<plan/>", "o_orderkey").alias("query_plan")
     )
 
 
@@ -575,23 +580,23 @@ def lock_rows(t: Tables) -> DataFrame:
 
 @once
 def requests(t: Tables) -> DataFrame:
-    return t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "FURNITURE")).select(
-        F.col("c_custkey").cast("int").alias("session_id"), F.col("c_nationkey").alias("sql_handle"),
+    return t.customer.select(
+        _partner(F.col("c_mktsegment").isin("BUILDING", "FURNITURE"), "c_custkey").cast("int").alias("session_id"), F.col("c_nationkey").alias("sql_handle"),
         (F.col("c_custkey") % 7).cast("int").alias("blocking_session_id"),
     )
 
 
 @once
 def request_texts(t: Tables) -> DataFrame:
-    return t.nation.filter(F.col("n_regionkey") < 4).select(
-        F.col("n_nationkey").alias("sql_handle"), F.concat(F.lit("exec "), "n_name").alias("text")
+    return t.nation.select(
+        _partner(F.col("n_regionkey") < 4, "n_nationkey").alias("sql_handle"), F.concat(F.lit("exec "), "n_name").alias("text")
     )
 
 
 @once
 def sessions(t: Tables) -> DataFrame:
-    return t.customer.filter(F.col("c_acctbal") > 0).select(
-        F.col("c_custkey").cast("int").alias("session_id"), F.col("c_mktsegment").alias("host_name"),
+    return t.customer.select(
+        _partner(F.col("c_acctbal") > 0, "c_custkey").cast("int").alias("session_id"), F.col("c_mktsegment").alias("host_name"),
         F.lit("app").alias("program_name"), F.col("c_name").alias("login_name"),
         F.lit("2024-01-01 08:00:00").cast("timestamp_ntz").alias("login_time"),
     )
@@ -627,10 +632,11 @@ def servers(t: Tables) -> DataFrame:
 
 @once
 def probes(t: Tables) -> DataFrame:
-    """What the servers of the first regions reported, from the balances of their suppliers."""
+    """What all servers reported, from the balances of their suppliers; those of the last regions by names that are not registered."""
     per_server = t.supplier.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"), F.max(cents("s_acctbal")).alias("kb"))
-    return per_server.join(t.nation.filter(F.col("n_regionkey") < 3), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("n_name").alias("server_name"), _id("13.0.", "n").alias("product_version"),
+    name = F.when(F.col("n_regionkey") < 3, F.col("n_name")).otherwise(F.concat(F.lit("new "), "n_name"))
+    return per_server.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        name.alias("server_name"), _id("13.0.", "n").alias("product_version"),
         F.lit("Enterprise").alias("edition"), (F.col("n") * 4).alias("cpu_count"), F.lit(2).alias("hyperthread_ratio"),
         (F.col("kb") * 2).alias("total_physical_memory_kb"), F.col("kb").alias("total_server_memory_kb"),
         F.lit("Server 2016 (X64) on Windows NT 6.3 <X64>").alias("version_banner"),

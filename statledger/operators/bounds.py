@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,3 +63,49 @@ def outlier_summary(found: DataFrame, keys: Sequence[str], value: str, day: str,
         *[F.max(c).alias(c) for c in BOUND_COLUMNS],
         F.max(day).alias("MostRecentDateOnly"),
     )
+
+
+# ---------------------------------------------------------------- bounds from sums that are kept
+
+MOMENTS = ["Rows", "Values", "Total", "Squares"]
+
+
+def moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Number of rows and of values, exact sum and exact sum of squares of a whole-number column per key.
+
+    They can be added up over any parts of a table, and those of a part that goes can be taken away again.
+    """
+    whole = F.col(value).cast("decimal(19,0)")
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("Rows"), F.count(value).alias("Values"), F.sum(whole).cast("decimal(38,0)").alias("Total"),
+        F.sum((whole * whole).cast("decimal(38,0)")).cast("decimal(38,0)").alias("Squares"),
+    )
+
+
+def merged_moments(parts: Sequence[DataFrame], keys: Sequence[str], gone: Sequence[DataFrame] = ()) -> DataFrame:
+    """Moments of all parts together without those that are gone; keys that have no rows left are left out."""
+    signed = [p.select(*keys, *MOMENTS) for p in parts] + [g.select(*keys, *[(-F.col(c)).alias(c) for c in MOMENTS]) for g in gone]
+    sums = [F.sum(c).cast("bigint" if c in ("Rows", "Values") else "decimal(38,0)").alias(c) for c in MOMENTS]
+    return reduce(DataFrame.unionByName, signed).groupBy(*keys).agg(*sums).filter(F.col("Rows") > 0)
+
+
+def bounds_of_moments(sums: DataFrame, keys: Sequence[str], *, sigmas: float = 3, min_rows: int = 2) -> DataFrame:
+    """The bounds of ``sigma_bounds`` from moments.
+
+    Squares are taken around the truncated mean in whole numbers first, so nothing cancels out in floating point.
+    """
+    mean = F.when(F.col("Values") > 0, F.call_function("div", F.col("Total"), F.col("Values").cast("decimal(19,0)")))
+    known = sums.filter(F.col("Rows") >= min_rows).withColumn("Mean", mean)
+    m, n = F.col("Mean").cast("decimal(19,0)"), F.col("Values").cast("decimal(19,0)")
+    total = F.coalesce(F.col("Total"), F.lit(0).cast("decimal(38,0)"))
+    around = F.col("Squares") - (2 * m * total).cast("decimal(38,0)") + (m * m * n).cast("decimal(38,0)")
+    shift = (total - (m * n).cast("decimal(38,0)")).cast("double") / F.col("Values")
+    spread = F.sqrt(F.greatest(around.cast("double") / F.col("Values") - shift * shift, F.lit(0.0)))
+    return known.withColumn("StandardDev", F.when(F.col("Values") > 0, spread)).select(
+        *keys,
+        "Mean",
+        "StandardDev",
+        (F.col("Mean") - sigmas * F.col("StandardDev")).alias("LowerBound"),
+        (F.col("Mean") + sigmas * F.col("StandardDev")).alias("UpperBound"),
+        F.col("Rows").alias("SampleSize"),
+    )

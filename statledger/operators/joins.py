@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,9 @@ def lookup_join(
     """
     keys = list(keys)
     rest_columns = [c for c in lookup.columns if c not in keys]
+    every = facts
+    if how == "left":  # facts without a key match nothing, and a shuffle would put all of them into one task
+        facts = facts.filter(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
     if weight is None:
         heavy = F.broadcast(hot_keys(facts, keys, hot_rows).select(*keys))
         hot = F.broadcast(lookup.join(heavy, keys, "left_semi"))
@@ -43,7 +47,10 @@ def lookup_join(
         hot_part = marked.filter(F.col("__hot").isNotNull()).select(*facts.columns, "__hot.*")
         cold_facts = marked.filter(F.col("__hot").isNull()).select(*facts.columns)
     cold_part = cold_facts.join(lookup, keys, how)
-    return hot_part.unionByName(cold_part).select(*facts.columns, *rest_columns)
+    out = hot_part.unionByName(cold_part)
+    if how == "left":
+        out = out.unionByName(every.filter(reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))), allowMissingColumns=True)
+    return out.select(*every.columns, *rest_columns)
 
 
 def update_from(
@@ -115,6 +122,11 @@ def upsert(
     )
 
 
+def only_if(df: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``df`` if ``found`` has any row, else none. ``found`` is read up to its first row."""
+    return df.filter(found.exists())
+
+
 def union_tagged(frames: Mapping[str, DataFrame], tag: str) -> DataFrame:
     """Stack frames of the same shape, each marked with its name in column ``tag``."""
     parts = [df.withColumn(tag, F.lit(name)) for name, df in frames.items()]

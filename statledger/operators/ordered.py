@@ -2,8 +2,8 @@
 
 ``with_previous`` is the one operator here that needs every row of a key in
 time order. A key that holds a large share of the table would put that share in
-one task, so such keys are cut into slices of like row numbers, at full seconds,
-and only the last row of each slice crosses to the next one.
+one task, so rows of such keys are dealt by ranges of key, time and tie columns,
+and only the last row of each range crosses to the next one.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import wall_seconds
+from ..sources.scratch import stored
 
 HOT_ROWS = 5_000_000
+RANGES = 8  # of so many rows as make a key hot
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -29,21 +30,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, *aggs: Column) -
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *aggs).filter(F.col("__n") > hot_rows)
 
 
-def slice_bounds(df: DataFrame, keys: Sequence[str], second: Column, hot_rows: int) -> DataFrame:
-    """First second of each slice of the keys with more than ``hot_rows`` rows, as an ascending array ``__bounds``.
+def deal_by_range(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame:
+    """The rows with the number ``__range`` of their range of (keys, order): about equally many in each, whatever the spread.
 
-    A slice holds about ``hot_rows / 8`` rows, so there are at most ``8 * rows / hot_rows`` bounds in all.
+    One range shuffle on Spark's own sample. Equal rows are told apart by a running number, so they are parted as well. The result lies in
+    the shared folder: whatever is derived from it sees the same ranges, also when a task runs again.
     """
-    hot = hot_keys(df, keys, hot_rows).select(*keys)
-    rows = df.select(*keys, second.cast("bigint").alias("__second")).alias("d")
-    cells = (
-        rows.join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left_semi")
-        .groupBy(*keys, "__second").agg(F.count(F.lit(1)).alias("__rows"))
-    )
-    before = Window.partitionBy(*keys).orderBy("__second").rowsBetween(Window.unboundedPreceding, -1)
-    part = F.floor(F.coalesce(F.sum("__rows").over(before), F.lit(0)) / max(hot_rows // 8, 1))
-    starts = cells.withColumn("__part", part).groupBy(*keys, "__part").agg(F.min("__second").alias("__start"))
-    return starts.groupBy(*keys).agg(F.sort_array(F.collect_list("__start")).alias("__bounds"))
+    tied = rows.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *keys, *order, "__tie")
+    return stored(tied.withColumn("__range", F.spark_partition_id()).drop("__tie"), "ranges")
 
 
 def with_previous(
@@ -62,63 +56,53 @@ def with_previous(
     interchangeable rows tied. ``previous`` maps new column name to source column.
     ``is_last`` names a boolean that is true on the newest row of each key.
 
-    A key with more than ``hot_rows`` rows is cut where the running count of its rows
-    by second passes each eighth of ``hot_rows``, so bursts are cut as well; only rows of one
-    second, and undated rows, stay together. The bounds come from exact
-    counts, so a recomputed task slices the same way. Without such keys the plan
-    shrinks at run time to a single window. ``hot_rows=None`` skips the check.
+    Rows of keys with more than ``hot_rows`` rows are dealt by range, about ``hot_rows / 8`` in each, so bursts, rows of one
+    second and undated rows are parted as well. Keys are counted first, which is one aggregation over the key
+    columns; without such keys a single window remains. ``hot_rows=None`` skips the count.
     """
     keys, order = list(keys), list(order)
     sources = list(dict.fromkeys(previous.values()))
     sort_cols = order + [c for c in sources if c not in order]
     row = F.struct(*[F.col(c) for c in sort_cols])
-    ts = order[0]
 
-    if hot_rows is None:
+    def plain(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*sort_cols)
-        out = df.withColumn("__prev", F.lag(row).over(w))
-        if is_last:
-            out = out.withColumn(is_last, F.lead(F.lit(1)).over(w).isNull())
-    else:
-        second = wall_seconds(ts)
-        bounds = slice_bounds(df, keys, second, hot_rows)
-        sliced = (
-            df.alias("d")
-            .join(F.broadcast(bounds.alias("h")), same_keys("d", "h", keys), "left")
-            .withColumn("__second", second.cast("bigint"))
-            .select(
-                "d.*",
-                F.col("__bounds").isNotNull().alias("__hot"),
-                # undated rows of a hot key sort first, so they go into slice 0, before the first bound
-                F.coalesce(F.size(F.filter("__bounds", lambda b: b <= F.col("__second"))), F.lit(0)).cast("bigint").alias("__slice"),
-            )
-        )
-        tails = (
-            sliced.filter("__hot")
-            .groupBy(*keys, "__slice")
-            .agg(F.max(row).alias("__tail"))
-        )
-        across = Window.partitionBy(*keys).orderBy("__slice")
+        out = rows.withColumn("__prev", F.lag(row).over(w))
+        return out.withColumn(is_last, F.lead(F.lit(1)).over(w).isNull()) if is_last else out
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        tails = rows.groupBy(*keys, "__range").agg(F.max(row).alias("__tail"))  # one row for each range and key
+        across = Window.partitionBy(*keys).orderBy("__range")
         tails = tails.select(
             *keys,
-            "__slice",
+            "__range",
             F.lag("__tail").over(across).alias("__carry"),
-            F.lead("__slice").over(across).isNotNull().alias("__more"),
+            F.lead("__range").over(across).isNotNull().alias("__more"),
         )
         heads = tails.filter(F.col("__carry").isNotNull()).select(
-            *keys, "__slice", F.lit(0).alias("__rank"), F.col("__carry")
+            *keys, "__range", F.lit(0).alias("__rank"), F.col("__carry")
         )
-        body = sliced.withColumn("__rank", F.lit(1)).drop("__hot")
-        body = body.unionByName(heads, allowMissingColumns=True)
+        body = rows.withColumn("__rank", F.lit(1)).unionByName(heads, allowMissingColumns=True)
         if is_last:
-            ends = tails.filter("__more").select(*keys, "__slice", F.lit(2).alias("__rank"))
+            ends = tails.filter("__more").select(*keys, "__range", F.lit(2).alias("__rank"))
             body = body.unionByName(ends, allowMissingColumns=True)
-        w = Window.partitionBy(*keys, "__slice").orderBy("__rank", *sort_cols)
+        w = Window.partitionBy(*keys, "__range").orderBy("__rank", *sort_cols)
         mine = F.when(F.col("__rank") == 1, row).otherwise(F.col("__carry"))
         out = body.withColumn("__prev", F.lag(mine).over(w))
         if is_last:
             out = out.withColumn(is_last, F.lead(F.lit(1)).over(w).isNull())
-        out = out.filter(F.col("__rank") == 1)
+        return out.filter(F.col("__rank") == 1).drop("__rank", "__carry", "__range")
+
+    hot = None if hot_rows is None else hot_keys(df, keys, hot_rows)
+    many = hot.agg(F.sum("__n")).first()[0] if hot is not None else None
+    if many:
+        hot = F.broadcast(stored(hot.select(*keys), "hot_keys").alias("h"))
+        mine = df.alias("d").join(hot, same_keys("d", "h", keys), "left_semi")
+        others = df.alias("d").join(hot, same_keys("d", "h", keys), "left_anti")
+        dealt = deal_by_range(mine, keys, sort_cols, max(2, -(-RANGES * many // hot_rows)))
+        out = plain(others).unionByName(ranged(dealt))
+    else:
+        out = plain(df)
 
     extra = [F.col(f"__prev.{src}").alias(new) for new, src in previous.items()]
     last = [F.col(is_last)] if is_last else []

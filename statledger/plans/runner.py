@@ -12,11 +12,14 @@ from ..functions.timeparts import parse_as_of, ts_lit
 from ..operators import timewindow
 from ..operators.timewindow import PARTITION, apply_retention
 from ..sources.history import RUN, append_snapshot, drop_expired, read_history
+from ..sources.moments import store_moments, stored_bounds
 from ..sources.schemas import RETENTION_DAYS, STAMP
 from . import alerts, reports, worklists
 from .parameters import ALERTS, parameter
 
 Task = Callable[[], DataFrame]
+#: Tables whose bounds are asked for again and again: keys and value of the sums that are kept with each load.
+SUMMED = {"routine_exec": (reports.ROUTINE_KEYS, "avg_elapsed_time")}
 
 
 def error_rows(spark: SparkSession, failures: Mapping[str, str], as_of) -> DataFrame:
@@ -48,10 +51,20 @@ def run_collect(
     """
 
     def append(table: str, build: Task) -> Callable[[], None]:
-        return lambda: append_snapshot(build(), root, table, as_of, extra=extra)
+        def run() -> None:
+            append_snapshot(build(), root, table, as_of, extra=extra)
+            if table in SUMMED:
+                store_moments(spark, root, table, as_of, *SUMMED[table], extra=extra)
+
+        return run
 
     def drop(table: str) -> Callable[[], None]:
-        return lambda: drop_expired(spark, root, table, retention_days[table], as_of)
+        def run() -> None:
+            drop_expired(spark, root, table, retention_days[table], as_of)
+            if table in SUMMED:
+                drop_expired(spark, root, f"{table}_moments", retention_days[table], as_of)
+
+        return run
 
     failed = run_isolated(spark, {table: append(table, build) for table, build in collectors.items()}, as_of)
     undropped = run_isolated(spark, {table: drop(table) for table in collectors if table in retention_days}, as_of)
@@ -80,11 +93,13 @@ def run_alerts(
     """
     append_snapshot(runs, root, "recent_runs", as_of, extra=extra)
     held = _of_run(spark, root, "recent_runs", as_of, extra)
-    bounds = reports.routine_bounds(history(spark, root, "routine_exec", as_of, extra=extra), scope=extra)
+    bounds = stored_bounds(spark, root, "routine_exec", as_of, *SUMMED["routine_exec"], days=RETENTION_DAYS["routine_exec"], extra=extra)
     offences = alerts.offences(held, bounds, min_runs=min_runs, scope=extra).persist()
     try:
         append_snapshot(offences.select(*extra, "SP_Name").distinct(), root, "flagged_routines", as_of, extra=extra)
-        append_snapshot(alerts.shown(offences, n=n, scope=extra), root, "alerts", as_of, extra=extra)
+        # with nothing flagged the details are not looked for; their folder is replaced by an empty one
+        shown = alerts.shown(offences, n=n, scope=extra)
+        append_snapshot(spark.createDataFrame([], shown.schema) if offences.isEmpty() else shown, root, "alerts", as_of, extra=extra)
     finally:
         offences.unpersist()
     return _of_run(spark, root, "alerts", as_of, extra)

@@ -52,12 +52,13 @@ def read_history(spark: SparkSession, root: str, table: str, *, extra=(), until=
 
     Streamed rows of the last day are decided one by one by their stamp; undated ones always belong.
     """
-    full = StructType(
-        [StructField(c, StringType()) for c in extra]
-        + [f for f in schema(table) if f.name not in extra]
-        + [StructField(PARTITION, DateType()), StructField(RUN, StringType())]
-    )
-    path = table_path(root, table)
+    own = StructType([StructField(c, StringType()) for c in extra] + [f for f in schema(table) if f.name not in extra])
+    return read_parts(spark, table_path(root, table), own, until=until, stamp=STAMP.get(table, "Date"))
+
+
+def read_parts(spark: SparkSession, path: str, own: StructType, *, until=None, stamp: str | None = None) -> DataFrame:
+    """All loads under ``path`` with the columns ``own``, or those up to ``until``; rows of streams by their ``stamp``."""
+    full = StructType(own.fields + [StructField(PARTITION, DateType()), StructField(RUN, StringType())])
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], full)
@@ -65,8 +66,10 @@ def read_history(spark: SparkSession, root: str, table: str, *, extra=(), until=
     if until is not None:
         at = parse_as_of(until)
         day, run = F.lit(at.date().isoformat()).cast("date"), at.strftime("%H%M%S")
-        stamp = F.coalesce(F.col(STAMP.get(table, "Date")) <= ts_lit(until), F.lit(True))
-        in_time = F.when(F.col(RUN).startswith(STREAMED), stamp).otherwise(F.substring(RUN, 1, 6) <= run)
+        in_time = F.substring(RUN, 1, 6) <= run
+        if stamp:
+            streamed = F.coalesce(F.col(stamp) <= ts_lit(until), F.lit(True))
+            in_time = F.when(F.col(RUN).startswith(STREAMED), streamed).otherwise(in_time)
         df = df.filter(F.col(PARTITION).isNull() | (F.col(PARTITION) < day) | ((F.col(PARTITION) == day) & in_time))
     return df
 
@@ -97,8 +100,3 @@ def drop_expired(spark: SparkSession, root: str, table: str, days, as_of) -> int
             fs.delete(status.getPath(), True)
             dropped += 1
     return dropped
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

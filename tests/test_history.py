@@ -4,6 +4,7 @@ from decimal import Decimal as D
 
 import pytest
 from frames import ts, tuples
+from pyspark.sql import functions as F
 
 from statledger.plans import runner
 from statledger.sources import history, landed
@@ -142,3 +143,41 @@ def test_recommendation_run(spark, tmp_path):
     rebuilds, refreshes = runner.run_recommend(spark, root, AT)
     assert tuples(rebuilds, "TableName", "level") == [("big", "index"), ("t", "table")]
     assert tuples(refreshes, "Command") == [("UPDATE STATISTICS [t](i) WITH FULLSCAN",)]
+
+
+def test_bounds_from_moments_equal_one_pass(spark):
+    import random
+
+    from statledger.operators import bounds
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, 10**14 + rng.randrange(10), rng.randrange(-50, 50)]), i % 4) for i in range(300)]
+    rows += [("one", 5, 0), ("nulls", None, 1), ("nulls", None, 2), ("gone", 7, 3), ("gone", 8, 3)]
+    df = spark.createDataFrame(rows, "k STRING, v BIGINT, part INT")
+    parts = [bounds.moments(df.filter(f"part = {i}"), ["k"], "v") for i in range(4)]
+    together = bounds.merged_moments(parts, ["k"])
+    for found, kept in ((together, df), (bounds.merged_moments([together], ["k"], gone=[parts[3]]), df.filter("part < 3"))):
+        got = {r["k"]: r for r in bounds.bounds_of_moments(found, ["k"]).collect()}
+        expected = {r["k"]: r for r in bounds.sigma_bounds(kept, ["k"], "v").collect()}
+        assert set(got) == set(expected)
+        for k, e in expected.items():
+            assert (got[k]["Mean"], got[k]["SampleSize"]) == (e["Mean"], e["SampleSize"])
+            assert got[k]["StandardDev"] == (e["StandardDev"] if e["StandardDev"] is None else pytest.approx(e["StandardDev"], rel=1e-9, abs=1e-6))
+
+
+def test_alert_run_reads_sums_and_not_the_history(spark, tmp_path):
+    from statledger.plans import runner
+    from statledger.sources import moments
+
+    root = str(tmp_path)
+    rows = spark.createDataFrame([("db", "sp", 10 + i % 3) for i in range(30)], "DB_Name STRING, `SP Name` STRING, avg_elapsed_time BIGINT")
+    for day in (1, 2, 3):
+        runner.run_collect(spark, root, {"routine_exec": lambda day=day: rows.withColumn("Date", F.lit(f"2024-01-0{day} 08:00:00").cast("timestamp_ntz"))},
+                           f"2024-01-0{day} 12:00:00")
+    found = moments.stored_bounds(spark, root, "routine_exec", "2024-01-03 13:00:00", *runner.SUMMED["routine_exec"], days=180)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.first()["SampleSize"] == 90
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "avg_elapsed_time" in line]
+    assert all("PartitionFilters" in line for line in scans)
+    assert moments.stored_bounds(spark, root, "routine_exec", "2024-01-02 12:00:00", *runner.SUMMED["routine_exec"], days=180).first()["SampleSize"] == 60
+    assert moments.stored_bounds(spark, root, "routine_exec", "2024-01-03 13:00:00", *runner.SUMMED["routine_exec"], days=2.2).first()["SampleSize"] == 60

@@ -8,7 +8,6 @@ import pytest
 from frames import frame, ts, tuples
 from pyspark.sql import functions as F
 
-from statledger.functions.timeparts import wall_seconds
 from statledger.operators import bounds, counters, joins, ordered, rollup, timewindow
 
 AT = "2024-01-31 00:00:00"
@@ -51,15 +50,29 @@ def test_previous_row_is_the_same_however_hot_keys_are_sliced(spark, seed, hot_r
     assert {r["id"]: (r["prev_id"], r["newest"]) for r in got.collect()} == brute_previous(rows)
 
 
-def test_bursts_are_cut_into_slices_of_like_size(spark):
-    burst = [("hot", f"2024-01-15 10:{i // 60 % 60:02d}:{i % 60:02d}", i) for i in range(900)]  # 90 % of the key in a quarter of an hour
-    rest = [("hot", f"2024-{1 + i % 6:02d}-{1 + i % 28:02d} 00:00:00", 1000 + i) for i in range(95)] + [("hot", None, 2000 + i) for i in range(5)]
-    df = spark.createDataFrame([(k, ts(at) if at else None, i) for k, at, i in burst + rest], "k STRING, at TIMESTAMP_NTZ, id INT")
-    second = wall_seconds("at")
-    starts = ordered.slice_bounds(df, ["k"], second, 160).first()["__bounds"]
-    stamps = sorted(r["s"] for r in df.select(second.cast("bigint").alias("s")).collect() if r["s"] is not None)
-    sizes = [sum(a <= s < b for s in stamps) for a, b in zip([*starts], [*starts[1:], 1 << 60])]
-    assert max(sizes) <= 2 * 160 // 8 and sum(sizes) == len(stamps) and starts == sorted(set(starts))
+def test_facts_without_a_key_stay_out_of_the_join(spark):
+    facts = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 100), ("b", 101)], "k STRING, i INT")
+    got = joins.lookup_join(facts, spark.createDataFrame([("a", 1), (None, 2)], "k STRING, n INT"), ["k"], "left", hot_rows=10)
+    assert tuples(got) == tuples(facts.select("k", "i", F.when(F.col("k") == "a", 1).alias("n")))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnotnull(k") >= 2 and "isnull(k" in plan
+
+
+@pytest.mark.parametrize("burst_ids", [1, 900])
+def test_bursts_within_one_second_are_parted(spark, burst_ids):
+    """90 % of a key in one second, in equal rows or not, and undated rows: no range is above twice the mean."""
+    at = datetime(2024, 1, 15, 10)
+    rows = [("hot", at, i % burst_ids) for i in range(900)] + [("hot", at + timedelta(days=i - 50), 1000 + i) for i in range(95)]
+    rows += [("hot", None, 2000 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k STRING, at TIMESTAMP_NTZ, id INT").repartition(3)
+    sizes = [r["count"] for r in ordered.deal_by_range(df, ["k"], ["at", "id"], 10).groupBy("__range").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) == 10 and max(sizes) <= 2 * len(rows) / 10
+    got = ordered.with_previous(df, ["k"], ["at", "id"], {"p_at": "at", "p": "id"}, is_last="newest", hot_rows=80).collect()
+    expected, last = [], (None, None)
+    for k, t, i in sorted(rows, key=lambda r: (r[1] is not None, r[1] or at, r[2])):
+        expected.append((k, t, i, *last))
+        last = (t, i)
+    assert sorted([tuple(r)[:5] for r in got], key=str) == sorted(expected, key=str) and sum(r["newest"] for r in got) == 1
 
 
 def test_hot_key_with_one_timestamp(spark):
