@@ -321,6 +321,14 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         {_CARRIED}, max("DateOnly") AS "MostRecentDateOnly", "Hour" FROM ({_JOB_OUT}) GROUP BY {_JK}, "Hour" """, ["jobs"]),
     "routine_bounds": (
         f"SELECT \"DB_Name\", \"SP Name\", {_bound_columns(2)} FROM ({_bounds('runs', '\"DB_Name\", \"SP Name\"', 'a')}) b", ["runs"]),
+    "rejected_rows": (
+        """SELECT o_orderkey, CASE WHEN bad THEN 'orders' ELSE o_orderstatus END AS status,
+        CASE WHEN NOT bad THEN CAST(floor(o_totalprice) AS BIGINT) END AS price
+        FROM (SELECT *, o_orderkey % 7 = 3 OR o_orderkey % 11 = 5 AS bad FROM orders)""", []),
+    "orders_by_collated_name": (
+        """SELECT CAST(length(a.c_name) + a.c_custkey % 3 AS INTEGER) AS n, a.c_nationkey, b.c_custkey FROM customer a
+        LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 > 0) b ON lower(rtrim(b.c_name)) = lower(rtrim(a.c_name))""", []),
+    "stream_reported_once": ("SELECT DISTINCT event_id, ts, user_id FROM events WHERE ts IS NOT NULL", []),
     "orders_if_any": (
         """SELECT o_orderstatus AS kind, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_discount > 0.05
         AND l_returnflag = 'R') GROUP BY 1 UNION ALL SELECT o_orderpriority, count(*) FROM orders
@@ -707,7 +715,7 @@ _BODY: dict[str, tuple[str, list[str]]] = {
 
 
 for _same, _as in {
-    "previous_event_hot_keys": "previous_event", "delivery_rate_hot_keys": "delivery_rate",
+    "stream_alerts_joined": "stream_alerts", "cpu_records_of_files": "cpu_samples", "previous_event_hot_keys": "previous_event", "delivery_rate_hot_keys": "delivery_rate",
     "alert_detail_of_flagged": "alert_detail", "alert_run": "alert_detail", "orders_with_customer_hot_keys": "orders_with_customer", "job_outliers_hot_keys": "job_outliers",
 }.items():
     _BODY[_same] = _BODY[_as]

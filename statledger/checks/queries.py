@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import timeparts as tp
 from ..operators import bounds, counters, joins, ordered, rollup, timewindow
@@ -758,6 +759,41 @@ def _alert_history(t):
     return root
 
 
+@query
+def rejected_rows(t):
+    """Orders landed as text, the price of some no number and the key of some missing: rows read, and rows rejected into the errors table."""
+    root, key = scratch(t.spark, "rejects"), F.col("o_orderkey")
+    price = F.when(key % 7 == 3, F.lit("n/a")).otherwise(F.floor("o_totalprice").cast("bigint").cast("string"))
+    line = F.concat_ws(",", F.when(key % 11 == 5, F.concat(F.lit("#"), key.cast("string"))).otherwise(key.cast("string")), "o_orderstatus", price)
+    t.orders.select(line.alias("value")).write.text(f"{root}/orders")
+    kind = StructType.fromDDL("o_orderkey BIGINT, status STRING, price BIGINT")
+    good, bad = landed.read_checked(t.spark, f"{root}/orders", kind)
+    history.append_snapshot(landed.rejects_as_errors(bad, "orders", LOADED), root, "errors", LOADED)
+    errors = history.read_history(t.spark, root, "errors")
+    return good.select("o_orderkey", "status", "price").unionByName(
+        errors.select(F.expr("try_cast(regexp_extract(Message, '([0-9]+),', 1) as bigint)").alias("o_orderkey"), F.col("TableName").alias("status"),
+                      F.lit(None).cast("bigint").alias("price")))
+
+
+@query
+def cpu_records_of_files(t):
+    """Ring-buffer records of all events written as XML files and read back."""
+    root = scratch(t.spark, "xml")
+    parsed = r.ring_records(t).select(F.col("timestamp").alias("_timestamp"), F.from_xml("record", F.lit(collect.CPU_RECORD)).alias("x"))
+    parsed.select("_timestamp", "x.*").write.format("xml").options(rootTag="Records", rowTag="Record").save(f"{root}/records")
+    kind = StructType.fromDDL("_timestamp BIGINT, " + collect.CPU_RECORD)
+    records = landed.read_xml(t.spark, f"{root}/records", kind, row_tag="Record")
+    return collect.cpu_records(records, 200_000_000, EVENTS_AT, hours=24)
+
+
+@query
+def orders_by_collated_name(t):
+    """Customers found by their names in other case and with trailing blanks."""
+    said = t.customer.select(F.concat(F.upper("c_name"), F.expr("repeat(' ', cast(c_custkey % 3 as int))")).alias("name"), "c_nationkey")
+    known = t.customer.select(F.col("c_name").alias("name"), "c_custkey").filter("c_custkey % 4 > 0")
+    return joins.name_join(said, known, ["name"], "left").select(F.length("name").alias("n"), "c_nationkey", "c_custkey")
+
+
 @query
 def orders_if_any(t):
     """Orders counted by status if any item was returned at a discount, and those by priority if any has a negative price: only the first condition holds."""
@@ -834,6 +870,16 @@ def stream_alerts(t):
     return replay.alerts(t.spark, t.folder)
 
 
+@query
+def stream_alerts_joined(t):
+    return replay.joined(t.spark, t.folder)
+
+
+@query
+def stream_reported_once(t):
+    return replay.reported(t.spark, t.folder)
+
+
 @query
 def stream_history(t):
     return replay.history(t.spark, t.folder)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.bounds import sigma_bounds
-from ..streaming.alerts import stream_alerts
+from ..streaming.alerts import joined_alerts, stream_alerts
 from ..streaming.deltas import stream_deltas
-from ..streaming.ingest import ingest, open_landed
+from ..streaming.ingest import ingest, open_landed, reported_once
 from ..streaming.tables import read_batches
 from ..streaming.volumes import windowed_volume
 from ..sources.scratch import scratch
@@ -63,6 +63,34 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
     return read_batches(spark, f"{root}/alerts").select("event_id", "event_type", "cents", "Mean", "SampleSize")
 
 
+def _appended(stream: DataFrame, root: str) -> DataFrame:
+    """What a stream appends until its input is used up."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+    writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+def joined(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts from a stream joined to a stored table of bounds."""
+    root = scratch(spark, "joined")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    limits = sigma_bounds(events.withColumn("cents", F.floor(F.col("value") * 100).cast("bigint")), ["event_type"], "cents")
+    limits.write.parquet(f"{root}/bounds")
+    stream = _events(spark, folder).select("event_id", "event_type", "cents")
+    found = joined_alerts(stream, spark.read.schema(limits.schema).parquet(f"{root}/bounds"), ["event_type"], "cents")
+    return _appended(found.select("event_id", "event_type", "cents", "Mean", "SampleSize"), root)
+
+
+def reported(spark: SparkSession, folder: str) -> DataFrame:
+    """All events landed twice, as two polls report them, taken once."""
+    root = scratch(spark, "reported")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{root}/landed")
+    landed = open_landed(spark, f"{root}/landed", StructType.fromDDL(EVENTS))
+    return _appended(reported_once(landed, ["event_id"], "ts", "2 hours").select("event_id", "ts", "user_id"), root)
+
+
 def ingest_runs(spark: SparkSession, folder: str, root: str) -> None:
     """All events as rows of the history table ``recent_runs`` under ``root``."""
     stream = _events(spark, folder).select(

@@ -53,6 +53,20 @@ def lookup_join(
     return out.select(*every.columns, *rest_columns)
 
 
+NAMES = "UTF8_LCASE_RTRIM"
+
+
+def name_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on names as databases compare them by default: whatever their case and trailing blanks.
+
+    The names of the left side come back. Spark joins by the sort keys of the names, so the plan is that of any equal join.
+    """
+    rest = [c for c in right.columns if c not in keys]
+    other = right.select(*[F.collate(k, NAMES).alias(f"__{k}") for k in keys], *rest)
+    same = reduce(lambda a, b: a & b, (F.collate(F.col(k), NAMES) == F.col(f"__{k}") for k in keys))
+    return left.join(other, same, how).select(*left.columns, *([] if how in ("left_semi", "left_anti") else rest))
+
+
 def update_from(
     target: DataFrame,
     source: DataFrame,

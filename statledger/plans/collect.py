@@ -423,20 +423,34 @@ def _io_rows(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- two-hourly: counters
 
+#: Fixed value: the elements of a ring-buffer record.
+CPU_RECORD = "_id INT, SchedulerMonitorEvent STRUCT<SystemHealth: STRUCT<SystemIdle: INT, ProcessUtilization: INT>>"
+
+
 def cpu_samples(ring: DataFrame, now_ms, as_of, *, hours=2, scope: Scope = ()) -> DataFrame:
     """Processor shares per minute from ring-buffer records; a missing value stays NULL."""
-    schema = (
-        "_id INT, SchedulerMonitorEvent STRUCT<SystemHealth: STRUCT<SystemIdle: INT, ProcessUtilization: INT>>"
-    )
-    health = F.col("x.SchedulerMonitorEvent.SystemHealth")
+    ticks = _cpu_ticks("timestamp", now_ms, hours)
+    texts = recent(ring.filter(ticks & F.col("record").contains("<SystemHealth>")).withColumn("Date", tick_time(as_of, now_ms, "timestamp")),
+                   "Date", hours / 24, as_of)
+    return _cpu_shares(texts.withColumn("x", F.from_xml("record", F.lit(CPU_RECORD))), "x.SchedulerMonitorEvent", scope)
+
+
+def cpu_records(records: DataFrame, now_ms, as_of, *, hours=2, scope: Scope = ()) -> DataFrame:
+    """The same from records read as XML files (:func:`landed.read_xml`), their ticks in the attribute ``timestamp``."""
+    whole = F.col("SchedulerMonitorEvent.SystemHealth").isNotNull() & _cpu_ticks("_timestamp", now_ms, hours)
+    dated = records.filter(whole).withColumn("Date", tick_time(as_of, now_ms, "_timestamp"))
+    return _cpu_shares(recent(dated, "Date", hours / 24, as_of), "SchedulerMonitorEvent", scope)
+
+
+def _cpu_ticks(ticks: str, now_ms, hours) -> Column:
+    """The ticks themselves bound the scan, a minute wider than the exact times."""
+    return F.col(ticks).between(now_ms - round(hours * 3_600_000) - 60_000, now_ms + 60_000)
+
+
+def _cpu_shares(dated: DataFrame, event: str, scope: Scope) -> DataFrame:
+    health = F.col(f"{event}.SystemHealth")
     idle, sql = health["SystemIdle"], health["ProcessUtilization"]
-    # the ticks themselves bound the scan, a minute wider than the exact times below
-    ticks = F.col("timestamp").between(now_ms - round(hours * 3_600_000) - 60_000, now_ms + 60_000)
-    dated = ring.filter(ticks & F.col("record").contains("<SystemHealth>")).withColumn(
-        "Date", tick_time(as_of, now_ms, "timestamp")
-    )
-    shredded = recent(dated, "Date", hours / 24, as_of).withColumn("x", F.from_xml("record", F.lit(schema)))
-    return shredded.select(
+    return dated.select(
         *scope, "Date", sql.alias("SQLProcessUtilization"), idle.alias("SystemIdle"),
         (100 - idle - sql).alias("OtherProcessUtilization"),
     )

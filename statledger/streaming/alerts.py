@@ -6,6 +6,7 @@ import posixpath
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.bounds import outliers
@@ -30,3 +31,13 @@ def stream_alerts(
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", posixpath.join(root, "checkpoint"))
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def joined_alerts(stream: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str, *, upper_only: bool = False) -> DataFrame:
+    """The outlying rows as a stream, joined to a stored table of bounds with one row per key.
+
+    Every micro-batch reads the table as it then stands. No state is kept, so the result can be appended to any sink.
+    """
+    above = F.col(value) > F.col("UpperBound")
+    outside = above if upper_only else above | (F.col(value) < F.col("LowerBound"))
+    return stream.join(bounds, list(keys)).filter(outside)

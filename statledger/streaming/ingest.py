@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..functions.timeparts import wall_seconds
 from ..operators.timewindow import PARTITION
 from ..sources.history import RUN, STREAMED
 
@@ -22,6 +25,16 @@ def open_landed(spark: SparkSession, path: str, schema: StructType, *, fmt: str
     return reader.load(path)
 
 
+def reported_once(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """Rows that further polls report again, within ``delay`` of their time ``ts``, only once.
+
+    Spark keeps the keys of that time in its state store and forgets older ones. Undated rows have no place in that: they are left out.
+    """
+    at = "__at"
+    timed = stream.filter(F.col(ts).isNotNull()).withColumn(at, F.timestamp_seconds(wall_seconds(ts)))
+    return timed.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys)).drop(at)
+
+
 def ingest(stream: DataFrame, path: str, checkpoint: str, *, ts: str = "Date", once: bool = True) -> StreamingQuery:
     """Append the stream to a history table, each file exactly once.
 
