@@ -1,9 +1,10 @@
 """Counter increments across micro-batches.
 
-The last sample of each key is kept in a table, not in executor memory: each
-batch joins it, writes its increments, and writes the table's next version.
-Outputs are per batch and complete before they are read, so a batch that is run
-again after a failure gives the same result.
+The last sample of each key is kept in a table, not in executor memory. A batch
+reads the samples of its own keys, writes its increments, and writes the new
+last samples of those keys alone; every ``COMPACT_EVERY`` batches the table is
+compacted into one row per key. Outputs are per batch and complete before they
+are read, so a batch that is run again after a failure gives the same result.
 """
 
 from __future__ import annotations
@@ -15,23 +16,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.counters import counter_step
-from .tables import drop_versions, newest_before, write_batch
+from ..operators.ordered import latest_per, same_keys
+from .tables import drop_state, state_before, write_batch, write_compacted
+
+COMPACT_EVERY = 20
+
+
+def samples_of(batch: DataFrame, held: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """The last sample of each key of ``batch``. A key's stored samples grow with time, so the newest is the last."""
+    keys = list(keys)
+    changed = batch.select(*keys).distinct().alias("c")
+    return latest_per(held.alias("s").join(changed, same_keys("s", "c", keys), "left_semi"), keys, ts)
 
 
 def stream_deltas(
-    stream: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], *, root: str, once: bool = True, **policy
+    stream: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], *, root: str, once: bool = True,
+    compact_every: int = COMPACT_EVERY, **policy
 ) -> StreamingQuery:
-    """Run :func:`counter_step` on every micro-batch; increments go to ``<root>/deltas``, state to ``<root>/last``."""
+    """Run :func:`counter_step` on every micro-batch; increments go to ``<root>/deltas``, changed keys to ``<root>/last``."""
     state, out = posixpath.join(root, "last"), posixpath.join(root, "deltas")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            last = newest_before(batch.sparkSession, state, batch_id)
+            held = state_before(batch.sparkSession, state, batch_id)
+            last = None if held is None else samples_of(rows, held, keys, ts)
             deltas, newest = counter_step(rows, last, keys, ts, columns, **policy)
             write_batch(deltas, out, batch_id)
             write_batch(newest, state, batch_id)
-            drop_versions(batch.sparkSession, state, batch_id)
+            if batch_id % compact_every == compact_every - 1:
+                everything = state_before(batch.sparkSession, state, batch_id + 1)
+                write_compacted(latest_per(everything, keys, ts), state, batch_id)
+                drop_state(batch.sparkSession, state, batch_id)
         finally:
             rows.unpersist()
 

@@ -10,7 +10,7 @@ from statledger.operators.counters import counter_delta, counter_step
 from statledger.streaming.alerts import stream_alerts
 from statledger.streaming.deltas import stream_deltas
 from statledger.streaming.ingest import ingest, open_landed
-from statledger.streaming.tables import drop_versions, newest_before, read_batches, write_batch
+from statledger.streaming.tables import drop_state, read_batches, state_before, write_batch, write_compacted
 from statledger.streaming.volumes import windowed_volume
 
 SCHEMA = "k STRING, at TIMESTAMP_NTZ, x BIGINT"
@@ -55,15 +55,41 @@ def test_late_rows_are_reported_and_leave_the_state_alone(spark):
 
 def test_replayed_batch_reads_the_state_before_it(spark, tmp_path):
     path = str(tmp_path / "last")
+
+    def rows(value):
+        return spark.createDataFrame([(value,)], "v INT")
+
     for batch, value in ((0, 1), (1, 2), (3, 4)):
-        write_batch(spark.createDataFrame([(value,)], "v INT"), path, batch)
-    assert newest_before(spark, path, 0) is None
-    assert newest_before(spark, path, 3).first()["v"] == 2
-    assert newest_before(spark, path, 9).first()["v"] == 4
-    write_batch(spark.createDataFrame([(8,)], "v INT"), path, 3)
+        write_batch(rows(value), path, batch)
+    assert state_before(spark, path, 0) is None
+    assert tuples(state_before(spark, path, 3)) == [(1,), (2,)]
+    write_batch(rows(8), path, 3)
     assert tuples(read_batches(spark, path)) == [(1,), (2,), (8,)]
-    drop_versions(spark, path, 3, keep=2)
-    assert tuples(read_batches(spark, path)) == [(2,), (8,)]
+    write_compacted(rows(11), path, 3)
+    write_batch(rows(5), path, 4)
+    assert tuples(state_before(spark, path, 3)) == [(1,), (2,)]  # the compaction holds batch 3 as well
+    assert tuples(state_before(spark, path, 9)) == [(11,), (5,)]
+    drop_state(spark, path, 4)
+    assert tuples(state_before(spark, path, 3)) == [(1,), (2,)]  # one compaction alone drops nothing
+    write_compacted(rows(16), path, 4)
+    drop_state(spark, path, 4)
+    assert state_before(spark, path, 3) is None and tuples(state_before(spark, path, 5)) == [(16,)]
+
+
+def test_a_batch_writes_the_state_of_its_own_keys(spark, tmp_path):
+    root, source = str(tmp_path / "run"), str(tmp_path / "in")
+    first = [(k, datetime(2024, 1, 1), i) for i, k in enumerate("abcd")] + [(None, datetime(2024, 1, 1), 7)]
+    later = [[("b", datetime(2024, 1, 1, n), 10 * n)] for n in (1, 2)] + [[(None, datetime(2024, 1, 1, 3), 9)]]
+    for rows in (first, *later):
+        land(spark, source, rows, 1)
+        stream = open_landed(spark, source, spark.createDataFrame(first, SCHEMA).schema)
+        stream_deltas(stream, ["k"], "at", ["x"], root=root, compact_every=3).awaitTermination()
+    state = [spark.read.parquet(f"{root}/last/batch={n}") for n in range(4)]
+    assert [part.count() for part in state] == [5, 1, 1, 1]
+    assert tuples(state[2], "k", "x") == [("b", 20)]
+    assert tuples(spark.read.parquet(f"{root}/last/compacted=2"), "k", "x") == [("a", 0), ("b", 20), ("c", 2), ("d", 3), (None, 7)]
+    deltas = read_batches(spark, f"{root}/deltas").filter("k = 'b' OR k IS NULL")
+    assert tuples(deltas, "k", "x", "x_delta") == [("b", 1, 1), ("b", 10, 9), ("b", 20, 10), (None, 7, 7), (None, 9, 2)]
 
 
 def test_windows_equal_batch_once_final(spark, tmp_path):
