@@ -53,6 +53,33 @@ def lookup_join(
     return out.select(*every.columns, *rest_columns)
 
 
+CELL_DAYS = 28
+
+
+def _cell(ts, days: int):
+    """Number of the stretch of ``days`` days that holds a time."""
+    return F.floor(F.unix_date(F.col(ts).cast("date")) / days)
+
+
+def span_join(
+    facts: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, low: str, high: str, *, cell_days: int = CELL_DAYS
+) -> DataFrame:
+    """Facts with the columns of each span of their key that holds their time: ``low <= at < high``.
+
+    Both sides are joined by key and cell of time: a fact lies in one cell, a span is repeated for each cell it
+    touches, and the exact limits are part of the join. So a fact meets only the spans of its own time, a key's facts are
+    spread over its cells, and Spark may split what is still uneven. Facts or spans without a key, time or limit match nothing.
+    """
+    cells = spans.filter(F.col(low) < F.col(high)).withColumn(
+        "__cell", F.explode(F.sequence(_cell(low, cell_days), _cell(high, cell_days)))
+    ).alias("s")
+    placed = facts.withColumn("__cell", _cell(at, cell_days)).alias("f")
+    same = reduce(lambda a, b: a & b, (F.col(f"f.`{k}`") == F.col(f"s.`{k}`") for k in [*keys, "__cell"]))
+    within = (F.col(f"f.`{at}`") >= F.col(f"s.`{low}`")) & (F.col(f"f.`{at}`") < F.col(f"s.`{high}`"))
+    extra = [F.col(f"s.`{c}`") for c in spans.columns if c not in keys]
+    return placed.join(cells, same & within).select(*[F.col(f"f.`{c}`") for c in facts.columns], *extra)
+
+
 NAMES = "UTF8_LCASE_RTRIM"
 
 

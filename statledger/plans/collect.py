@@ -21,7 +21,7 @@ from ..functions.timeparts import (
     add_seconds, boundary_diff, date_key, days_before, packed_datetime, packed_seconds, tick_time, ts_lit,
 )
 from ..operators.counters import counter_delta, counter_ratio, counter_step, per_minute, pivot_counters
-from ..operators.joins import lookup_join, update_from
+from ..operators.joins import span_join, update_from
 from ..operators.ordered import HOT_ROWS, top_k, top_k_per, with_previous
 from ..operators.rollup import USAGE_TOTALS, usage_totals, with_shares
 from ..operators.timewindow import PARTITION, drop_where, recent
@@ -381,15 +381,14 @@ def file_io_step(
     return _io_rows(deltas.filter(~F.col("late")), keys), newest
 
 
-def file_io_continue(
-    snapshot: DataFrame, stored: DataFrame, *, keys: Sequence[str] = IO_KEYS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def file_io_continue(snapshot: DataFrame, stored: DataFrame, *, keys: Sequence[str] = IO_KEYS) -> DataFrame:
     """Interval I/O of one new snapshot, given stored intervals only.
 
     What a file has counted since the restart is the sum of its intervals that
     began after it; the new interval is the rest. A file without such intervals
     counts from the restart. ``snapshot`` holds one row per file. The oldest of its restarts
-    (one value) bounds what is read of ``stored``, its day partitions too.
+    (one value) bounds what is read of ``stored``, its day partitions too; within that, a file meets its own
+    intervals since its own restart only.
     """
     keys = list(keys)
     oldest = snapshot.agg(F.min("TimeStamp").cast("timestamp_ntz").cast("string")).first()[0]
@@ -399,8 +398,8 @@ def file_io_continue(
             stored = stored.filter(F.col(PARTITION).isNull() | (F.col(PARTITION) >= F.lit(oldest[:10]).cast("date")))
     spans = snapshot.select(*keys, F.col("TimeStamp").alias("__epoch"), F.col("report_date_time_end").alias("__end"))
     history = stored.select(*keys, *IO_COUNTERS, "report_date_time_start", "report_date_time_end")
-    since = lookup_join(history, spans, keys, hot_rows=hot_rows).filter(
-        (F.col("report_date_time_start") >= F.col("__epoch")) & (F.col("report_date_time_end") < F.col("__end"))
+    since = span_join(history, spans, keys, "report_date_time_start", "__epoch", "__end").filter(
+        F.col("report_date_time_end") < F.col("__end")
     )
     counted = since.groupBy(*keys).agg(
         *[F.sum(c).alias(f"__sum_{c}") for c in IO_COUNTERS], F.max("report_date_time_end").alias("__last_end")

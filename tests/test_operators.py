@@ -81,6 +81,27 @@ def test_hot_key_with_one_timestamp(spark):
     assert {r["id"]: r["p"] for r in got.collect()} == {i: (i - 1 if i else None) for i in range(50)}
 
 
+@pytest.mark.parametrize("cell_days", [1, 5, 400])
+def test_span_join_equals_a_plain_range_join(spark, cell_days):
+    rng, start = random.Random(7), datetime(2023, 12, 20)
+
+    def when():
+        return None if rng.random() < 0.05 else start + timedelta(hours=rng.randrange(24 * 60))
+
+    facts = [(rng.choice(["hot", "hot", "a", None]), when(), i) for i in range(300)]
+    spans = [(rng.choice(["hot", "a", "b", None]), when(), when(), i) for i in range(40)] + [("a", start, start, 99)]
+    want = sorted(
+        (f[2], s[3]) for f in facts for s in spans
+        if None not in (f[0], f[1], s[1], s[2]) and f[0] == s[0] and s[1] <= f[1] < s[2]
+    )
+    f = spark.createDataFrame(facts, "k STRING, at TIMESTAMP_NTZ, i INT")
+    s = spark.createDataFrame(spans, "k STRING, low TIMESTAMP_NTZ, high TIMESTAMP_NTZ, j INT")
+    got = joins.span_join(f, s, ["k"], "at", "low", "high", cell_days=cell_days)
+    assert got.columns == ["k", "at", "i", "low", "high", "j"]
+    assert sorted((r["i"], r["j"]) for r in got.collect()) == want and want
+    assert joins.span_join(f.limit(0), s, ["k"], "at", "low", "high").count() == 0
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("weight", [None, "n"])
 def test_lookup_join_equals_a_plain_join(spark, how, weight):
