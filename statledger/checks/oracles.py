@@ -717,6 +717,7 @@ _BODY: dict[str, tuple[str, list[str]]] = {
 for _same, _as in {
     "stream_alerts_joined": "stream_alerts", "cpu_records_of_files": "cpu_samples", "previous_event_hot_keys": "previous_event", "delivery_rate_hot_keys": "delivery_rate",
     "alert_detail_of_flagged": "alert_detail", "alert_run": "alert_detail", "orders_with_customer_hot_keys": "orders_with_customer", "job_outliers_hot_keys": "job_outliers",
+    "tables_with_statistics_co_located": "tables_with_statistics",
 }.items():
     _BODY[_same] = _BODY[_as]
 

@@ -42,3 +42,18 @@ def test_without_hot_keys_one_window_remains(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Window [") == 1 and "Union" not in final
+
+
+def test_intervals_meet_their_restart_in_the_join_itself(spark):
+    plan = plan_of(spark, "file_io_continue")
+    join = next(line for line in plan.splitlines() if "Join" in line and "__cell" in line)
+    assert re.search(r"report_date_time_start#\d+ >= __epoch", join) and re.search(r"report_date_time_end#\d+ < __end", join)
+
+
+def test_co_located_tables_join_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(spark, "tables_with_statistics_co_located")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and plan.count("Bucketed: true") == 3
