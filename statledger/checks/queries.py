@@ -489,7 +489,11 @@ def rebuild_commands(t):
 
 @query
 def rebuild_worklist(t):
-    return rollup.joined_text(_commands(t), ["DBName", "TableName"], "Command", "Worklist")
+    work = worklists.rebuild_work(
+        r.table_usage(t), r.table_rows(t), r.statistics(t), r.fragmentation(t), r.free_space(t), r.index_usage(t), SALES_AT
+    )
+    commands = worklists.commands_of(work, 100_000, 3_000_000)
+    return rollup.joined_text(commands, ["DBName", "TableName"], "Command", "Worklist")
 
 
 @r.once

@@ -292,14 +292,21 @@ def tables_with_statistics(
     scope: Scope = (),
 ) -> DataFrame:
     """Recent table usage, row counts and statistics, for tables that have all three."""
+    used = tables_with_row_count(table_usage, table_rows, as_of, days=days, latest=latest, scope=scope)
+    return with_statistics(used, statistics, as_of, days=days, latest=latest, scope=scope)
+
+
+def with_statistics(
+    sized: DataFrame, statistics: DataFrame, as_of, *, days=WEEK, latest: bool = False, scope: Scope = ()
+) -> DataFrame:
+    """Rows of :func:`tables_with_row_count` with the recent statistics of their tables."""
     keys = [*scope, "DBName", "TableName"]
     stats = _by_table(recent(statistics, "Date", days, as_of), "DB_Name", "Table_Name").select(
         *keys, F.col("Index_Name").alias("IndexName"), "LastUpdateDate", "rowmodctr", F.col("Date").alias("__stats_date")
     )
     if latest:
         stats = latest_per(stats, [*keys, "IndexName"], "__stats_date")
-    used = tables_with_row_count(table_usage, table_rows, as_of, days=days, latest=latest, scope=scope)
-    return used.join(stats.drop("__stats_date"), keys).select(
+    return sized.join(stats.drop("__stats_date"), keys).select(
         *keys, "RowCount", "IndexName", "LastUpdateDate", "rowmodctr", "TotalAccesses", "TotalReads", "ReadScans", "Date"
     )
 
@@ -309,7 +316,15 @@ def stale_statistics(
     n=1000, latest: bool = False, scope: Scope = (),
 ) -> DataFrame:
     """The ``n`` smallest large, busy tables with old and heavily modified statistics, with the command to run."""
-    candidates = tables_with_statistics(table_usage, table_rows, statistics, as_of, latest=latest, scope=scope).filter(
+    joined = tables_with_statistics(table_usage, table_rows, statistics, as_of, latest=latest, scope=scope)
+    return stale_of(joined, as_of, threshold=threshold, age_days=age_days, n=n, scope=scope)
+
+
+def stale_of(
+    joined: DataFrame, as_of, *, threshold=100_000, age_days=7, n=1000, scope: Scope = ()
+) -> DataFrame:
+    """:func:`stale_statistics` from rows of :func:`with_statistics`."""
+    candidates = joined.filter(
         F.col("IndexName").isNotNull()
         & (F.col("RowCount") > threshold)
         & (F.col("TotalAccesses") > threshold)

@@ -151,19 +151,10 @@ def run_recommend(
         return history(spark, root, table, as_of, extra=extra)
 
     used, rows, stats = stored("table_usage"), stored("table_rows"), stored("statistics")
-    spacious = reports.indexes_with_free_space(stored("index_free_space"), used, rows, as_of, scope=extra)
-    tables = worklists.table_candidates(
-        reports.tables_with_row_count(used, rows, as_of, scope=extra),
-        reports.stale_statistics(used, rows, stats, as_of, scope=extra),
-        reports.fragmented_top_tables(stored("fragmentation"), used, as_of, scope=extra),
-        spacious, as_of, scope=extra,
-    )
-    indexes = worklists.index_candidates(stored("index_usage"), spacious, as_of, scope=extra)
-    tables = worklists.enrich_candidates(tables, used, rows, as_of, scope=extra)
-    indexes = worklists.enrich_candidates(indexes, used, rows, as_of, scope=extra)
-    rebuilds = worklists.rebuild_commands(
-        tables, indexes, max_rows, max_index_rows, online=online, maxdop=maxdop, scope=extra
+    work = worklists.rebuild_work(
+        used, rows, stats, stored("fragmentation"), stored("index_free_space"), stored("index_usage"), as_of, scope=extra
     )
+    rebuilds = worklists.commands_of(work, max_rows, max_index_rows, online=online, maxdop=maxdop, scope=extra)
     current = timewindow.recent(stats, "Date", reports.WEEK, as_of)
     modified = worklists.modified_percent(rows, current, used, as_of, scope=extra)
     return rebuilds, worklists.stats_worklist(modified, percent_modified, stats_max_rows, min_modified, scope=extra)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import int_div
@@ -12,6 +13,8 @@ from ..functions.text import not_prefixed, optimize_command, rebuild_index_maxdo
 from ..operators.joins import update_from
 from ..operators.ordered import top_k
 from ..operators.timewindow import recent
+from ..sources.scratch import stored
+from . import reports
 from .reports import WEEK
 
 Scope = Sequence[str]
@@ -38,14 +41,19 @@ def table_candidates(
 def index_candidates(index_usage: DataFrame, spacious: DataFrame, as_of, *, n: int = 50, scope: Scope = ()) -> DataFrame:
     """Indexes that may need work: the ``n`` most used and those with free space."""
     keys = [*scope, "DBName", "TableName", "IndexName"]
+    loose = recent(spacious, "Date", WEEK, as_of).select(*keys).distinct()
+    return busiest_indexes(index_usage, as_of, n=n, scope=scope).union(loose).distinct()
+
+
+def busiest_indexes(index_usage: DataFrame, as_of, *, n: int = 50, scope: Scope = ()) -> DataFrame:
+    """Names of the ``n`` most used indexes of the week."""
+    keys = [*scope, "DBName", "TableName", "IndexName"]
     usage = recent(index_usage, "Date", WEEK, as_of).select(
         *scope, F.col("DB_Name").alias("DBName"), F.col("Table_Name").alias("TableName"),
         F.col("Index_Name").alias("IndexName"), "Date",
         (F.col("user_seeks") + F.col("user_scans") + F.col("user_lookups") + F.col("user_updates")).alias("__use"),
     )
-    busiest = top_k(usage, n, [F.desc("__use"), *keys, "Date"])
-    loose = recent(spacious, "Date", WEEK, as_of).select(*keys).distinct()
-    return busiest.select(*keys).union(loose).distinct()
+    return top_k(usage, n, [F.desc("__use"), *keys, "Date"]).select(*keys)
 
 
 def enrich_candidates(
@@ -95,6 +103,59 @@ def rebuild_commands(
     return per_table.union(per_index).filter(F.col("Command").isNotNull()).distinct()
 
 
+def rebuild_work(
+    table_usage: DataFrame, table_rows: DataFrame, statistics: DataFrame, fragmentation: DataFrame, free_space: DataFrame,
+    index_usage: DataFrame, as_of, *, n: int = 100, n_indexes: int = 50, scope: Scope = (),
+) -> DataFrame:
+    """All candidates in one frame: tables and indexes (``level`` tells which) with the row count of the newest snapshot of the week.
+
+    Each history table is read once. The week's usage and row counts, and their join, are stored in the shared
+    folder, as several rankings start from them.
+    """
+    keys = [*scope, "DBName", "TableName"]
+    used = stored(recent(table_usage, "Date", WEEK, as_of), "week_of_usage")
+    rows = stored(recent(table_rows, "Date", WEEK, as_of), "week_of_rows")
+    sized = stored(reports.tables_with_row_count(used, rows, as_of, scope=scope), "sized_tables")
+    stale = reports.stale_of(reports.with_statistics(sized, statistics, as_of, scope=scope), as_of, scope=scope)
+    broken = reports.fragmented_top_tables(fragmentation, used, as_of, scope=scope)
+    spacious = reports.indexes_with_free_space(free_space, used, rows, as_of, scope=scope)
+    loose = recent(spacious, "Date", WEEK, as_of).select(*keys, "IndexName").distinct()
+
+    def item(level: str, index) -> Column:
+        return F.struct(F.lit(level).alias("level"), index.cast("string").alias("IndexName"))
+
+    none = F.lit(None)
+    tie = [*keys, "RowCount", "Date"]
+    parts = [
+        loose.select(*keys, F.explode(F.array(item("table", none), item("index", F.col("IndexName")))).alias("__item")),
+        *[
+            part.select(*keys, item("table", none).alias("__item"))
+            for part in (broken, stale, *(top_k(sized, n, [F.desc(c), *tie]) for c in ("TotalReads", "ReadScans")))
+        ],
+        busiest_indexes(index_usage, as_of, n=n_indexes, scope=scope).select(*keys, item("index", F.col("IndexName")).alias("__item")),
+    ]
+    listed = reduce(DataFrame.union, parts).select(*keys, "__item.*").distinct()
+    sizes = rows.withColumnsRenamed({"DatabaseName": "DBName", "RowCount": "RecordCount"})
+    return update_from(listed, sizes, keys, ["RecordCount"], newest_by="Date")
+
+
+def commands_of(
+    work: DataFrame, max_rows: int, max_index_rows: int, *, online: bool = True, maxdop: int = 2, scope: Scope = ()
+) -> DataFrame:
+    """The commands of :func:`rebuild_commands` from the candidates of :func:`rebuild_work`, without joining them to themselves."""
+    keys = [*scope, "DBName", "TableName"]
+    whole = F.col("level") == "table"
+    stays = whole & ((F.col("RecordCount") <= max_rows) | F.col("RecordCount").isNull())
+    held = F.max(F.coalesce(stays, F.lit(False))).over(Window.partitionBy(*keys))
+    wanted = F.when(whole, F.col("RecordCount") < max_rows).otherwise(~F.col("__held") & (F.col("RecordCount") < max_index_rows))
+    options = {"online": online, "maxdop": maxdop}
+    command = F.when(whole, optimize_command("DBName", "TableName", **options)).otherwise(
+        optimize_command("DBName", "TableName", "IndexName", **options)
+    )
+    chosen = work.withColumn("__held", held).filter(wanted)
+    return chosen.select(*keys, "level", command.alias("Command")).filter(F.col("Command").isNotNull()).distinct()
+
+
 def modified_percent(
     table_rows: DataFrame, statistics: DataFrame, table_usage: DataFrame, as_of, *, scope: Scope = ()
 ) -> DataFrame:

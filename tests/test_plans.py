@@ -57,3 +57,11 @@ def test_co_located_tables_join_without_a_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and plan.count("Bucketed: true") == 3
+
+
+def test_rebuild_worklist_reads_each_source_once(spark):
+    df = QUERIES["rebuild_worklist"](spark, FOLDER)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    from_sources = re.findall(r"Location: InMemoryFileIndex\(\d+ paths?\)\[file:/root/testdata", final)
+    assert len(from_sources) <= 4  # usage and row counts of the week, one scan each, are stored before

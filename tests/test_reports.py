@@ -4,6 +4,7 @@ from decimal import Decimal as D
 
 import pytest
 from frames import ts, tuples
+from pyspark.sql import functions as F
 
 from statledger.plans import alerts, collect, parameters, reports, worklists
 from statledger.sources.schemas import conform, schema
@@ -215,6 +216,11 @@ def test_size_cut_sends_large_tables_to_index_work(spark):
     assert tuples(single, "TableName") == [("extra",), ("large",)]
     commands = worklists.rebuild_commands(tables, indexes, 100, 1_000)
     assert tuples(commands, "TableName", "level") == [("extra", "index"), ("large", "index"), ("small", "table")]
+    work = tables.withColumn("level", F.lit("table")).unionByName(indexes.withColumn("level", F.lit("index")), allowMissingColumns=True)
+    assert tuples(worklists.commands_of(work, 100, 1_000)) == tuples(commands)
+    nameless = spark.createDataFrame([("d", None, None, 5, "table"), (None, "t", "i", 5, "index")], work.select("DBName", "TableName", "IndexName", "RecordCount", "level").schema)
+    assert worklists.commands_of(nameless, 100, 1_000).count() == 0
+    assert worklists.commands_of(work.limit(0), 100, 1_000).count() == 0
 
 
 def test_statistics_worklist(spark):
