@@ -123,7 +123,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _searching(norm: float, k: int, factor: float):
+def scale_of(size: int, square: float, largest: float) -> tuple[int, float]:
+    """Power of two that vectors are divided by, and a bound of their norms after that."""
+    if 1e-200 < square < 1e300:
+        return 0, float(np.sqrt(square))
+    power = int(np.frexp(largest)[1])
+    return power, float(np.sqrt(size) * np.ldexp(largest, -power))
+
+
+def _searching(norm: float, power: int, k: int, factor: float):
     """Rows of a shard come first (``ask`` false), then its queries."""
 
     def run(batches):
@@ -137,7 +145,7 @@ def _searching(norm: float, k: int, factor: float):
 
         for batch in batches:
             shards, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            numbers, matrix = batch.column(2).to_numpy(), _matrix(batch.column(3))
+            numbers, matrix = batch.column(2).to_numpy(), np.ldexp(_matrix(batch.column(3)), -power)
             cuts = np.flatnonzero((shards[1:] != shards[:-1]) | (asks[1:] != asks[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shards)], strict=True):
                 if shards[a] != shard:
@@ -165,7 +173,8 @@ def nearest(rows: DataFrame, every: int = 20, k: int = K, factor: float = FACTOR
     """query_id, rank, vec_id and score of the ``k`` nearest rows of each row whose vec_id is divisible by ``every``."""
     vectors = usable(rows)
     sizes = vectors.groupBy(F.size("vector").alias("size")).agg(
-        F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("square"))
+        F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
+        F.max(F.array_max(F.transform("vector", F.abs))).alias("largest"))
     main = sizes.orderBy(F.desc("n"), F.desc("size")).first()
     if main is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -177,7 +186,12 @@ def nearest(rows: DataFrame, every: int = 20, k: int = K, factor: float = FACTOR
     asked = vectors.where(F.col("vec_id") % every == 0).select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(True).alias("ask"), "vec_id", "vector")
     parted = held.union(asked).repartition(F.col("shard")).sortWithinPartitions("shard", "ask", "vec_id")
-    found = parted.mapInArrow(_searching(float(np.sqrt(main["square"])), k, factor), "query_id long, vec_id long, score double")
+    power, norm = scale_of(main["size"], main["square"], main["largest"])
+    found = parted.mapInArrow(_searching(norm, power, k, factor), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = best.withColumn("rank", rank).where(F.col("rank") <= k)
+    steps = [power] if abs(power) < 1000 else [power // 2, power - power // 2]  # each a double of its own
+    for step in 2 * steps:
+        ranked = ranked.withColumn("score", F.col("score") * F.lit(2.0**step))
+    return ranked.select("query_id", "rank", "vec_id", "score")

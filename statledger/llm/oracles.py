@@ -14,7 +14,8 @@ NEAREST = """
 WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
 u AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM u q JOIN u c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+b AS (SELECT query_id, vec_id, max(score) AS score FROM s GROUP BY query_id, vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM b)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
