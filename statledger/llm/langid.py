@@ -6,8 +6,10 @@ a language; a document's probabilities are the means over its bytes. Texts are w
 run side by side; both layers begin anew in each segment. Training is backpropagation through time with Adam steps over
 segments whose bytes all carry their document's language.
 
-Sample. At most ``LEARN_ROWS`` documents, those with the smallest hash of doc_id, and of each at most ``LEARN_SEGMENTS`` segments, spread
-evenly over its text. It bounds the single training task. Every document is labelled, whole.
+Sample. Of the documents that can teach, the ``LEARN_ROWS`` with the smallest hash of doc_id, and the ``LEARN_LEAST`` with the smallest
+hash of each language, so that a rare language stays however large the table grows. Of each document at most ``LEARN_SEGMENTS`` segments of
+``LEARN_BYTES`` bytes, spread evenly over its text. It bounds the single training task. Every document is labelled, whole, in
+segments of ``SEGMENT`` bytes; a text of any length is worked on in batches of them. An empty table gives no rows.
 
 Defined results. A null text, or one without a letter, is ``und`` with score 0. Documents with a null lang, id or text and texts without a letter teach nothing. With no
 language to learn all are ``und``. Ties go to the language first by name. Repeated rows are labelled each. Documents with a null id
@@ -20,13 +22,13 @@ import io
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import small_batches
 from .words import slices
 
-LEARN_ROWS, LEARN_SEGMENTS, LEARN_BYTES = 3000, 3, 48
+LEARN_ROWS, LEARN_LEAST, LEARN_SEGMENTS, LEARN_BYTES = 3000, 50, 3, 48
 HIDDEN, SEGMENT, EPOCHS, BATCH, RATE = 8, 128, 5, 256, 0.02
 WIDE = 2048  # segments that run side by side
 _f = np.float32
@@ -219,14 +221,24 @@ def _has_letter():
     return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
+def teachers(docs: DataFrame, rows: int | None = None, least: int | None = None) -> DataFrame:
+    """doc_id of the documents in the sample: the first ``rows`` by hash, and the first ``least`` of each language."""
+    rows, least = LEARN_ROWS if rows is None else rows, LEARN_LEAST if least is None else least
+    ids = docs.select("doc_id", "lang").distinct()
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    first = ids.select("doc_id").distinct().orderBy(*order).limit(rows)
+    # tasks keep ``least`` ids of a language before the shuffle
+    each = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= least)
+    return first.union(each.select("doc_id")).distinct()
+
+
 def fit(docs: DataFrame) -> tuple[list[str], bytes] | None:
     """Languages and weights, learned in one task from the bounded sample."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
-        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN_ROWS)
-    # at most LEARN_ROWS ids are sent to the executors
-    taught = docs.join(F.broadcast(chosen), "doc_id", "left_semi").where(_has_letter()).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out()).where(_has_letter())
+    # at most LEARN_ROWS ids, and LEARN_LEAST a language, are sent to the executors
+    taught = docs.join(F.broadcast(teachers(docs)), "doc_id", "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     segments = taught.select("lang", "text").mapInArrow(_excerpts, "lang string, codes binary")
     model = segments.groupBy(F.lit("all")).applyInArrow(_trained, "langs array<string>, weights binary").collect()
     return (list(model[0]["langs"]), bytes(model[0]["weights"])) if model else None
