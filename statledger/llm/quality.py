@@ -6,8 +6,9 @@ so all pairs of equal words share a vector. A document is the mean of its featur
 class. Vectors and layer are learned together by stochastic gradient descent over a bounded sample of labelled
 documents. For scoring, vectors and layer are multiplied out to one number a bucket, which gives the same scores.
 
-Sample. At most ``LEARN_ROWS`` labelled documents, those with the smallest hash of doc_id, with their whole texts. It bounds
-the single training task (features of about 20 KB a document). Every document is scored, whole.
+Sample. At most ``LEARN_ROWS`` labelled documents, those with the smallest hash of doc_id, with their whole texts; a document is taken
+while the texts before it hold less than ``LEARN_BYTES`` bytes. Both bound the single training task (features take some 20 bytes for
+each byte of text). Every document is scored, whole, whatever its length. An empty table gives no rows.
 
 Defined results. Labels other than 0 and 1, null ids and labels without a document teach nothing; of contradicting
 labels of a doc_id the smaller counts; of repeated doc_ids each row is scored, and one text teaches. Empty and null texts get the score of the bias
@@ -19,12 +20,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import small_batches, tidied
 from .words import hashes, mix, slices
 
+LEARN_BYTES = 32 << 20
 LEARN_ROWS, SIZE, EPOCHS, RATE, CUT = 3000, 8, 12, 8.0, 0.7
 BITS = 16
 BUCKETS, GRAMS = 1 << BITS, (3, 4)
@@ -154,6 +156,13 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.expr(f"crc32(CAST(CAST({doc_id} AS STRING) AS BINARY)) % 4 = 2"), F.lit(False))
 
 
+def within_bytes(taught: DataFrame, most: int) -> DataFrame:
+    """doc_id of the documents before which, in order of hash, lie less than ``most`` bytes of text; at most LEARN_ROWS rows come in."""
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = taught.select("doc_id", F.octet_length("text").cast("long").alias("size"))
+    return sizes.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).where(F.col("before") < most).select("doc_id")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
     """Weights a bucket and bias, learned in one task from the bounded sample."""
     small_batches(docs.sparkSession)
@@ -163,6 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # at most LEARN_ROWS pairs of numbers are sent to the executors
     taught = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    taught = taught.join(F.broadcast(within_bytes(taught, LEARN_BYTES)), "doc_id", "left_semi")
     bags = taught.select("label", "text").mapInArrow(_bags, "label int, buckets binary, shares binary")
     model = bags.groupBy(F.lit("all")).applyInArrow(_trained, _MODEL).collect()
     return (bytes(model[0]["weights"]), model[0]["bias"]) if model else (np.zeros(KINDS * BUCKETS, np.float32).tobytes(), 0.0)

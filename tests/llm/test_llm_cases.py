@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 
 from statledger.llm import ann, bpe, chat, decontam, graph, jaccard, langid, pii, quality, urls, warc, words
 
@@ -104,6 +105,21 @@ def test_bpe_cases(spark, monkeypatch, encoder):
 # nearest vectors
 
 
+@pytest.mark.parametrize("power", [530, -560, 1000])
+def test_neighbours_of_vectors_whose_squares_leave_the_range(spark, power):
+    rng = np.random.default_rng(3)
+    small = rng.normal(size=(600, 4)).clip(-7, 7)
+    frame = spark.createDataFrame([(i, [float(x) for x in np.ldexp(v, power)]) for i, v in enumerate(small)], "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in ann.nearest(frame, every=20, k=20).orderBy("query_id", "rank").collect()]
+    assert len(found) == 600
+    products = small[::20] @ small.T
+    for i in range(30):
+        products[i, 20 * i] = -np.inf
+        assert [r[2] for r in found[20 * i : 20 * i + 20]] == list(np.argsort(-products[i], kind="stable")[:20])
+    with np.errstate(over="ignore", under="ignore"):
+        assert np.allclose([r[3] for r in found], [np.ldexp(small[q] @ small[v], 2 * power) for q, _, v, _ in found])
+
+
 def _nearest(vectors, every, k):
     found = []
     for q, x in vectors:
@@ -533,3 +549,18 @@ def test_archives_are_verified():
         bad = warc.zlib.compressobj(6, warc.zlib.DEFLATED, 31)
         raw = warc.zlib.decompress(warc.record(1, "u", b"payload", None), 31).replace(b"payload\r\n\r\n", b"PAYLOAD\r\n\r\n")
         list(warc.records(io.BytesIO(bad.compress(raw) + bad.flush()).read))
+
+
+def test_a_rare_language_keeps_its_teachers(spark):
+    frame = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 1000 == 7, "rare").otherwise("common").alias("lang"))
+    ids = {r[0] for r in langid.teachers(frame, rows=100, least=3).collect()}
+    assert len([i for i in ids if i % 1000 == 7]) >= 3 and 100 <= len(ids) <= 106
+    assert langid.teachers(frame.limit(0)).count() == 0
+
+
+def test_the_quality_sample_is_bounded_by_bytes(spark):
+    frame = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("\u00e9"), 50).alias("text"))
+    order = [r[0] for r in frame.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").collect()]
+    for most, taken in ((1, 1), (100, 1), (101, 2), (1000, 10), (10**6, 50)):
+        assert sorted(r[0] for r in quality.within_bytes(frame, most).collect()) == sorted(order[:taken])
+    assert quality.within_bytes(frame.limit(0), 10).count() == 0
