@@ -29,6 +29,7 @@ from .shared import small_batches
 from .words import slices
 
 LEARN_ROWS, LEARN_LEAST, LEARN_SEGMENTS, LEARN_BYTES = 3000, 50, 3, 48
+PARTS = 32
 HIDDEN, SEGMENT, EPOCHS, BATCH, RATE = 8, 128, 5, 256, 0.02
 WIDE = 2048  # segments that run side by side
 _f = np.float32
@@ -227,8 +228,10 @@ def teachers(docs: DataFrame, rows: int | None = None, least: int | None = None)
     ids = docs.select("doc_id", "lang").distinct()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     first = ids.select("doc_id").distinct().orderBy(*order).limit(rows)
-    # tasks keep ``least`` ids of a language before the shuffle
-    each = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= least)
+    each = ids.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):  # a language's ids are cut in PARTS tasks, so that one task gets PARTS * least of them
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        each = each.withColumn("n", place).where(F.col("n") <= least)
     return first.union(each.select("doc_id")).distinct()
 
 
