@@ -213,6 +213,9 @@ CTE = {
         TIMESTAMP '2024-01-01 08:00:00' AS login_time FROM customer WHERE c_acctbal > 0) s ON s.c_custkey = user_id""",
 }
 
+CTE["current_stats"] = f"""SELECT * FROM stats WHERE {_window('"Date"', SA)}"""
+CTE["current_modified"] = CTE["modified"].replace("FROM stats s", "FROM current_stats s")
+CTE["current_refresh"] = CTE["refresh"].replace("FROM modified", "FROM current_modified")
 CTE["fleet"] = "SELECT jobs.*, r_name AS server_name FROM jobs JOIN region ON owner = 'owner_' || r_regionkey"
 
 _NEEDS = {
@@ -221,7 +224,8 @@ _NEEDS = {
     "spacious": ["space", "sized"], "plans": ["objs"], "slow": ["recent", "limits"], "flagged": ["slow"],
     "tcand": ["spacious", "fragtop", "stale", "sized"], "icand": ["usage", "spacious"], "newest": ["sizes"],
     "tcut": ["tcand", "newest"], "commands": ["tcut", "icand"], "modified": ["stats", "sizes", "used"],
-    "refresh": ["modified"],
+    "refresh": ["modified"], "current_stats": ["stats"], "current_modified": ["current_stats", "sizes", "used"],
+    "current_refresh": ["current_modified"],
 }
 
 
@@ -273,6 +277,12 @@ MEMORY_FALSE = [
     "System_High_Memory_Signal_State", "System_Low_Memory_Signal_State", "Process_Physical_Memory_Low",
     "Process_Virtual_Memory_Low",
 ]
+MEMORY_BYTES = {
+    "Total_Physical_Memory_KB": ("signup", "CAST(floor(value * 100) AS BIGINT) * 1000 // 8192"),
+    "Total_Virtual_Memory_KB": ("click", "CAST(floor(value * 100) AS BIGINT) * 1000 // 8192"),
+    "Mem_Needed_KB_Per_Current_Workload": ("view", "CAST(floor(value * 100) AS BIGINT) * 1000"),
+    "Lazy_Writes_Per_Sec": ("error", "CAST(floor(value * 100) AS BIGINT) * 1000"),
+}
 _SERVER_DAY = "'server_' || (user_id % 5) AS server_name, strftime(ts, '%Y-%m-%d') AS day"
 
 
@@ -467,6 +477,9 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         SELECT d.*, d.n * d.n % 1000003 - coalesce((SELECT CAST(sum(e.sr) AS BIGINT) FROM io_delta e WHERE e.user_id = d.user_id
         AND e.wk = d.wk AND e.ts < d.ts), 0) AS s1 FROM io_delta d
         QUALIFY row_number() OVER (PARTITION BY d.user_id ORDER BY d.ts DESC) = 1)""", ["io_delta"]),
+    "batch_snapshot": (
+        f"""SELECT 'SQLServer:SQL Statistics' AS object_name, 'Batch Requests/sec ' || user_id AS counter_name,
+        event_id * 13 % 5000 AS cntr_value, {EV} AS "Date" FROM events""", []),
     "batch_delta": (
         """SELECT 'SQLServer:SQL Statistics' AS object_name, 'Batch Requests/sec ' || user_id AS counter_name, c AS cntr_value,
         ts AS "Date", CAST(s AS INTEGER) AS seconds, r AS requests FROM batch""", ["batch"]),
@@ -487,6 +500,11 @@ _BODY: dict[str, tuple[str, list[str]]] = {
         coalesce(max(CAST(floor(value * 100) AS BIGINT)) FILTER (event_type = 'view'), 0) AS "Mem_Needed_KB_Per_Current_Workload",
         coalesce(max(CAST(floor(value * 100) AS BIGINT)) FILTER (event_type = 'error'), 0) AS "Lazy_Writes_Per_Sec",
         {EV} AS "Date" FROM events GROUP BY 1, 2""", []),
+    "memory_snapshot_in_bytes": (
+        f"""SELECT {_SERVER_DAY}, {', '.join(f'CAST(0 AS BIGINT) AS "{c}"' for c in MEMORY_ZERO if c not in MEMORY_BYTES)},
+        {', '.join(f'false AS "{c}"' for c in MEMORY_FALSE)},
+        {', '.join(f"coalesce(max({v}) FILTER (event_type = '{kind}'), 0)" + f' AS "{c}"' for c, (kind, v) in MEMORY_BYTES.items())},
+        {EV} AS "Date" FROM events GROUP BY 1, 2""", []),
     "page_life": (
         f"""SELECT {_SERVER_DAY}, CAST(floor(value * 100) AS INTEGER) AS "Page_Life_Expectancy", {EV} AS "Date" FROM events
         WHERE event_type = 'signup'""", []),
@@ -584,6 +602,11 @@ _BODY: dict[str, tuple[str, list[str]]] = {
     "clean_statistics": (
         """SELECT "DB_Name", "Table_Name", "Index_Name", "LastUpdateDate", CAST(rowmodctr AS DOUBLE) AS rowmodctr, "Date" FROM stats
         WHERE "DB_Name" <> 'tempdb'""", ["stats"]),
+    "clean_statistics_listed": (
+        """SELECT * FROM (SELECT "DB_Name", "Table_Name", "Index_Name", "LastUpdateDate",
+        CAST(CASE WHEN rowmodctr % 3 = 0 THEN 0 ELSE rowmodctr END AS DOUBLE) AS rowmodctr, "Date",
+        replace("DB_Name", 'db_', 'server_') AS server_name FROM stats) WHERE "DB_Name" <> 'tempdb'
+        AND (rowmodctr = 0 AND server_name IN ('server_1', 'server_3')) IS NOT TRUE""", ["stats"]),
     "file_io_snapshot": (
         f"""SELECT s_name AS databasename, CASE WHEN l_linenumber < 7 THEN ['C', 'D', 'E'][l_linenumber % 3 + 1] END AS database_drive,
         CASE WHEN l_linenumber < 7 THEN 'file_' || l_linenumber END AS database_file_name, CAST(l_quantity AS BIGINT) AS "NumberReads",
@@ -612,6 +635,13 @@ _BODY: dict[str, tuple[str, list[str]]] = {
     "rebuild_worklist": (
         """SELECT "DBName", "TableName", string_agg("Command", ';' ORDER BY "Command") AS "Worklist" FROM (
         SELECT DISTINCT "DBName", "TableName", "Command" FROM commands) GROUP BY 1, 2""", ["commands"]),
+    "rebuild_worklist_offline": (
+        """SELECT "DBName", "TableName", string_agg("Command", ';' ORDER BY "Command") AS "Worklist" FROM (
+        SELECT DISTINCT "DBName", "TableName", replace(replace("Command", 'REBUILD_ONLINE', 'REBUILD_OFFLINE'), '@MaxDOP = ''2',
+        '@MaxDOP = ''4') AS "Command" FROM commands) GROUP BY 1, 2""", ["commands"]),
+    "recommend_run": (
+        """SELECT * FROM commands UNION ALL SELECT "Database_Name", "Table_Name", 'statistics', "Command" FROM current_refresh""",
+        ["commands", "current_refresh"]),
     "modified_percent": (
         """SELECT "Database_Name", "Table_Name", "Index_Name", "LastUpdateDate", CAST(rowmodctr AS DOUBLE) AS rowmodctr, "RowCount",
         CAST(acc AS DOUBLE) AS "TotalAccesses", CAST(rd AS DOUBLE) AS "TotalReads", pct AS "PercentModified",
@@ -717,7 +747,7 @@ _BODY: dict[str, tuple[str, list[str]]] = {
 for _same, _as in {
     "stream_alerts_joined": "stream_alerts", "cpu_records_of_files": "cpu_samples", "previous_event_hot_keys": "previous_event", "delivery_rate_hot_keys": "delivery_rate",
     "alert_detail_of_flagged": "alert_detail", "alert_run": "alert_detail", "orders_with_customer_hot_keys": "orders_with_customer", "job_outliers_hot_keys": "job_outliers",
-    "tables_with_statistics_co_located": "tables_with_statistics",
+    "tables_with_statistics_co_located": "tables_with_statistics", "file_io_in_steps": "file_io",
 }.items():
     _BODY[_same] = _BODY[_as]
 

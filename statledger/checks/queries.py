@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ..operators.timewindow import PARTITION
 from ..plans import alerts, collect, parameters, reports, runner, worklists
 from ..sources import history, landed, moments
 from ..sources.colocated import co_locate, keys_of
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, stored
 from . import replay
 from . import roles as r
 from .roles import EVENTS_AT, SALES_AT, Tables
@@ -243,6 +244,27 @@ def file_io_continue(t):
     return collect.file_io_continue(newest, collect.file_io(before))
 
 
+@query
+def file_io_in_steps(t):
+    """Samples that arrive in three parts of the month, each step given only the last sample of each file; undated ones come first."""
+    samples, last, parts = r.io_samples(t), None, []
+    week, (second, third) = F.col("TimeStamp"), (tp.ts_lit("2024-01-08 00:00:00"), tp.ts_lit("2024-01-22 00:00:00"))
+    for number, cut in enumerate((week.isNull() | (week < second), (week >= second) & (week < third), week >= third)):
+        rows, newest = collect.file_io_step(samples.filter(cut), last)
+        last = stored(newest, f"io_{number}")
+        parts.append(rows)
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def batch_snapshot(t):
+    """The batch counters among all counters of the servers."""
+    padded = r.batch_samples(t).select(
+        F.rpad("object_name", 40, " ").alias("object_name"), F.rpad("counter_name", 60, " ").alias("counter_name"), "cntr_value")
+    others = r.counter_rows(t).select("object_name", "counter_name", "cntr_value")
+    return collect.batch_snapshot(padded.unionByName(others), EVENTS_AT)
+
+
 @query
 def batch_delta(t):
     return collect.batch_delta(r.batch_samples(t))
@@ -268,6 +290,16 @@ def memory_snapshot(t):
     return collect.memory_snapshot(r.counter_rows(t), EVENTS_AT, scope=["server_name", "day"])
 
 
+@query
+def memory_snapshot_in_bytes(t):
+    """Servers of the older kind, which report their physical and virtual memory in bytes."""
+    name = F.rtrim("counter_name")
+    older = F.when(name == "Page life expectancy", "physical_memory_in_bytes").when(
+        name == "Buffer cache hit ratio", "virtual_memory_in_bytes").otherwise(F.col("counter_name"))
+    counters = r.counter_rows(t).withColumns({"cntr_value": F.col("cntr_value") * 1000, "counter_name": F.rpad(older, 40, " ")})
+    return collect.memory_snapshot(counters, EVENTS_AT, scope=["server_name", "day"], bytes_source=True)
+
+
 @query
 def page_life(t):
     return collect.page_life(r.counter_rows(t), EVENTS_AT, scope=["server_name", "day"])
@@ -381,6 +413,14 @@ def clean_statistics(t):
     return collect.clean_statistics(r.statistics(t))
 
 
+@query
+def clean_statistics_listed(t):
+    """A fleet in which two servers keep no unmodified statistics."""
+    modified = F.when(F.col("rowmodctr") % 3 == 0, F.lit(0)).otherwise(F.col("rowmodctr")).cast("decimal(16,0)")
+    fleet = r.statistics(t).withColumns({"rowmodctr": modified, "server_name": F.replace("DB_Name", F.lit("db_"), F.lit("server_"))})
+    return collect.clean_statistics(fleet, quiet_servers=["server_1", "server_3"])
+
+
 @query
 def file_io_snapshot(t):
     return collect.file_io_snapshot(
@@ -487,15 +527,41 @@ def rebuild_commands(t):
     return _commands(t)
 
 
-@query
-def rebuild_worklist(t):
-    work = worklists.rebuild_work(
+def _work(t):
+    return worklists.rebuild_work(
         r.table_usage(t), r.table_rows(t), r.statistics(t), r.fragmentation(t), r.free_space(t), r.index_usage(t), SALES_AT
     )
-    commands = worklists.commands_of(work, 100_000, 3_000_000)
+
+
+@query
+def rebuild_worklist(t):
+    commands = worklists.commands_of(_work(t), 100_000, 3_000_000)
+    return rollup.joined_text(commands, ["DBName", "TableName"], "Command", "Worklist")
+
+
+@query
+def rebuild_worklist_offline(t):
+    """The same work for an edition that cannot rebuild online, with four processors a command."""
+    commands = worklists.commands_of(_work(t), 100_000, 3_000_000, online=False, maxdop=4)
     return rollup.joined_text(commands, ["DBName", "TableName"], "Command", "Worklist")
 
 
+@query
+def recommend_run(t):
+    """Rebuild and statistics commands from history tables that were stored before."""
+    root = scratch(t.spark, "recommend")
+    loads = {"table_usage": r.table_usage, "table_rows": r.table_rows, "statistics": r.statistics, "fragmentation": r.fragmentation,
+             "index_free_space": r.free_space, "index_usage": r.index_usage}
+    for table, role in loads.items():
+        history.append_snapshot(role(t), root, table, SALES_AT)
+    rebuilds, refreshes = runner.run_recommend(
+        t.spark, root, SALES_AT, max_rows=100_000, max_index_rows=3_000_000, percent_modified=400, stats_max_rows=45_000_000,
+        min_modified=450_000)
+    refreshes = refreshes.select(
+        F.col("Database_Name").alias("DBName"), F.col("Table_Name").alias("TableName"), F.lit("statistics").alias("level"), "Command")
+    return rebuilds.unionByName(refreshes)
+
+
 @r.once
 def _modified(t):
     return worklists.modified_percent(r.table_rows(t), r.statistics(t), r.table_usage(t), SALES_AT)
