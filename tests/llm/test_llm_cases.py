@@ -160,6 +160,46 @@ def test_repeated_ids_with_other_vectors_take_one_place(spark, monkeypatch, shar
     assert sorted(tuple(r)[:3] for r in ann.nearest(frame, every=10, k=5, shard=shard).collect()) == expected
 
 
+def _clusters(seed, n, centres, size=8):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, size)) * 5
+    return middle[np.arange(n) % centres] + rng.normal(size=(n, size)) * 0.2
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_regions_of_clusters_give_the_results_of_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(ann, "LEAF", 8)
+    points = _clusters(5, 800, 16).astype(np.float32)
+    points[40] *= np.float32(1e-3)  # a short query
+    vectors = [(i, [float(x) for x in v]) for i, v in enumerate(points)]
+    vectors += [vectors[3]] * 400  # a third of all rows are one row
+    frame = spark.createDataFrame([(*v, "x") for v in vectors], f"vec_id long, embedding array<{kind}>, side string")
+    found = sorted(map(tuple, ann.nearest(frame, every=20, k=6, shard=30).collect()))
+    expected = sorted(_nearest(vectors[:800], 20, 6))
+    assert [x[:3] for x in found] == [x[:3] for x in expected] and np.allclose([x[3] for x in found], [x[3] for x in expected])
+
+
+def test_vanishing_and_huge_vectors_side_by_side(spark):
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(300, 4))
+    points[::40] *= 1e-250
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, ann.nearest(frame, every=20, k=5, shard=20).collect()))
+    assert [x[:3] for x in found] == [x[:3] for x in sorted(_nearest([(i, v) for i, v in enumerate(points)], 20, 5))]
+
+
+def test_queries_ask_few_shards_of_clustered_vectors(spark):
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(_clusters(7, 3200, 32))], "vec_id long, embedding array<double>")
+    vectors = ann.usable(frame)
+    norm = float(np.sqrt((_clusters(7, 3200, 32) ** 2).sum(1).max()))
+    top = ann.top_of(vectors, 3200, 8, norm, 0, 100)
+    shards = int(top.parts.sum())
+    assert shards >= 24 and ann.asked_shards(vectors.withColumn("floor", F.lit(float("-inf"))), top, 0, 1.0, True).count() == 3200 * (shards - 1)
+    exact = ann.nearest(frame, every=20, k=5, shard=100).where("rank = 5").select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    asked = ann.asked_shards(vectors.join(exact, "vec_id"), top, 0, 1.0, True).count()
+    assert asked <= 160 * shards / 4
+
+
 def test_relaxed_search_keeps_recall_on_the_sample(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     exact = {tuple(r)[:3:2] for r in ann.nearest(frame).collect()}
