@@ -227,7 +227,12 @@ def teachers(docs: DataFrame, rows: int | None = None, least: int | None = None)
     rows, least = LEARN_ROWS if rows is None else rows, LEARN_LEAST if least is None else least
     ids = docs.select("doc_id", "lang").distinct()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    first = ids.select("doc_id").distinct().orderBy(*order).limit(rows)
+    # only about twice as many ids as wanted, those of the smallest hashes, reach the one task that takes the first of them
+    n = docs.agg(F.approx_count_distinct("doc_id")).first()[0]
+    low = docs.select("doc_id")
+    if n > 2 * rows:
+        low = low.where(F.xxhash64("doc_id") < -(2**63) + 2**64 * 2 * rows // n)
+    first = low.distinct().orderBy(*order).limit(rows)
     each = ids.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS)))
     for keys in (["lang", "part"], ["lang"]):  # a language's ids are cut in PARTS tasks, so that one task gets PARTS * least of them
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
