@@ -18,6 +18,7 @@ from ..sources.scratch import stored
 
 HOT_ROWS = 5_000_000
 RANGES = 8  # of so many rows as make a key hot
+RANGE_ROWS = 50_000  # a range holds at least about so many: with fewer, starting its task and its file take longer than its rows
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -40,6 +41,11 @@ def deal_by_range(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ra
     return stored(tied.withColumn("__range", F.spark_partition_id()).drop("__tie"), "ranges")
 
 
+def ranges_of(rows: int, hot_rows: int) -> int:
+    """Number of ranges for the rows of hot keys: about ``hot_rows / 8`` rows in each, or ``RANGE_ROWS`` where that is more, so it grows no faster than the rows."""
+    return max(2, -(-rows // max(hot_rows // RANGES, RANGE_ROWS)))
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,8 +62,8 @@ def with_previous(
     interchangeable rows tied. ``previous`` maps new column name to source column.
     ``is_last`` names a boolean that is true on the newest row of each key.
 
-    Rows of keys with more than ``hot_rows`` rows are dealt by range, about ``hot_rows / 8`` in each, so bursts, rows of one
-    second and undated rows are parted as well. Keys are counted first, which is one aggregation over the key
+    Rows of keys with more than ``hot_rows`` rows are dealt by range, about ``hot_rows / 8`` in each but not under ``RANGE_ROWS``, so
+    bursts, rows of one second and undated rows are parted as well. Keys are counted first, which is one aggregation over the key
     columns; without such keys a single window remains. ``hot_rows=None`` skips the count.
     """
     keys, order = list(keys), list(order)
@@ -99,7 +105,7 @@ def with_previous(
         hot = F.broadcast(stored(hot.select(*keys), "hot_keys").alias("h"))
         mine = df.alias("d").join(hot, same_keys("d", "h", keys), "left_semi")
         others = df.alias("d").join(hot, same_keys("d", "h", keys), "left_anti")
-        dealt = deal_by_range(mine, keys, sort_cols, max(2, -(-RANGES * many // hot_rows)))
+        dealt = deal_by_range(mine, keys, sort_cols, ranges_of(many, hot_rows))
         out = plain(others).unionByName(ranged(dealt))
     else:
         out = plain(df)

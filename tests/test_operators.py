@@ -8,6 +8,7 @@ import pytest
 from frames import frame, ts, tuples
 from pyspark.sql import functions as F
 
+from statledger.functions.timeparts import ts_lit
 from statledger.operators import bounds, counters, joins, ordered, rollup, timewindow
 
 AT = "2024-01-31 00:00:00"
@@ -50,6 +51,26 @@ def test_previous_row_is_the_same_however_hot_keys_are_sliced(spark, seed, hot_r
     assert {r["id"]: (r["prev_id"], r["newest"]) for r in got.collect()} == brute_previous(rows)
 
 
+@pytest.mark.parametrize("least", [1, 7, 100])
+def test_previous_row_is_the_same_however_many_rows_a_range_holds(spark, monkeypatch, least):
+    monkeypatch.setattr(ordered, "RANGE_ROWS", least)
+    rows = samples(3)
+    df = spark.createDataFrame(rows, "k STRING, at TIMESTAMP_NTZ, id BIGINT, v BIGINT").repartition(3)
+    got = ordered.with_previous(df, ["k"], ["at", "id"], {"prev_id": "id"}, is_last="newest", hot_rows=5)
+    assert {r["id"]: (r["prev_id"], r["newest"]) for r in got.collect()} == brute_previous(rows)
+
+
+def test_low_limits_do_not_make_a_range_of_a_few_rows(spark, monkeypatch):
+    """Ranges follow the rows, not the limit that makes a key hot; the default limit deals as before."""
+    dealt, deal = [], ordered.deal_by_range
+    monkeypatch.setattr(ordered, "deal_by_range", lambda rows, keys, order, ranges: dealt.append(ranges) or deal(rows, keys, order, ranges))
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), ts_lit(AT).alias("at"), "id")
+    got = ordered.with_previous(df, ["k"], ["at", "id"], {"p": "id"}, hot_rows=20)
+    assert dealt == [2] and got.filter("p is null").count() == 7 and got.filter("p = id - 7").count() == 2993
+    assert [ordered.ranges_of(n, 20) for n in (100_000, 6_000_000)] == [2, 120]
+    assert ordered.ranges_of(50_000_000, ordered.HOT_ROWS) == 80
+
+
 def test_facts_without_a_key_stay_out_of_the_join(spark):
     facts = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 100), ("b", 101)], "k STRING, i INT")
     got = joins.lookup_join(facts, spark.createDataFrame([("a", 1), (None, 2)], "k STRING, n INT"), ["k"], "left", hot_rows=10)
