@@ -46,7 +46,19 @@ def _named(df: DataFrame, objects: DataFrame, scope: Scope, name: str = "Table_N
     """Attach the object name; an unknown id gives NULL."""
     keys = [*scope, "DB_Name", "object_id"]
     names = objects.select(*keys, F.col("name").alias(name))
-    return df.join(names, keys, "left")
+    return df.join(_catalogue(names), keys, "left")
+
+
+def _catalogue(df: DataFrame) -> DataFrame:
+    """A catalogue as the side of a join. It grows with the fleet, and Spark's estimate from compressed files is far below its size in
+    memory: broadcast, every task would hold all of it. In a sort-merge join a task holds its own keys, and what is beyond its memory spills."""
+    return df.hint("merge")
+
+
+def _indexed(df: DataFrame, indexes: DataFrame, objects: DataFrame, scope: Scope, *columns) -> DataFrame:
+    """Attach ``columns`` of the index and the name of its object, for rows that have an index. The two catalogues meet first, so the rows are shuffled once."""
+    keys = [*scope, "DB_Name", "object_id", "index_id"]
+    return df.join(_catalogue(_named(indexes.select(*keys, *columns), objects, scope)), keys)
 
 
 # ---------------------------------------------------------------- weekly: tables, indexes, routines
@@ -79,9 +91,7 @@ def server_dim(servers: DataFrame, probes: DataFrame, *, probed_at: str | None =
 
 def fragmentation(physical: DataFrame, indexes: DataFrame, objects: DataFrame, as_of, *, scope: Scope = ()) -> DataFrame:
     """Index fragmentation per partition."""
-    keys = [*scope, "DB_Name", "object_id", "index_id"]
-    named = _named(physical.join(indexes.select(*keys, "name"), keys), objects, scope)
-    return stamped(named, as_of).select(
+    return stamped(_indexed(physical, indexes, objects, scope, "name"), as_of).select(
         *scope, "DB_Name", "Table_Name", F.col("index_id").alias("Index_ID"), F.col("name").alias("Index_Name"),
         F.col("avg_fragmentation_in_percent").cast("decimal(4,1)").alias("Avg_Fragmentation"), "Date", "page_count",
         "partition_number",
@@ -211,9 +221,7 @@ def index_usage(
     usage: DataFrame, indexes: DataFrame, objects: DataFrame, as_of, *, scope: Scope = ()
 ) -> DataFrame:
     """Seeks, scans, lookups and updates of every used index, matched within its own database."""
-    keys = [*scope, "DB_Name", "object_id", "index_id"]
-    catalog = indexes.select(*keys, F.col("name").alias("Index_Name"), "type_desc", "fill_factor", "is_primary_key")
-    named = _named(usage.join(catalog, keys), objects, scope)
+    named = _indexed(usage, indexes, objects, scope, F.col("name").alias("Index_Name"), "type_desc", "fill_factor", "is_primary_key")
     counters = ["user_seeks", "user_scans", "user_lookups", "user_updates"]
     return stamped(named, as_of).select(
         *scope, "DB_Name", "Table_Name", "Index_Name", *[F.col(c).cast("decimal(18,0)").alias(c) for c in counters],
@@ -258,9 +266,8 @@ def index_free_space(
             ),
             [*db, "container_id"],
         )
-        .join(indexes.select(*db, "object_id", "index_id", "name", "type_desc"), [*db, "object_id", "index_id"])
     )
-    return stamped(_named(located, objects, scope), as_of).select(
+    return stamped(_indexed(located, indexes, objects, scope, "name", "type_desc"), as_of).select(
         *scope, "DB_Name", "Table_Name", F.col("index_id").alias("Index_ID"), F.col("name").alias("Index_Name"),
         F.col("type_desc").alias("Type"), "Total_MBs", "Free_Space_MBs", "Free_Space_Percent", "Date",
     )

@@ -65,3 +65,15 @@ def test_rebuild_worklist_reads_each_source_once(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     from_sources = re.findall(r"Location: InMemoryFileIndex\(\d+ paths?\)\[file:/root/testdata", final)
     assert len(from_sources) <= 4  # usage and row counts of the week, one scan each, are stored before
+
+
+@pytest.mark.parametrize("name", ["index_usage_snapshot", "fragmentation_snapshot", "statistics_snapshot", "index_free_space"])
+def test_catalogues_that_grow_are_not_broadcast(spark, name):
+    plan = plan_of(spark, name)
+    joins = [line for line in plan.splitlines() if re.search(r"\w+Join\b", line) and "object_id" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_rows_of_indexes_are_shuffled_once(spark):
+    plan = plan_of(spark, "index_usage_snapshot")
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 4  # usage, both catalogues, and their join
