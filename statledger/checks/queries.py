@@ -14,7 +14,7 @@ from ..operators import bounds, counters, joins, ordered, rollup, timewindow
 from ..operators.timewindow import PARTITION
 from ..plans import alerts, collect, parameters, reports, runner, worklists
 from ..sources import history, landed, moments
-from ..sources.colocated import co_locate, keys_of
+from ..sources.colocated import buckets_for, co_locate, keys_of
 from ..sources.scratch import scratch, stored
 from . import replay
 from . import roles as r
@@ -159,16 +159,17 @@ def tables_with_statistics(t):
     return reports.tables_with_statistics(r.table_usage(t), r.table_rows(t), r.statistics(t), SALES_AT)
 
 
-def _co_located(t, role, table):
+def _co_located(t, role, table, buckets):
     """A role as a table bucketed by database and table; the names are new for each run."""
     where = scratch(t.spark, table)
-    return co_locate(role(t), f"statledger_{table}_{where.rsplit('/', 1)[1]}", keys_of(table), where, buckets=8)
+    return co_locate(role(t), f"statledger_{table}_{where.rsplit('/', 1)[1]}", keys_of(table), where, buckets=buckets)
 
 
 @query
 def tables_with_statistics_co_located(t):
-    used, rows = _co_located(t, r.table_usage, "table_usage"), _co_located(t, r.table_rows, "table_rows")
-    return reports.tables_with_statistics(used, rows, _co_located(t, r.statistics, "statistics"), SALES_AT)
+    buckets = buckets_for(r.table_rows(t), r.statistics(t))  # usage has a row a table at most, fewer than its row counts
+    used, rows = _co_located(t, r.table_usage, "table_usage", buckets), _co_located(t, r.table_rows, "table_rows", buckets)
+    return reports.tables_with_statistics(used, rows, _co_located(t, r.statistics, "statistics", buckets), SALES_AT)
 
 
 @query

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from ..operators.timewindow import PARTITION
 
 BUCKETS = 200
+LEAST_BUCKETS, BUCKET_ROWS = 8, 500_000
 TABLE_KEYS = {
     "table_usage": ("DatabaseName", "TableName"),
     "table_rows": ("DatabaseName", "TableName"),
@@ -29,6 +30,14 @@ def keys_of(table: str, extra: Sequence[str] = ()) -> list[str]:
     return [*extra, *TABLE_KEYS[table]]
 
 
+def buckets_for(*tables: DataFrame) -> int:
+    """A number of buckets for tables that are joined to each other: the largest has about ``BUCKET_ROWS`` rows in each.
+
+    A join over buckets has one task a bucket and can't be split any further, so with a fixed number its tasks grow with the tables.
+    """
+    return max(LEAST_BUCKETS, *(-(-table.count() // BUCKET_ROWS) for table in tables))
+
+
 def co_locate(
     df: DataFrame, name: str, keys: Sequence[str], path: str, *, buckets: int = BUCKETS, by_day: bool = True
 ) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from statledger.checks import queries
+from statledger.sources import colocated
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = queries.queries()
@@ -59,6 +60,16 @@ def test_co_located_tables_join_without_a_shuffle(spark):
     assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and plan.count("Bucketed: true") == 3
 
 
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    """A join over buckets has a task for each, so their number grows with the largest table."""
+    tables = spark.range(10), spark.range(6001)
+    assert colocated.buckets_for(*tables) == 8
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 500)
+    assert colocated.buckets_for(*tables) == 13
+    plan = plan_of(spark, "tables_with_statistics_co_located")
+    assert plan.count("out of 12") == 3  # of 6,000 lines
+
+
 def test_rebuild_worklist_reads_each_source_once(spark):
     df = QUERIES["rebuild_worklist"](spark, FOLDER)
     df.collect()
