@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,10 +75,12 @@ def counter_delta(
 def counter_step(
     batch: DataFrame, last: DataFrame | None, keys: Sequence[str], ts: str, columns: Sequence[str], *,
     epoch: str | None = None, on_reset: str = "cumulative", first: str = "cumulative",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
     """Increments of one batch and the next last-sample table.
 
+    ``keep`` is given the frames that are read several times and returns what to read instead, such as a persisted frame.
+
     A sample that is not newer than the last one of its key came too late: it is
     reported with ``late`` true and no increments, and leaves the state alone.
     """
@@ -88,10 +90,11 @@ def counter_step(
     if last is None:
         pool, tardy = samples.withColumn("__fresh", F.lit(True)), samples.limit(0)
     else:
+        last = keep(last.select(*kept))
         seen = last.select(*keys, F.col(ts).alias("__last"))
-        checked = samples.join(seen, keys, "left").withColumn(
-            "__late", F.coalesce(F.col(ts) <= F.col("__last"), F.lit(False))
-        )
+        checked = keep(samples.join(seen, keys, "left").select(
+            *kept, F.coalesce(F.col(ts) <= F.col("__last"), F.lit(False)).alias("__late")
+        ))
         tardy = checked.filter("__late").select(*kept)
         fresh = checked.filter("NOT __late").select(*kept).withColumn("__fresh", F.lit(True))
         pool = fresh.unionByName(last.select(*kept).withColumn("__fresh", F.lit(False)))

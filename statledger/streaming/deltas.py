@@ -37,11 +37,17 @@ def stream_deltas(
     state, out = posixpath.join(root, "last"), posixpath.join(root, "deltas")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
+        kept = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            kept.append(df.persist())
+            return kept[-1]
+
         try:
+            rows = keep(batch)
             held = state_before(batch.sparkSession, state, batch_id)
             last = None if held is None else samples_of(rows, held, keys, ts)
-            deltas, newest = counter_step(rows, last, keys, ts, columns, **policy)
+            deltas, newest = counter_step(rows, last, keys, ts, columns, keep=keep, **policy)
             write_batch(deltas, out, batch_id)
             write_batch(newest, state, batch_id)
             if batch_id % compact_every == compact_every - 1:
@@ -49,7 +55,8 @@ def stream_deltas(
                 write_compacted(latest_per(everything, keys, ts), state, batch_id)
                 drop_state(batch.sparkSession, state, batch_id)
         finally:
-            rows.unpersist()
+            for df in kept:
+                df.unpersist()
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", posixpath.join(root, "checkpoint"))
     return (writer.trigger(availableNow=True) if once else writer).start()

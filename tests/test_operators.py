@@ -152,6 +152,20 @@ def test_counter_restarts(spark):
     ]
 
 
+def test_a_step_keeps_what_it_reads_several_times(spark):
+    """The last samples and the marked batch are joined once, not for each of their uses."""
+    kind, kept = "k STRING, at TIMESTAMP_NTZ, x BIGINT", []
+    last = frame(spark, kind, ("a", ts("2024-01-01 02:00"), 5), ("b", ts("2024-01-01 02:00"), 3))
+    batch = frame(spark, kind, ("a", ts("2024-01-01 03:00"), 9), ("a", ts("2024-01-01 01:00"), 4), ("c", ts("2024-01-01 03:00"), 1))
+    plain = [tuples(df) for df in counters.counter_step(batch, last, ["k"], "at", ["x"])]
+    got = counters.counter_step(batch, last, ["k"], "at", ["x"], keep=lambda df: kept.append(df.persist()) or kept[-1])
+    assert [tuples(df) for df in got] == plain and len(plain[0]) == 3 and len(plain[1]) == 3
+    plan = got[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(kept) == 2 and plan.count("InMemoryRelation") >= 3
+    for df in kept:
+        df.unpersist()
+
+
 @pytest.mark.parametrize("policy, fallen, seconds", [("cumulative", 4, 60), ("previous", 9, 0), ("zero", 0, 60)])
 def test_counter_fall_policies(spark, policy, fallen, seconds):
     df = frame(
