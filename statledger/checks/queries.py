@@ -482,17 +482,33 @@ def alert_detail_of_flagged(t):
 
 # ---------------------------------------------------------------- worklists
 
+# The week's usage and row counts and their join are stored, as every ranking starts from them.
+
+@r.once
+def _used(t):
+    return stored(timewindow.recent(r.table_usage(t), "Date", reports.WEEK, SALES_AT), "week_of_usage")
+
+
+@r.once
+def _rows(t):
+    return stored(timewindow.recent(r.table_rows(t), "Date", reports.WEEK, SALES_AT), "week_of_rows")
+
+
+@r.once
+def _sized(t):
+    return stored(reports.tables_with_row_count(_used(t), _rows(t), SALES_AT), "sized_tables")
+
+
 @r.once
 def _spacious(t):
-    return reports.indexes_with_free_space(r.free_space(t), r.table_usage(t), r.table_rows(t), SALES_AT)
+    return reports.indexes_with_free_space(r.free_space(t), _used(t), _rows(t), SALES_AT)
 
 
 @r.once
 def _table_candidates(t):
-    return worklists.table_candidates(
-        tables_with_row_count(t), stale_statistics(t), fragmented_top_tables(t),
-        _spacious(t), SALES_AT,
-    )
+    stale = reports.stale_of(reports.with_statistics(_sized(t), r.statistics(t), SALES_AT), SALES_AT, threshold=5_000)
+    broken = reports.fragmented_top_tables(r.fragmentation(t), _used(t), SALES_AT)
+    return worklists.table_candidates(_sized(t), stale, broken, _spacious(t), SALES_AT)
 
 
 @r.once
@@ -512,13 +528,13 @@ def index_candidates(t):
 
 @query
 def enrich_candidates(t):
-    return worklists.enrich_candidates(_table_candidates(t), r.table_usage(t), r.table_rows(t), SALES_AT)
+    return worklists.enrich_candidates(_table_candidates(t), _used(t), _rows(t), SALES_AT)
 
 
 @r.once
 def _commands(t):
-    used, rows = r.table_usage(t), r.table_rows(t)
-    tables = worklists.enrich_candidates(_table_candidates(t), used, rows, SALES_AT)
+    used, rows = _used(t), _rows(t)
+    tables = stored(worklists.enrich_candidates(_table_candidates(t), used, rows, SALES_AT), "table_work")  # read twice by the commands
     indexes = worklists.enrich_candidates(_index_candidates(t), used, rows, SALES_AT)
     return worklists.rebuild_commands(tables, indexes, 100_000, 3_000_000)
 

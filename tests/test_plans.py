@@ -80,6 +80,12 @@ def test_rebuild_worklist_reads_each_source_once(spark):
     assert len(from_sources) <= 4  # usage and row counts of the week, one scan each, are stored before
 
 
+@pytest.mark.parametrize("name, most", [("enrich_candidates", 3), ("rebuild_commands", 2)])
+def test_candidates_do_not_read_usage_again(spark, name, most):
+    """Statistics, fragmentation and free space of the tables; free space and use of the indexes."""
+    assert 0 < len(re.findall(r"Location: InMemoryFileIndex\(\d+ paths?\)\[file:/root/testdata", plan_of(spark, name).split("Initial Plan")[0])) <= most
+
+
 @pytest.mark.parametrize("name", ["index_usage_snapshot", "fragmentation_snapshot", "statistics_snapshot", "index_free_space"])
 def test_catalogues_that_grow_are_not_broadcast(spark, name):
     plan = plan_of(spark, name)
