@@ -358,6 +358,19 @@ def fragmented_top_tables(
     )
 
 
+def spacious_indexes(
+    free_space: DataFrame, as_of, *, days=WEEK, min_mb=50, min_percent=50, as_written: bool = False
+) -> DataFrame:
+    """The rows of :func:`indexes_with_free_space` as they were stored, without size and use of their table."""
+    big, loose = F.col("Free_Space_MBs") > min_mb, F.col("Free_Space_Percent") > min_percent
+    if as_written:
+        in_window = (F.col("Date") > ts_lit(days_before(as_of, days))) & (F.col("Date") <= ts_lit(as_of))
+        spacious = free_space.filter((in_window & big) | loose)
+    else:
+        spacious = recent(free_space, "Date", days, as_of).filter(big | loose)
+    return _by_table(spacious, "DB_Name", "Table_Name")
+
+
 def indexes_with_free_space(
     free_space: DataFrame, table_usage: DataFrame, table_rows: DataFrame, as_of, *, days=WEEK, min_mb=50, min_percent=50,
     as_written: bool = False, latest: bool = False, scope: Scope = (),
@@ -369,16 +382,11 @@ def indexes_with_free_space(
     percentage appear as well.
     """
     keys = [*scope, "DBName", "TableName"]
-    big, loose = F.col("Free_Space_MBs") > min_mb, F.col("Free_Space_Percent") > min_percent
-    if as_written:
-        in_window = (F.col("Date") > ts_lit(days_before(as_of, days))) & (F.col("Date") <= ts_lit(as_of))
-        spacious = free_space.filter((in_window & big) | loose)
-    else:
-        spacious = recent(free_space, "Date", days, as_of).filter(big | loose)
+    spacious = spacious_indexes(free_space, as_of, days=days, min_mb=min_mb, min_percent=min_percent, as_written=as_written)
     used = tables_with_row_count(table_usage, table_rows, as_of, days=days, latest=latest, scope=scope).select(
         *keys, F.col("RowCount").alias("TableRowCount"), "TotalAccesses"
     )
-    return _by_table(spacious, "DB_Name", "Table_Name").join(used, keys, "left").select(
+    return spacious.join(used, keys, "left").select(
         *keys, F.col("Index_ID").alias("IndexID"), F.col("Index_Name").alias("IndexName"), "Type", "Total_MBs",
         "Free_Space_MBs", "Free_Space_Percent", "TableRowCount", "TotalAccesses", "Date",
         rebuild_index_command("TableName", "Index_Name").alias("Rebuild"),

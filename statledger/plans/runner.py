@@ -156,5 +156,4 @@ def run_recommend(
     )
     rebuilds = worklists.commands_of(work, max_rows, max_index_rows, online=online, maxdop=maxdop, scope=extra)
     current = timewindow.recent(stats, "Date", reports.WEEK, as_of)
-    modified = worklists.modified_percent(rows, current, used, as_of, scope=extra)
-    return rebuilds, worklists.stats_worklist(modified, percent_modified, stats_max_rows, min_modified, scope=extra)
+    return rebuilds, worklists.refresh_commands(rows, current, used, as_of, percent_modified, stats_max_rows, min_modified, scope=extra)

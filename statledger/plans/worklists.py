@@ -118,8 +118,7 @@ def rebuild_work(
     sized = stored(reports.tables_with_row_count(used, rows, as_of, scope=scope), "sized_tables")
     stale = reports.stale_of(reports.with_statistics(sized, statistics, as_of, scope=scope), as_of, scope=scope)
     broken = reports.fragmented_top_tables(fragmentation, used, as_of, scope=scope)
-    spacious = reports.indexes_with_free_space(free_space, used, rows, as_of, scope=scope)
-    loose = recent(spacious, "Date", WEEK, as_of).select(*keys, "IndexName").distinct()
+    loose = reports.spacious_indexes(free_space, as_of).withColumnRenamed("Index_Name", "IndexName").select(*keys, "IndexName")
 
     def item(level: str, index) -> Column:
         return F.struct(F.lit(level).alias("level"), index.cast("string").alias("IndexName"))
@@ -127,14 +126,18 @@ def rebuild_work(
     none = F.lit(None)
     tie = [*keys, "RowCount", "Date"]
     parts = [
-        loose.select(*keys, F.explode(F.array(item("table", none), item("index", F.col("IndexName")))).alias("__item")),
+        loose.select(*keys, item("loose", F.col("IndexName")).alias("__item")),
         *[
             part.select(*keys, item("table", none).alias("__item"))
             for part in (broken, stale, *(top_k(sized, n, [F.desc(c), *tie]) for c in ("TotalReads", "ReadScans")))
         ],
         busiest_indexes(index_usage, as_of, n=n_indexes, scope=scope).select(*keys, item("index", F.col("IndexName")).alias("__item")),
     ]
-    listed = reduce(DataFrame.union, parts).select(*keys, "__item.*").distinct()
+    # dealt by table once: the distinct, the join to the row counts and what follows by table need no other shuffle
+    placed = reduce(DataFrame.union, parts).repartition(*keys)
+    both = F.array(item("table", none), item("index", F.col("__item.IndexName")))  # free space lists the table and the index
+    spread = F.explode(F.when(F.col("__item.level") == "loose", both).otherwise(F.array("__item")))
+    listed = placed.distinct().select(*keys, spread.alias("__item")).select(*keys, "__item.*").distinct()
     sizes = rows.withColumnsRenamed({"DatabaseName": "DBName", "RowCount": "RecordCount"})
     return update_from(listed, sizes, keys, ["RecordCount"], newest_by="Date")
 
@@ -142,7 +145,10 @@ def rebuild_work(
 def commands_of(
     work: DataFrame, max_rows: int, max_index_rows: int, *, online: bool = True, maxdop: int = 2, scope: Scope = ()
 ) -> DataFrame:
-    """The commands of :func:`rebuild_commands` from the candidates of :func:`rebuild_work`, without joining them to themselves."""
+    """The commands of :func:`rebuild_commands` from the candidates of :func:`rebuild_work`, without joining them to themselves.
+
+    Those list every table and index once, and a command holds their names, so commands need not be told apart again.
+    """
     keys = [*scope, "DBName", "TableName"]
     whole = F.col("level") == "table"
     stays = whole & ((F.col("RecordCount") <= max_rows) | F.col("RecordCount").isNull())
@@ -153,7 +159,7 @@ def commands_of(
         optimize_command("DBName", "TableName", "IndexName", **options)
     )
     chosen = work.withColumn("__held", held).filter(wanted)
-    return chosen.select(*keys, "level", command.alias("Command")).filter(F.col("Command").isNotNull()).distinct()
+    return chosen.select(*keys, "level", command.alias("Command")).filter(F.col("Command").isNotNull())
 
 
 def modified_percent(
@@ -192,3 +198,26 @@ def stats_worklist(
     return modified.filter(wanted & (F.col("RowCount") < max_rows)).select(
         *scope, "Database_Name", "Table_Name", F.col("RebuildState").alias("Command")
     ).distinct()
+
+
+def refresh_commands(
+    table_rows: DataFrame, statistics: DataFrame, table_usage: DataFrame, as_of, percent_modified: int, max_rows: int, min_modified: int,
+    *, scope: Scope = (),
+) -> DataFrame:
+    """The commands of :func:`stats_worklist` over :func:`modified_percent`, without the rows that lead to them.
+
+    The share of modified rows grows with ``rowmodctr`` and falls with the row count, as counts over 1 alone are taken. So
+    the greatest ``rowmodctr`` of an index and the smallest row count of its table decide whether any of their pairs is wanted.
+    """
+    keys = [*scope, "Database_Name", "Table_Name"]
+    name = {"DatabaseName": "Database_Name", "TableName": "Table_Name"}
+    sizes = recent(table_rows, "Date", WEEK, as_of).filter(F.col("RowCount") > 1).withColumnsRenamed(name)
+    used = recent(table_usage, "Date", WEEK, as_of).withColumnsRenamed(name)
+    changed = statistics.filter((F.col("rowmodctr") > 0) & not_prefixed("Index_Name")).withColumnsRenamed({"DB_Name": "Database_Name"})
+    placed = changed.select(*keys, "Index_Name", "rowmodctr").repartition(*keys)  # one shuffle for the groups and the join
+    most = placed.groupBy(*keys, "Index_Name").agg(F.max("rowmodctr").alias("rowmodctr"))
+    least = sizes.groupBy(*keys).agg(F.min("RowCount").alias("RowCount")).join(used.select(*keys), keys, "left_semi")
+    percent = int_div(F.col("rowmodctr").cast("bigint") * 100, F.col("RowCount"))
+    wanted = ((percent > percent_modified) | (F.col("rowmodctr") > min_modified)) & (F.col("RowCount") < max_rows)
+    # an index comes once, so its command does
+    return most.join(least, keys).filter(wanted).select(*keys, update_statistics_quoted("Table_Name", "Index_Name").alias("Command"))

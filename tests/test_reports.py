@@ -238,6 +238,40 @@ def test_statistics_worklist(spark):
     assert worklists.stats_worklist(modified, 2, 1_000, 0).count() == 0
 
 
+def test_refresh_commands_are_those_of_the_modified_rows(spark):
+    stat = {"DB_Name": "d", "Table_Name": "t", "Date": ts("2024-01-30")}
+    stats = table(
+        spark, "statistics", *[{**stat, "LastUpdateDate": ts(f"2024-01-0{i + 1}"), "Index_Name": n, "rowmodctr": D(m)} for i, (n, m) in enumerate((
+            ("share", 10), ("share", 30), ("calm", 20), ("many", 25), ("_WA_x", 900), (None, 900), ("zero", 0)))],
+        {**stat, "Table_Name": "unused", "LastUpdateDate": ts("2024-01-01"), "Index_Name": "i", "rowmodctr": D(900)},
+        {**stat, "Table_Name": "none", "LastUpdateDate": ts("2024-01-01"), "Index_Name": "i", "rowmodctr": D(900)},
+    )
+    rows = table(spark, "table_rows", size("d", "t", 1_000, "2024-01-30"), size("d", "t", 900, "2024-01-29"), size("d", "t", 1, "2024-01-28"),
+                 size("d", "unused", 10, "2024-01-30"))
+    used = table(spark, "table_usage", usage("d", "t", 5, "2024-01-30"), usage("d", "t", 6, "2024-01-29"), usage("d", "none", 5, "2024-01-30"))
+    modified = worklists.modified_percent(rows, stats, used, AT)
+    for limits in ((2, 5_000, 90_000), (2, 950, 90_000), (2, 900, 0), (0, 901, 24), (100, 5_000, 24), (1, 1_001, 10)):
+        got = worklists.refresh_commands(rows, stats, used, AT, *limits)
+        assert tuples(got) == tuples(worklists.stats_worklist(modified, *limits))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "REPARTITION_BY_COL" in plan and "LastUpdateDate" not in plan.split("Exchange", 1)[0]
+
+
+def test_rebuild_work_is_dealt_by_table_once(spark):
+    """Distinct, row counts, window and commands follow one shuffle of the candidates."""
+    import re
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = {n: table(spark, n).limit(0) for n in ("table_usage", "table_rows", "statistics", "fragmentation", "index_free_space", "index_usage")}
+        work = worklists.rebuild_work(*frames.values(), AT)
+        plan = worklists.commands_of(work, 100, 1_000)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    top = plan[: plan.index("REPARTITION_BY_COL")]
+    assert len(re.findall(r"Exchange hashpartitioning", top)) == 1  # that of the candidates itself
+
+
 def test_parameters(spark):
     empty = spark.createDataFrame([], schema("parameters"))
     seeded = parameters.seed_parameters(spark, empty, AT)
