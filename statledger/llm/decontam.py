@@ -39,7 +39,7 @@ from .words import NO_WORD, hashes, mix, slices
 
 PASSAGE, WINDOW, ENERGY, RANK, MOST = 64, 32, 0.95, 64, 256
 COSINE, LEAST_TERMS, SURE, LIKELY, ANSWER = 0.25, 3, 0.6, 0.4, 0.8
-BLOCK_CHARS, CELLS, TERM_BLOCK, TOGETHER = 400_000, 1 << 22, 1024, 8
+BLOCK_CHARS, CELLS, TERM_BLOCK, TERM_BYTES, TOGETHER = 400_000, 1 << 22, 1024, 1 << 16, 8
 REGISTERS, PRIOR, LATENT = 16, 30, 0.1  # bitmaps of a term's neighbours; neighbours that each term has besides; least weight in the space
 PIECE = 1 << 17  # bytes of documents that are searched together
 PAIRS = 1 << 20  # windows by passages, or words by passages, that are looked at together
@@ -121,8 +121,8 @@ def weights_of(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     rows = docs.select("text").mapInArrow(_neighbours(sent), "term long, " + ", ".join(f"{n} long" for n in names))
     rows = rows.groupBy("term").agg(*(F.bit_or(n).alias(n) for n in names))
     bits = np.zeros(len(vocabulary))
-    for row in rows.select("term", sum((F.bit_count(n) for n in names), F.lit(0)).alias("bits")).collect():
-        bits[row["term"]] = row["bits"]
+    found = rows.select("term", sum((F.bit_count(n) for n in names), F.lit(0)).alias("bits")).toArrow()
+    bits[found["term"].to_numpy()] = found["bits"].to_numpy()
     sent.destroy()
     many = _counts(bits)
     top = many.max(initial=0) + 2 * PRIOR
@@ -130,7 +130,10 @@ def weights_of(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
 
 
 def _product(basis):
-    """The sum over a partition's passages ``a`` of ``a (a' basis)``, in blocks of terms."""
+    """The sum over a partition's passages ``a`` of ``a (a' basis)``, in blocks of ``TERM_BLOCK`` terms and ``TERM_BYTES`` at most, one term at least.
+
+    Each block is a row that the driver gets, and large rows take its heap several times over.
+    """
 
     def run(batches):
         matrix = basis.value
@@ -139,8 +142,9 @@ def _product(basis):
             for term, weight in zip(batch.column(0), batch.column(1), strict=True):
                 term, weight = term.values.to_numpy(), weight.values.to_numpy()
                 total[term] += np.outer(weight, weight @ matrix[term])
-        for i in range(0, len(total), TERM_BLOCK):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int64()), "sums": pa.array([total[i : i + TERM_BLOCK].tobytes()], pa.binary())})
+        step = max(1, min(TERM_BLOCK, TERM_BYTES // (total.itemsize * total.shape[1])))
+        for i in range(0, len(total), step):
+            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int64()), "sums": pa.array([total[i : i + step].tobytes()], pa.binary())})
 
     return tidied(run)
 
@@ -161,9 +165,13 @@ def latent_space(rows: DataFrame, size: int, vectors: list[tuple[list[int], list
     def product(basis: np.ndarray) -> np.ndarray:
         sent = context.broadcast(basis)
         parts = rows.mapInArrow(_product(sent), "block long, sums binary")
-        blocks = sorted(parts.groupBy("block").applyInArrow(_summed, "block long, sums binary").collect())
+        blocks = parts.groupBy("block").applyInArrow(_summed, "block long, sums binary").toArrow()
         sent.destroy()
-        return np.concatenate([np.frombuffer(b["sums"], np.float64) for b in blocks]).reshape(basis.shape)
+        out = np.empty(basis.shape)
+        for block, sums in zip(blocks["block"].to_pylist(), blocks["sums"], strict=True):
+            values = np.frombuffer(sums.as_buffer(), np.float64).reshape(-1, basis.shape[1])
+            out[block : block + len(values)] = values
+        return out
 
     rng, rank, limit = np.random.default_rng(seed), RANK, min(limit, MOST)
     while True:

@@ -19,7 +19,7 @@ not looked at. Links use 64-bit hashes of words and runs.
 
 At scale. Copies collapse by digest before anything is paired. Hash counts are partial sums of fixed size. A centre
 with many partners is split into units of ``UNIT`` sets. No set of documents, links or components reaches the
-driver: it gets the count table (8 MB) and a bitmap (128 KB) that only spares work.
+driver: it gets a table of classes of counts (2 MB) and a bitmap (128 KB) that only spares work.
 """
 
 from __future__ import annotations
@@ -85,16 +85,24 @@ def _summing(batches):
             {"part": pa.array([part], pa.int32()), "counts": pa.array([block.tobytes()], pa.binary())})
 
 
+def _classes(batches):
+    """The frequency classes of summed parts, a quarter of the counts' bytes."""
+    for batch in batches:
+        counts = (np.frombuffer(block.as_buffer(), np.int64) for block in batch.column(1))
+        classes = [np.minimum(np.log2(c + 1.0) * 1500, 65535).astype(np.uint16).tobytes() for c in counts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes, pa.binary())], names=["part", "classes"])
+
+
 def rarity(docs: DataFrame, size: int) -> np.ndarray:
     """Frequency class of every shingle bucket over all documents (16 bits, finer than one in a thousand)."""
     partial = docs.select("text").mapInArrow(_counting(size), "part int, counts binary")
     for keys in ([F.col("part"), F.spark_partition_id() % 32], [F.col("part")]):
         partial = partial.repartition(PARTS, *keys).mapInArrow(_summing, "part int, counts binary")
-    counts = np.zeros(BUCKETS, np.int64)
-    step = BUCKETS // PARTS
-    for row in partial.collect():
-        counts[row["part"] * step : (row["part"] + 1) * step] += np.frombuffer(row["counts"], np.int64)
-    return np.minimum(np.log2(counts + 1.0) * 1500, 65535).astype(np.uint16)
+    order = np.zeros((PARTS, BUCKETS // PARTS), np.uint16)
+    found = partial.mapInArrow(_classes, "part int, classes binary").toArrow()
+    for part, classes in zip(found["part"].to_pylist(), found["classes"], strict=True):
+        order[part] = np.frombuffer(classes.as_buffer(), np.uint16)
+    return order.reshape(-1)
 
 
 def _ordered(tokens: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -253,17 +261,18 @@ def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int, order, w
         rows = centres.select("a", "salt", F.lit(None).cast("long").alias("b"), "tokens").union(partners)
         in_units = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         pairs = in_units.mapInArrow(_walking(percent), "a long, b long")
-    return stored(pairs, "links", where)
+    links = stored(pairs, "links", where)
+    wanted.destroy()
+    return links
 
 
 def _bitmap(nodes: DataFrame) -> np.ndarray:
     """One bit for each id modulo a prime: which documents may be asked for."""
     place = F.expr(f"pmod(node, {BITS})")
     words = nodes.select(place.alias("p")).groupBy(F.expr("p div 32").alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(p % 32 AS INT)))").alias("bits")).collect()
+        F.expr("bit_or(shiftleft(1L, CAST(p % 32 AS INT)))").alias("bits")).toArrow()
     out = np.zeros(BITS // 32 + 1, np.uint32)
-    for row in words:
-        out[row["w"]] = row["bits"]
+    out[words["w"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint8)
 
 
@@ -335,6 +344,7 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
     rest = rest.join(ones, "a").join(others, "b").withColumn("votes", F.size(F.array_intersect("prefix", "prefix2"))).where(
         enough).select("a", "b").distinct()
     more = _linked(docs, stored(rest, "rest", where), size, percent, order, f"{where}/second")
+    order.destroy()
 
     copies = joined_by_key(named.select("digest", "doc_id"), nodes.select("digest", "node", "rows"), "digest").where(
         "doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))

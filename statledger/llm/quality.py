@@ -174,8 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
     taught = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     taught = taught.join(F.broadcast(within_bytes(taught, LEARN_BYTES)), "doc_id", "left_semi")
     bags = taught.select("label", "text").mapInArrow(_bags, "label int, buckets binary, shares binary")
-    model = bags.groupBy(F.lit("all")).applyInArrow(_trained, _MODEL).collect()
-    return (bytes(model[0]["weights"]), model[0]["bias"]) if model else (np.zeros(KINDS * BUCKETS, np.float32).tobytes(), 0.0)
+    model = bags.groupBy(F.lit("all")).applyInArrow(_trained, _MODEL).toArrow().to_pylist()
+    return (model[0]["weights"], model[0]["bias"]) if model else (np.zeros(KINDS * BUCKETS, np.float32).tobytes(), 0.0)
 
 
 def score(docs: DataFrame, model: tuple[bytes, float]) -> DataFrame:

@@ -57,6 +57,16 @@ def test_components_of_random_graphs(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    rounds, stored = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name, where: rounds.append(name) or stored(df, name, where))
+    stars = [(1, 5), (1, 9), (9, 1), (2, 4), (7, 7)]
+    assert dict(map(tuple, graph.components(spark.createDataFrame(stars, "a long, b long")).collect())) == {1: 1, 5: 1, 9: 1, 2: 2, 4: 2}
+    assert rounds == ["stars0"]
+    for chain, root in (([(1, 2), (2, 3)], 1), ([(3, 5), (4, 5)], 3)):
+        assert {r["component"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()} == {root}
+
+
 # byte-level BPE
 
 
@@ -331,6 +341,26 @@ def test_common_subsequences():
         assert decontam.common(a, b) == table[-1][-1]
 
 
+def test_rows_for_the_driver_are_small(spark):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    matrix = np.arange(3000 * 264, dtype=np.float64).reshape(3000, 264)
+    passage = pa.RecordBatch.from_pydict({"terms": pa.array([[0, 2999]], pa.list_(pa.int32())), "weights": pa.array([[1.0, 2.0]])})
+    blocks = [b.to_pylist()[0] for b in decontam._product(SimpleNamespace(value=matrix))([passage])]
+    assert max(len(b["sums"]) for b in blocks) <= decontam.TERM_BYTES
+    whole = np.concatenate([np.frombuffer(b["sums"]).reshape(-1, 264) for b in sorted(blocks, key=lambda b: b["block"])])
+    assert np.array_equal(whole[[0, 1, 2999]], np.outer([1, 0, 2], matrix[0] + 2 * matrix[2999]))
+    counts = np.array([0, 1, 5, 10**6, 2**44], np.int64)
+    part = pa.RecordBatch.from_pydict({"part": pa.array([3], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())})
+    row, = next(jaccard._classes([part])).to_pylist()
+    assert row["part"] == 3 and np.frombuffer(row["classes"], np.uint16).tolist() == [0, 1500, 3877, 29897, 65535]
+    frame = spark.createDataFrame([("a b c d e f",), ("a b c d e",), (None,)], "text string")
+    order = jaccard.rarity(frame, 5)
+    assert order.dtype == np.uint16 and sorted(order[order > 0].tolist()) == [1500, 2377] and len(order) == jaccard.BUCKETS
+
+
 def test_latent_space_equals_svd(spark):
     rng = np.random.default_rng(6)
     matrix = rng.normal(size=(30, 12)) @ rng.normal(size=(12, 50))
